@@ -41,112 +41,178 @@ class Contract:
         return T.StructType([*self.schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def contract(name: str, ddl: str, key: str, nullable: str = "", is_fact: bool = False) -> Contract:
-    """``contract("dept", "deptno bigint, dname string", key="deptno")``"""
-    fields = T.StructType.fromDDL(ddl).fields
-    columns = tuple((f.name, f.dataType.simpleString()) for f in fields)
-    return Contract(name, columns, tuple(key.split()), frozenset(nullable.split()), is_fact)
-
-
-# Column names and types of the retail tables.
-RETAIL = {
-    c.name: c
-    for c in (
-        contract("location", "location_id bigint, location_name string, region string", key="location_id"),
-        contract(
-            "product",
-            "product_id bigint, product_name string, category string, unit_price decimal(14,2), active boolean",
-            key="product_id",
-        ),
-        contract(
-            "customer",
-            "customer_id bigint, customer_name string, email string, location_id bigint, created_at timestamp",
-            key="customer_id",
-            nullable="email location_id",
-        ),
-        contract(
-            "sales",
-            "sale_id bigint, customer_id bigint, product_id bigint, location_id bigint, "
-            "quantity int, unit_price decimal(14,2), sale_ts timestamp",
-            key="sale_id",
-            is_fact=True,
-        ),
-        contract("dept", "deptno bigint, dname string, loc string", key="deptno"),
-        contract(
-            "projects",
-            "project_id bigint, project_name string, budget decimal(16,2), location_id bigint",
-            key="project_id",
-        ),
-        contract(
-            "emp",
-            "empno bigint, ename string, job string, mgr bigint, hiredate date, "
-            "sal decimal(14,2), commission decimal(14,2), deptno bigint",
-            key="empno",
-            nullable="mgr commission",
-            is_fact=True,
-        ),
-        contract(
-            "emp_projects",
-            "emp_project_id bigint, empno bigint, project_id bigint, start_date date, end_date date",
-            key="emp_project_id",
-            nullable="end_date",
-            is_fact=True,
-        ),
-        contract(
-            "sales_transaction",
-            "transaction_id bigint, customer_id bigint, product_id bigint, location_id bigint, "
-            "amount decimal(16,2), transaction_ts timestamp",
-            key="transaction_id",
-            is_fact=True,
-        ),
-    )
-}
+def contract(
+    name: str, columns: dict[str, str], key: str, nullable: tuple[str, ...] = (), is_fact: bool = False
+) -> Contract:
+    """``contract("dept", {"deptno": "bigint", "dname": "string"}, key="deptno")``"""
+    return Contract(name, tuple(columns.items()), (key,), frozenset(nullable), is_fact)
+
+
+def by_name(*contracts: Contract) -> dict[str, Contract]:
+    return {c.name: c for c in contracts}
+
+
+# Column names, types, keys and nullable columns of the retail tables.
+RETAIL = by_name(
+    contract("location", {"location_id": "bigint", "location_name": "string", "region": "string"}, "location_id"),
+    contract(
+        "product",
+        {
+            "product_id": "bigint",
+            "product_name": "string",
+            "category": "string",
+            "unit_price": "decimal(14,2)",
+            "active": "boolean",
+        },
+        "product_id",
+    ),
+    contract(
+        "customer",
+        {
+            "customer_id": "bigint",
+            "customer_name": "string",
+            "email": "string",
+            "location_id": "bigint",
+            "created_at": "timestamp",
+        },
+        "customer_id",
+        nullable=("email", "location_id"),
+    ),
+    contract(
+        "sales",
+        {
+            "sale_id": "bigint",
+            "customer_id": "bigint",
+            "product_id": "bigint",
+            "location_id": "bigint",
+            "quantity": "int",
+            "unit_price": "decimal(14,2)",
+            "sale_ts": "timestamp",
+        },
+        "sale_id",
+        is_fact=True,
+    ),
+    contract("dept", {"deptno": "bigint", "dname": "string", "loc": "string"}, "deptno"),
+    contract(
+        "projects",
+        {"project_id": "bigint", "project_name": "string", "budget": "decimal(16,2)", "location_id": "bigint"},
+        "project_id",
+    ),
+    contract(
+        "emp",
+        {
+            "empno": "bigint",
+            "ename": "string",
+            "job": "string",
+            "mgr": "bigint",
+            "hiredate": "date",
+            "sal": "decimal(14,2)",
+            "commission": "decimal(14,2)",
+            "deptno": "bigint",
+        },
+        "empno",
+        nullable=("mgr", "commission"),
+        is_fact=True,
+    ),
+    contract(
+        "emp_projects",
+        {
+            "emp_project_id": "bigint",
+            "empno": "bigint",
+            "project_id": "bigint",
+            "start_date": "date",
+            "end_date": "date",
+        },
+        "emp_project_id",
+        nullable=("end_date",),
+        is_fact=True,
+    ),
+    contract(
+        "sales_transaction",
+        {
+            "transaction_id": "bigint",
+            "customer_id": "bigint",
+            "product_id": "bigint",
+            "location_id": "bigint",
+            "amount": "decimal(16,2)",
+            "transaction_ts": "timestamp",
+        },
+        "transaction_id",
+        is_fact=True,
+    ),
+)
 
-# Column names and types of the course tables.
-COURSE = {
-    c.name: c
-    for c in (
-        contract("dept", "deptno bigint, dname string, loc string", key="deptno"),
-        contract(
-            "emp",
-            "empno bigint, ename string, job string, mgr bigint, hiredate string, "
-            "sal double, commission double, deptno bigint",
-            key="empno",
-            nullable="mgr commission",
-        ),
-        contract(
-            "projects",
-            "projectno bigint, project_name string, budget bigint, monthly_commission bigint",
-            key="projectno",
-        ),
-        contract(
-            "emp_projects",
-            "emp_projectno bigint, empno bigint, projectno bigint, start_date string, end_date string",
-            key="emp_projectno",
-            nullable="end_date",
-        ),
-        contract("salgrade", "grade bigint, losal bigint, hisal bigint", key="grade"),
-    )
-}
+# Column names, types, keys and nullable columns of the course tables.
+COURSE = by_name(
+    contract("dept", {"deptno": "bigint", "dname": "string", "loc": "string"}, "deptno"),
+    contract(
+        "emp",
+        {
+            "empno": "bigint",
+            "ename": "string",
+            "job": "string",
+            "mgr": "bigint",
+            "hiredate": "string",
+            "sal": "double",
+            "commission": "double",
+            "deptno": "bigint",
+        },
+        "empno",
+        nullable=("mgr", "commission"),
+    ),
+    contract(
+        "projects",
+        {"projectno": "bigint", "project_name": "string", "budget": "bigint", "monthly_commission": "bigint"},
+        "projectno",
+    ),
+    contract(
+        "emp_projects",
+        {
+            "emp_projectno": "bigint",
+            "empno": "bigint",
+            "projectno": "bigint",
+            "start_date": "string",
+            "end_date": "string",
+        },
+        "emp_projectno",
+        nullable=("end_date",),
+    ),
+    contract("salgrade", {"grade": "bigint", "losal": "bigint", "hisal": "bigint"}, "grade"),
+)
 
 CHANGES = contract(
     "sales_transaction_changes",
-    "operation string, transaction_id bigint, amount decimal(16,2), transaction_ts timestamp, change_ts timestamp",
-    key="transaction_id",
-    nullable="amount transaction_ts",
+    {
+        "operation": "string",
+        "transaction_id": "bigint",
+        "amount": "decimal(16,2)",
+        "transaction_ts": "timestamp",
+        "change_ts": "timestamp",
+    },
+    "transaction_id",
+    nullable=("amount", "transaction_ts"),
 )
 
 IO_ROWS = contract(
     "io_rows",
-    "record_id bigint, product_id bigint, amount double, event_date string",
-    key="record_id",
+    {"record_id": "bigint", "product_id": "bigint", "amount": "double", "event_date": "string"},
+    "record_id",
 )
 
-AUDIT_SCHEMA = T.StructType.fromDDL(
-    "scenario string, target_table string, source_format string, source_path string, "
-    "source_files bigint, accepted_rows bigint, rejected_rows bigint, "
-    "read_seconds decimal(14,3), write_seconds decimal(14,3), "
-    "started_at timestamp, completed_at timestamp"
+AUDIT_SCHEMA = T.StructType(
+    [
+        T.StructField("scenario", T.StringType()),
+        T.StructField("target_table", T.StringType()),
+        T.StructField("source_format", T.StringType()),
+        T.StructField("source_path", T.StringType()),
+        T.StructField("source_files", T.LongType()),
+        T.StructField("accepted_rows", T.LongType()),
+        T.StructField("rejected_rows", T.LongType()),
+        T.StructField("read_seconds", T.DecimalType(14, 3)),
+        T.StructField("write_seconds", T.DecimalType(14, 3)),
+        T.StructField("started_at", T.TimestampType()),
+        T.StructField("completed_at", T.TimestampType()),
+    ]
 )
 
 # Dependency order of the retail loads.

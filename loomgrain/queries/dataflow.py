@@ -1,9 +1,10 @@
 """Pipelines: validation, loads, change data, lake tables, batches, layouts."""
 
+from zlib import crc32
+
 from pyspark.sql import functions as F
 
 from loomgrain.contracts import AUDIT_SCHEMA, CHANGES, contract
-from loomgrain.functions.values import money
 from loomgrain.operators.quality import (
     duplicate_keys,
     reconcile,
@@ -37,7 +38,6 @@ from loomgrain.queries.shapes import (
 from loomgrain.queries.sinks import LOADED, REASONS, nightly_load
 from loomgrain.session import fresh_path
 from loomgrain.sinks.writers import write_table
-from loomgrain.sources import banking
 from loomgrain.sources.files import build_manifest, list_files
 from loomgrain.sources.readers import read_by_contract, read_table
 from loomgrain.sources.routing import pick_tables
@@ -223,7 +223,7 @@ def lake_sources(t):
 
 def lake(t):
     """Bronze and silver tables, built once per session and data folder."""
-    number = abs(hash(t.folder)) % 10**8
+    number = crc32(t.folder.encode())
     bronze, silver = f"loomgrain_bronze_{number}", f"loomgrain_silver_{number}"
 
     def write(path):
@@ -420,7 +420,7 @@ def ingest_pattern(t):
     )
     return candidate.agg(
         F.count("*").alias("accepted_rows"),
-        F.lit(outcome.rejected_rows).alias("rejected_rows"),
+        F.lit(outcome.rejected_rows).cast("long").alias("rejected_rows"),
         F.lit(int(complete)).cast("long").alias("promoted"),
     )
 
@@ -459,7 +459,15 @@ def format_equivalence(t):
 
 
 DRIFTED = contract(
-    "part", "p_partkey bigint, p_name string, p_size bigint, p_retailprice double, p_colour string", key="p_partkey"
+    "part",
+    {
+        "p_partkey": "bigint",
+        "p_name": "string",
+        "p_size": "bigint",
+        "p_retailprice": "double",
+        "p_colour": "string",
+    },
+    "p_partkey",
 )
 
 
@@ -491,18 +499,3 @@ def silver_by_key(t):
     first = with_lineage(t["customer"], "01", "customer", "parquet").drop("bronze_load_ts")
     second = with_lineage(t["customer"], "02", "customer", "parquet").drop("bronze_load_ts")
     return to_silver(first.unionByName(second), key=["c_custkey"]).select("c_custkey", "c_mktsegment", "source_scenario")
-
-
-@query("banking_checks")
-def banking_checks(t):
-    """Failed payments and transactions by channel over the generated banking feed."""
-    people = t["customer"].select((c("c_custkey") + 1).alias("customer_id"))
-    dates = t["events"].select(c("ts").cast("date").alias("batch_date")).distinct()
-    tables = banking.banking_tables(people, dates)
-    failed = tables["loan_payments"].where("payment_status = 'failed'").groupBy(
-        F.lit("failed payments").alias("check_name"), c("batch_date").cast("string").alias("subject")
-    ).agg(F.count("*").alias("row_count"), F.sum(money("amount")).cast("double").alias("amount"))
-    channels = tables["account_transactions"].groupBy(
-        F.lit("channel").alias("check_name"), c("channel").alias("subject")
-    ).agg(F.count("*").alias("row_count"), F.sum(money("amount")).cast("double").alias("amount"))
-    return failed.unionByName(channels)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from loomgrain.plans.lake import union_by_name
 from loomgrain.queries.registry import query
 from loomgrain.session import fresh_path
 from loomgrain.sinks.writers import write_layout
@@ -141,16 +142,74 @@ def gen_io_rows(t):
     return gen.io_rows(numbers(t, "events", "event_id"))
 
 
-@query("gen_banking")
-def gen_banking(t):
+M = banking.MODULUS
+
+
+def draw_sql(number, salt, sides):
+    mixed = f"(((({number}) % {M} + {salt * 7919}) % {M}) * 1103515245 % {M})"
+    return f"(((({mixed} // 1024 + {mixed} * 31 + {salt}) % {M}) * 69069 % {M}) // 2048 % {sides})"
+
+
+DAYS = "(SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) days"
+PEOPLE = "(SELECT c_custkey + 1 AS c FROM customer) people"
+DAY_NO = "(date_diff('day', DATE '2020-01-01', d) * 1000003)"
+ACCOUNT_DAY = f"(c + 100000 + {DAY_NO})"
+LOAN_DAY = f"((c - 1) // 5 + 500001 + {DAY_NO})"
+LOANS = "(c - 1) % 5 = 0"
+SALARIED = f"{draw_sql('c', 6, 3)} <= 1"
+ACTIVE = f"{draw_sql('c', 7, 4)} < 3"
+
+
+def banking_feed(t):
     people = numbers(t, "customer", "c_custkey").withColumnRenamed("n", "customer_id")
-    dates = t["events"].select(c("ts").cast("date").alias("batch_date")).distinct()
-    counted = None
-    for name, table in banking.banking_tables(people, dates).items():
-        rows = table.groupBy(c("batch_date").cast("string").alias("batch_date")).agg(F.count("*").alias("row_count"))
-        rows = rows.withColumn("table_name", F.lit(name))
-        counted = rows if counted is None else counted.unionByName(rows)
-    return counted.select("table_name", "batch_date", "row_count")
+    # one entry per calendar day
+    days = t["events"].select(c("ts").cast("date").alias("day")).distinct().orderBy("day").collect()
+    return banking.banking_tables(people, [row["day"] for row in days])
+
+
+@query(
+    "gen_banking",
+    f"""SELECT table_name, strftime(d, '%Y-%m-%d') AS batch_date, CAST(SUM(k) AS BIGINT) AS row_count FROM (
+        SELECT 'customers' AS table_name, d, 1 AS k FROM {PEOPLE}, {DAYS}
+        UNION ALL SELECT 'accounts', d, 1 FROM {PEOPLE}, {DAYS}
+        UNION ALL SELECT 'account_plans', d, 5 FROM {DAYS}
+        UNION ALL SELECT 'loan_types', d, 4 FROM {DAYS}
+        UNION ALL SELECT 'loans', d, 1 FROM {PEOPLE}, {DAYS} WHERE {LOANS}
+        UNION ALL SELECT 'salary_deposits', d, 1 FROM {PEOPLE}, {DAYS} WHERE {SALARIED} AND {draw_sql(ACCOUNT_DAY, 20, 100)} < 22
+        UNION ALL SELECT 'loan_payments', d, 1 FROM {PEOPLE}, {DAYS} WHERE {LOANS} AND {draw_sql(LOAN_DAY, 30, 100)} < 18
+        UNION ALL SELECT 'payment_reminders', d, 1 FROM {PEOPLE}, {DAYS} WHERE {LOANS} AND {draw_sql(LOAN_DAY, 40, 100)} < 8
+        UNION ALL SELECT 'account_transactions', d, {draw_sql(ACCOUNT_DAY, 50, 4)} FROM {PEOPLE}, {DAYS}
+             WHERE {ACTIVE} AND {draw_sql(ACCOUNT_DAY, 50, 4)} > 0) x GROUP BY table_name, d""",
+)
+def gen_banking(t):
+    frames = [
+        table.groupBy(c("batch_date").cast("string").alias("batch_date")).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("row_count")
+        )
+        for name, table in banking_feed(t).items()
+    ]
+    return union_by_name(frames).select("table_name", "batch_date", "row_count")
+
+
+@query(
+    "banking_checks",
+    f"""SELECT 'failed payments' AS check_name, strftime(d, '%Y-%m-%d') AS subject, COUNT(*) AS row_count
+        FROM {PEOPLE}, {DAYS} WHERE {LOANS} AND {draw_sql(LOAN_DAY, 30, 100)} < 18 AND {draw_sql(LOAN_DAY, 31, 4)} = 3
+        GROUP BY d UNION ALL
+        SELECT 'channel', ({words(banking.CHANNELS)})[{draw_sql(f'({ACCOUNT_DAY} * 4 + txn)', 53, 5)} + 1], COUNT(*)
+        FROM {PEOPLE}, {DAYS}, (VALUES (0), (1), (2)) v(txn) WHERE {ACTIVE} AND txn < {draw_sql(ACCOUNT_DAY, 50, 4)}
+        GROUP BY 2""",
+)
+def banking_checks(t):
+    """Failed payments per date and transactions per channel."""
+    feed = banking_feed(t)
+    failed = feed["loan_payments"].where("payment_status = 'failed'")
+    by_date = failed.groupBy(c("batch_date").cast("string").alias("subject")).agg(F.count("*").alias("row_count"))
+    by_channel = feed["account_transactions"].groupBy(c("channel").alias("subject")).agg(F.count("*").alias("row_count"))
+    named = by_date.withColumn("check_name", F.lit("failed payments")).unionByName(
+        by_channel.withColumn("check_name", F.lit("channel"))
+    )
+    return named.select("check_name", "subject", "row_count")
 
 
 @query(

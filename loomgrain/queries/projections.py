@@ -177,7 +177,9 @@ def case_when(t):
 
 
 EVENT_TEXT = contract(
-    "event_text", "event_id bigint, score int, amount decimal(14,2), happened date", key="event_id"
+    "event_text",
+    {"event_id": "bigint", "score": "int", "amount": "decimal(14,2)", "happened": "date"},
+    "event_id",
 )
 
 
@@ -215,7 +217,9 @@ def dedup_rows(t):
     return supplier.unionByName(supplier).dropDuplicates()
 
 
-CUSTOMER_SHORT = contract("customer_short", "c_custkey bigint, c_mktsegment string, c_acctbal double", key="c_custkey")
+CUSTOMER_SHORT = contract(
+    "customer_short", {"c_custkey": "bigint", "c_mktsegment": "string", "c_acctbal": "double"}, "c_custkey"
+)
 
 
 @query("project_contract", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")

@@ -10,24 +10,45 @@ c = F.col
 
 ORDERS = contract(
     "orders",
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    key="o_orderkey",
+    {
+        "o_orderkey": "bigint",
+        "o_custkey": "bigint",
+        "o_orderstatus": "string",
+        "o_totalprice": "double",
+        "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string",
+    },
+    "o_orderkey",
     is_fact=True,
 )
 CUSTOMER = contract(
     "customer",
-    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    key="c_custkey",
+    {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
+    "c_custkey",
 )
 PART = contract(
     "part",
-    "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    key="p_partkey",
+    {
+        "p_partkey": "bigint",
+        "p_name": "string",
+        "p_brand": "string",
+        "p_type": "string",
+        "p_size": "int",
+        "p_retailprice": "double",
+    },
+    "p_partkey",
 )
 EVENTS = contract(
-    "events", "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    key="event_id",
+    "events",
+    {
+        "event_id": "bigint",
+        "ts": "timestamp_ntz",
+        "user_id": "bigint",
+        "event_type": "string",
+        "value": "double",
+        "props": "string",
+    },
+    "event_id",
 )
 CONTRACTS = {x.name: x for x in (ORDERS, CUSTOMER, PART, EVENTS)}
 
@@ -102,7 +123,9 @@ def spoilt_order_lines(t):
 
 
 SPOILT = contract(
-    "spoilt_orders", "record_id bigint, product_id bigint, amount double, event_date string", key="record_id"
+    "spoilt_orders",
+    {"record_id": "bigint", "product_id": "bigint", "amount": "double", "event_date": "string"},
+    "record_id",
 )
 
 

@@ -23,10 +23,10 @@ from loomgrain.sources.readers import read_by_contract, read_table
 c = F.col
 
 
-def written(t, fmt, table="orders", schema=ORDERS.schema):
+def written(t, fmt, table="orders", contract=ORDERS):
     path = fresh_path(t.spark, f"{table}-{fmt}")
     write_table(t[table], fmt, path, mode="overwrite")
-    return read_table(t.spark, fmt, path, schema=schema)
+    return read_table(t.spark, fmt, path, schema=contract.schema)
 
 
 @query("write_parquet", order_sql())
@@ -50,7 +50,7 @@ def write_json(t):
        (SELECT unnest(['csv', 'json', 'parquet']) AS fmt) f GROUP BY 1, 2""",
 )
 def write_by_format(t):
-    frames = [written(t, fmt, "customer", CUSTOMER.schema).withColumn("format", F.lit(fmt)) for fmt in ("csv", "json", "parquet")]
+    frames = [written(t, fmt, "customer", CUSTOMER).withColumn("format", F.lit(fmt)) for fmt in ("csv", "json", "parquet")]
     everything = frames[0].unionByName(frames[1]).unionByName(frames[2])
     return everything.groupBy("format", "c_mktsegment").agg(F.count("*").alias("customers"))
 

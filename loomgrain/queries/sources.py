@@ -1,12 +1,9 @@
 """Scans and sources. Each writes whole tables in the format under test and reads them back."""
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import functions as F
 
 from loomgrain.contracts import CORRUPT
+from loomgrain.functions.values import money
 from loomgrain.queries.registry import query
 from loomgrain.queries.shapes import (
     CUSTOMER,
@@ -51,15 +48,26 @@ def csv_schema(t):
 
 # the typed schema rejects the fields' number and the price that is no number
 SPOILT_TYPED = """SELECT CASE WHEN o_orderkey % 10 IN (3, 4, 5) THEN 'malformed' ELSE 'parsed' END AS outcome,
-    COUNT(*) AS lines FROM orders GROUP BY 1"""
+    COUNT(*) AS lines, CAST(SUM(CASE WHEN o_orderkey % 10 NOT IN (3, 4, 5) THEN o_orderkey ELSE 0 END) AS BIGINT) AS keys,
+    CAST(SUM(CASE WHEN o_orderkey % 10 NOT IN (3, 4, 5, 6) THEN o_custkey ELSE 0 END) AS BIGINT) AS products,
+    CAST(SUM(CASE WHEN o_orderkey % 10 IN (3, 4, 5) THEN 0 WHEN o_orderkey % 10 = 7 THEN -CAST(o_totalprice AS DECIMAL(18,2))
+         ELSE CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS amount,
+    COUNT(CASE WHEN o_orderkey % 10 = 8 THEN 1 END) AS bad_dates FROM orders GROUP BY 1"""
 
 
 @query("csv_permissive", SPOILT_TYPED)
 def csv_permissive(t):
     rows = read_by_contract(t.spark, "csv", spoilt_csv(t), SPOILT, typed=True, header=False)
-    outcome = F.when(c(CORRUPT).isNotNull(), "malformed").otherwise("parsed")
-    # the scan refuses a query of nothing but the corrupt column
-    return rows.select(outcome.alias("outcome"), "record_id").groupBy("outcome").agg(F.count("*").alias("lines"))
+    parsed = c(CORRUPT).isNull()
+    value = lambda name: F.coalesce(F.when(parsed, c(name)), F.lit(0))
+    # the parser only checks the columns a query asks for, so all of them are used
+    return rows.groupBy(F.when(parsed, "parsed").otherwise("malformed").alias("outcome")).agg(
+        F.count("*").alias("lines"),
+        F.sum(value("record_id")).alias("keys"),
+        F.sum(value("product_id")).alias("products"),
+        F.sum(money(value("amount"))).cast("double").alias("amount"),
+        F.count_if(parsed & (c("event_date") == "bad-date")).alias("bad_dates"),
+    )
 
 
 @query("json_infer", order_sql())
@@ -170,15 +178,27 @@ def tolerant_parquet(t):
 ARCHIVE_ROWS = 5000
 
 
-def zip_lines(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One archive of a slice of the lines, with a member that tries to leave the folder."""
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", compression=zipfile.ZIP_DEFLATED) as archive:
-        text = "record_id,product_id,amount,event_date\n" + "".join(line + "\n" for line in pdf["value"])
-        archive.writestr("incoming/extract.csv", text)
-        archive.writestr("../evil.csv", "1,1,1,2026-01-01\n")
-    name = f"archive_{pdf['archive_no'].iloc[0]:08d}.zip"
-    return pd.DataFrame({"path": [name], "content": [buffer.getvalue()]})
+def zipper():
+    """Packs a slice of the lines into one archive, next to a member that tries to leave the folder.
+
+    A nested function travels to the executors by value, so they need not have this package.
+    """
+
+    def zip_lines(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", compression=zipfile.ZIP_DEFLATED) as archive:
+            text = "record_id,product_id,amount,event_date\n" + "".join(line + "\n" for line in pdf["value"])
+            archive.writestr("incoming/extract.csv", text)
+            archive.writestr("../evil.csv", "1,1,1,2026-01-01\n")
+        name = f"archive_{pdf['archive_no'].iloc[0]:08d}.zip"
+        return pd.DataFrame({"path": [name], "content": [buffer.getvalue()]})
+
+    return zip_lines
 
 
 @query(
@@ -195,7 +215,7 @@ def zip_csv_scan(t):
         ).alias("value"),
     )
     # the key is unique, so an archive never holds more than ARCHIVE_ROWS lines
-    archives = lines.groupBy("archive_no").applyInPandas(zip_lines, "path string, content binary")
+    archives = lines.groupBy("archive_no").applyInPandas(zipper(), "path string, content binary")
     rows = parse_zip_csv(unzip_lines(archives), SPOILT)
     return (
         rows.groupBy(F.regexp_extract("archive", "([0-9]+)", 1).cast("long").alias("archive_no"))

@@ -6,6 +6,8 @@ row's numbers, so every run and every partitioning gives the same rows.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +52,8 @@ def _date_number(date: Column) -> Column:
     return F.date_format(date, "yyyyMMdd").cast("long")
 
 
-def _with_dates(rows: DataFrame, dates: DataFrame) -> DataFrame:
-    """Each row once per date: every row carries the list of dates, which is one entry per day."""
-    days = [row[0] for row in dates.select("batch_date").distinct().orderBy("batch_date").collect()]
+def _with_dates(rows: DataFrame, days: list[date]) -> DataFrame:
+    """Each row once per day."""
     return rows.withColumn("batch_date", F.explode(F.array(*[F.lit(d) for d in days])))
 
 
@@ -113,11 +114,11 @@ def loan_types(spark) -> DataFrame:
     )
 
 
-def salary_deposits(account_rows: DataFrame, dates: DataFrame) -> DataFrame:
+def salary_deposits(account_rows: DataFrame, days: list[date]) -> DataFrame:
     """22 in 100 salary accounts per date."""
     x, d = _row_draw("account_id"), F.col("batch_date")
     return (
-        _with_dates(account_rows.where(F.col("plan_id").isin(1, 2)), dates)
+        _with_dates(account_rows.where(F.col("plan_id").isin(1, 2)), days)
         .where(draw(x, 20, 100) < 22)
         .select(
             (_date_number(d) * 100_000_000_000 + F.col("account_id")).alias("deposit_id"),
@@ -134,11 +135,11 @@ def salary_deposits(account_rows: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def loan_payments(loan_rows: DataFrame, dates: DataFrame) -> DataFrame:
+def loan_payments(loan_rows: DataFrame, days: list[date]) -> DataFrame:
     """18 in 100 loans per date, one payment in four fails."""
     x, d = _row_draw("loan_id"), F.col("batch_date")
     return (
-        _with_dates(loan_rows, dates)
+        _with_dates(loan_rows, days)
         .where(draw(x, 30, 100) < 18)
         .select(
             (_date_number(d) * 100_000_000_000 + F.col("loan_id")).alias("payment_id"),
@@ -153,11 +154,11 @@ def loan_payments(loan_rows: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def payment_reminders(loan_rows: DataFrame, dates: DataFrame) -> DataFrame:
+def payment_reminders(loan_rows: DataFrame, days: list[date]) -> DataFrame:
     """8 in 100 loans per date."""
     x, d = _row_draw("loan_id"), F.col("batch_date")
     return (
-        _with_dates(loan_rows, dates)
+        _with_dates(loan_rows, days)
         .where(draw(x, 40, 100) < 8)
         .select(
             (_date_number(d) * 100_000_000_000 + F.col("loan_id")).alias("reminder_id"),
@@ -171,12 +172,12 @@ def payment_reminders(loan_rows: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def account_transactions(account_rows: DataFrame, dates: DataFrame) -> DataFrame:
+def account_transactions(account_rows: DataFrame, days: list[date]) -> DataFrame:
     """0 to 3 transactions per active account and date."""
     x, d, t = _row_draw("account_id"), F.col("batch_date"), F.col("txn_no")
     y = x * 4 + t
     return (
-        _with_dates(account_rows.where("account_status = 'active'"), dates)
+        _with_dates(account_rows.where("account_status = 'active'"), days)
         .withColumn("txn_no", F.explode(F.expr("sequence(0L, 2L)")))
         .where(t < draw(x, 50, 4))
         .select(
@@ -193,21 +194,21 @@ def account_transactions(account_rows: DataFrame, dates: DataFrame) -> DataFrame
     )
 
 
-def banking_tables(customer_ids: DataFrame, dates: DataFrame) -> dict[str, DataFrame]:
+def banking_tables(customer_ids: DataFrame, days: list[date]) -> dict[str, DataFrame]:
     """All nine tables with ``batch_date``; master tables repeat on every date.
 
-    ``customer_ids`` has ``customer_id`` counting from 1, ``dates`` has ``batch_date``.
+    ``customer_ids`` has ``customer_id`` counting from 1.
     """
     spark = customer_ids.sparkSession
     people, holders, borrowers = customers(customer_ids), accounts(customer_ids), loans(customer_ids)
     return {
-        "customers": _with_dates(people, dates),
-        "account_plans": _with_dates(account_plans(spark), dates),
-        "accounts": _with_dates(holders, dates),
-        "loan_types": _with_dates(loan_types(spark), dates),
-        "loans": _with_dates(borrowers, dates),
-        "salary_deposits": salary_deposits(holders, dates),
-        "loan_payments": loan_payments(borrowers, dates),
-        "payment_reminders": payment_reminders(borrowers, dates),
-        "account_transactions": account_transactions(holders, dates),
+        "customers": _with_dates(people, days),
+        "account_plans": _with_dates(account_plans(spark), days),
+        "accounts": _with_dates(holders, days),
+        "loan_types": _with_dates(loan_types(spark), days),
+        "loans": _with_dates(borrowers, days),
+        "salary_deposits": salary_deposits(holders, days),
+        "loan_payments": loan_payments(borrowers, days),
+        "payment_reminders": payment_reminders(borrowers, days),
+        "account_transactions": account_transactions(holders, days),
     }

@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
-from collections.abc import Iterator
-from pathlib import PurePosixPath
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomgrain.contracts import CORRUPT, Contract
 from loomgrain.session import MB
@@ -77,44 +71,56 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _is_unsafe(member: str) -> bool:
-    name = member.replace("\\", "/")
-    return name.startswith("/") or ":" in name.split("/")[0] or ".." in PurePosixPath(name).parts
-
-
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "member", "unsafe", "line_no", "line"]
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for info in archive.infolist():
-                    if info.is_dir():
-                        continue
-                    if _is_unsafe(info.filename):
-                        yield pd.DataFrame([(path, info.filename, True, None, None)], columns=columns)
-                        continue
-                    rows = []
-                    with archive.open(info) as raw:
-                        for number, line in enumerate(io.TextIOWrapper(raw, encoding="utf-8", newline=None)):
-                            rows.append((path, info.filename, False, number, line.rstrip("\n")))
-                            if len(rows) == ZIP_LINES_PER_BATCH:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows = []
-                    if rows:
-                        yield pd.DataFrame(rows, columns=columns)
+ZIP_LINES = "archive string, member string, unsafe boolean, line_no long, line string"
 
 
-ZIP_LINES = "archive string, member string, unsafe boolean, line_no long, line string"
+def _unzipper(lines_per_batch: int):
+    """The task's work, nested so that it travels by value and executors need not have this package."""
+
+    def is_unsafe(member):
+        name = member.replace("\\", "/")
+        parts = name.split("/")
+        return name.startswith("/") or ":" in parts[0] or ".." in parts
+
+    def unzip(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        def frame(rows):
+            return pd.DataFrame(rows, columns=["archive", "member", "unsafe", "line_no", "line"])
+
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for info in archive.infolist():
+                        if info.is_dir():
+                            continue
+                        if is_unsafe(info.filename):
+                            yield frame([(path, info.filename, True, None, None)])
+                            continue
+                        rows = []
+                        with archive.open(info) as raw:
+                            for number, line in enumerate(io.TextIOWrapper(raw, encoding="utf-8", newline=None)):
+                                rows.append((path, info.filename, False, number, line.rstrip("\n")))
+                                if len(rows) == lines_per_batch:
+                                    yield frame(rows)
+                                    rows = []
+                        if rows:
+                            yield frame(rows)
+
+    return unzip
 
 
-def unzip_lines(archives: DataFrame) -> DataFrame:
+def unzip_lines(archives: DataFrame, lines_per_batch: int = ZIP_LINES_PER_BATCH) -> DataFrame:
     """Lines of every member of the archives in (path, content).
 
     Nothing is extracted to disk. Members whose name leaves the target folder
     come out as one line flagged ``unsafe``. One archive is one task's work and
     sits in its memory.
     """
-    return archives.select("path", "content").mapInPandas(_unzip, ZIP_LINES)
+    return archives.select("path", "content").mapInPandas(_unzipper(lines_per_batch), ZIP_LINES)
 
 
 def parse_zip_csv(lines: DataFrame, contract: Contract) -> DataFrame:

@@ -32,8 +32,6 @@ LAST_NAMES = (
 REGIONS = "north south east west".split()
 RETAIL_JOBS = "clerk analyst manager developer".split()
 
-N = F.col("n")
-
 
 def row_numbers(spark: SparkSession, rows: int, partitions: int | None = None) -> DataFrame:
     if rows < 0:
@@ -68,41 +66,45 @@ def _cents(number: Column) -> Column:
 
 
 def course_dept(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        (N * 10).alias("deptno"),
-        F.concat(_pick(DEPARTMENTS, (N - 1) % 10), F.lit("_"), _padded(N, 3)).alias("dname"),
-        _pick(CITIES, (N - 1) % 10).alias("loc"),
+        (n * 10).alias("deptno"),
+        F.concat(_pick(DEPARTMENTS, (n - 1) % 10), F.lit("_"), _padded(n, 3)).alias("dname"),
+        _pick(CITIES, (n - 1) % 10).alias("loc"),
     )
 
 
 def course_emp(rows: DataFrame, departments: int = 100) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        (N + 7000).alias("empno"),
-        F.concat(_pick(PEOPLE, (N - 1) % 10), F.lit("_"), N.cast("string")).alias("ename"),
-        _pick(JOBS, (N - 1) % 8).alias("job"),
-        F.when(N > 10, 7000 + _div(N - 1, 10)).alias("mgr"),
-        _day("1988-01-01", (N - 1) % 13000).cast("string").alias("hiredate"),
-        (700 + (N * 37) % 49300).cast("double").alias("sal"),
-        F.when(N % 3 == 0, 50 + (N * 11) % 950).cast("double").alias("commission"),
-        (((N - 1) % departments + 1) * 10).alias("deptno"),
+        (n + 7000).alias("empno"),
+        F.concat(_pick(PEOPLE, (n - 1) % 10), F.lit("_"), n.cast("string")).alias("ename"),
+        _pick(JOBS, (n - 1) % 8).alias("job"),
+        F.when(n > 10, 7000 + _div(n - 1, 10)).alias("mgr"),
+        _day("1988-01-01", (n - 1) % 13000).cast("string").alias("hiredate"),
+        (700 + (n * 37) % 49300).cast("double").alias("sal"),
+        F.when(n % 3 == 0, 50 + (n * 11) % 950).cast("double").alias("commission"),
+        (((n - 1) % departments + 1) * 10).alias("deptno"),
     )
 
 
 def course_projects(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("projectno"),
-        F.concat(_pick(PROJECTS, (N - 1) % 10), F.lit("_"), _padded(N, 3)).alias("project_name"),
-        (N * 10000).alias("budget"),
-        (N * 100).alias("monthly_commission"),
+        n.alias("projectno"),
+        F.concat(_pick(PROJECTS, (n - 1) % 10), F.lit("_"), _padded(n, 3)).alias("project_name"),
+        (n * 10000).alias("budget"),
+        (n * 100).alias("monthly_commission"),
     )
 
 
 def course_emp_projects(rows: DataFrame, projects: int = 100) -> DataFrame:
     """Every employee on every project: row numbers 1..emps*projects, no join needed."""
-    e, p = _div(N - 1, projects) + 1, (N - 1) % projects + 1
+    n = F.col("n")
+    e, p = _div(n - 1, projects) + 1, (n - 1) % projects + 1
     start = (e + p) % 9000
     return rows.select(
-        (N + 1000).alias("emp_projectno"),
+        (n + 1000).alias("emp_projectno"),
         (e + 7000).alias("empno"),
         p.alias("projectno"),
         _day("1989-01-01", start).cast("string").alias("start_date"),
@@ -111,126 +113,138 @@ def course_emp_projects(rows: DataFrame, projects: int = 100) -> DataFrame:
 
 
 def course_salgrade(rows: DataFrame) -> DataFrame:
-    low = 700 + (N - 1) * 50
-    return rows.select(N.alias("grade"), low.alias("losal"), (low + 49).alias("hisal"))
+    n = F.col("n")
+    low = 700 + (n - 1) * 50
+    return rows.select(n.alias("grade"), low.alias("losal"), (low + 49).alias("hisal"))
 
 
 def emp_updates(rows: DataFrame, label: str) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        (N + 7000).alias("empno"),
-        F.concat(F.lit("senior_"), _pick(UPDATE_JOBS, N % 5)).alias("new_job"),
-        (1000 + (N * 43) % 65000).cast("double").alias("new_sal"),
-        F.when(N % 4 == 0, 100 + (N * 7) % 900).cast("double").alias("new_commission"),
+        (n + 7000).alias("empno"),
+        F.concat(F.lit("senior_"), _pick(UPDATE_JOBS, n % 5)).alias("new_job"),
+        (1000 + (n * 43) % 65000).cast("double").alias("new_sal"),
+        F.when(n % 4 == 0, 100 + (n * 7) % 900).cast("double").alias("new_commission"),
         F.lit(f"{label}_salary_job_adjustment").alias("update_reason"),
     )
 
 
 def io_rows(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("record_id"),
-        (1000 + N % 500).alias("product_id"),
-        ((500 + (N * 17) % 50000) / 100).alias("amount"),
-        F.concat(F.lit("2026-01-"), _padded(N % 28 + 1, 2)).alias("event_date"),
+        n.alias("record_id"),
+        (1000 + n % 500).alias("product_id"),
+        ((500 + (n * 17) % 50000) / 100).alias("amount"),
+        F.concat(F.lit("2026-01-"), _padded(n % 28 + 1, 2)).alias("event_date"),
     )
 
 
 def retail_location(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("location_id"),
-        F.concat(F.lit("location_"), _padded(N, 6)).alias("location_name"),
-        _pick(REGIONS, N % 4).alias("region"),
+        n.alias("location_id"),
+        F.concat(F.lit("location_"), _padded(n, 6)).alias("location_name"),
+        _pick(REGIONS, n % 4).alias("region"),
     )
 
 
 def retail_product(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("product_id"),
-        F.concat(F.lit("product_"), _padded(N, 8)).alias("product_name"),
-        F.concat(F.lit("category_"), _padded(N % 20, 2)).alias("category"),
-        _cents(500 + (N * 17) % 50000).cast("decimal(14,2)").alias("unit_price"),
-        (N % 20 != 0).alias("active"),
+        n.alias("product_id"),
+        F.concat(F.lit("product_"), _padded(n, 8)).alias("product_name"),
+        F.concat(F.lit("category_"), _padded(n % 20, 2)).alias("category"),
+        _cents(500 + (n * 17) % 50000).cast("decimal(14,2)").alias("unit_price"),
+        (n % 20 != 0).alias("active"),
     )
 
 
 def retail_customer(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     pairs = len(FIRST_NAMES) * len(LAST_NAMES)
-    round_no = _div(N - 1, pairs) + 1
+    round_no = _div(n - 1, pairs) + 1
     name = F.concat(
-        _pick(FIRST_NAMES, (N - 1) % len(FIRST_NAMES)),
+        _pick(FIRST_NAMES, (n - 1) % len(FIRST_NAMES)),
         F.lit(" "),
-        _pick(LAST_NAMES, _div(N - 1, len(FIRST_NAMES)) % len(LAST_NAMES)),
+        _pick(LAST_NAMES, _div(n - 1, len(FIRST_NAMES)) % len(LAST_NAMES)),
         F.when(round_no > 1, F.concat(F.lit(" "), round_no.cast("string"))).otherwise(""),
     )
     return rows.select(
-        N.alias("customer_id"),
+        n.alias("customer_id"),
         name.alias("customer_name"),
         F.concat(F.replace(F.lower(name), F.lit(" "), F.lit(".")), F.lit("@example.com")).alias("email"),
-        (1 + (N - 1) % 100).alias("location_id"),
-        _moment(N % 365, F.lit(0)).alias("created_at"),
+        (1 + (n - 1) % 100).alias("location_id"),
+        _moment(n % 365, F.lit(0)).alias("created_at"),
     )
 
 
 def retail_sales(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("sale_id"),
-        (1 + (N - 1) % 100_000).alias("customer_id"),
-        (1 + (N - 1) % 1000).alias("product_id"),
-        (1 + (N - 1) % 100).alias("location_id"),
-        (1 + N % 10).cast("int").alias("quantity"),
-        _cents(500 + (N * 17) % 50000).cast("decimal(14,2)").alias("unit_price"),
-        _moment(N % 365, N % 86400).alias("sale_ts"),
+        n.alias("sale_id"),
+        (1 + (n - 1) % 100_000).alias("customer_id"),
+        (1 + (n - 1) % 1000).alias("product_id"),
+        (1 + (n - 1) % 100).alias("location_id"),
+        (1 + n % 10).cast("int").alias("quantity"),
+        _cents(500 + (n * 17) % 50000).cast("decimal(14,2)").alias("unit_price"),
+        _moment(n % 365, n % 86400).alias("sale_ts"),
     )
 
 
 def retail_dept(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        (N * 10).alias("deptno"),
-        F.concat(F.lit("department_"), _padded(N, 4)).alias("dname"),
-        F.concat(F.lit("location_"), _padded(1 + (N - 1) % 100, 3)).alias("loc"),
+        (n * 10).alias("deptno"),
+        F.concat(F.lit("department_"), _padded(n, 4)).alias("dname"),
+        F.concat(F.lit("location_"), _padded(1 + (n - 1) % 100, 3)).alias("loc"),
     )
 
 
 def retail_emp(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        (N + 7000).alias("empno"),
-        F.concat(F.lit("employee_"), _padded(N, 9)).alias("ename"),
-        _pick(RETAIL_JOBS, N % 4).alias("job"),
-        F.when(N > 10, 7001 + (N - 1) % 10).alias("mgr"),
-        _day("2000-01-01", N % 9000).alias("hiredate"),
-        (1000 + (N * 43) % 65000).cast("decimal(14,2)").alias("sal"),
-        F.when(N % 4 == 0, 100 + (N * 7) % 900).cast("decimal(14,2)").alias("commission"),
-        ((1 + (N - 1) % 10) * 10).alias("deptno"),
+        (n + 7000).alias("empno"),
+        F.concat(F.lit("employee_"), _padded(n, 9)).alias("ename"),
+        _pick(RETAIL_JOBS, n % 4).alias("job"),
+        F.when(n > 10, 7001 + (n - 1) % 10).alias("mgr"),
+        _day("2000-01-01", n % 9000).alias("hiredate"),
+        (1000 + (n * 43) % 65000).cast("decimal(14,2)").alias("sal"),
+        F.when(n % 4 == 0, 100 + (n * 7) % 900).cast("decimal(14,2)").alias("commission"),
+        ((1 + (n - 1) % 10) * 10).alias("deptno"),
     )
 
 
 def retail_projects(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("project_id"),
-        F.concat(F.lit("project_"), _padded(N, 7)).alias("project_name"),
-        (50_000 + (N * 997) % 5_000_000).cast("decimal(16,2)").alias("budget"),
-        (1 + (N - 1) % 100).alias("location_id"),
+        n.alias("project_id"),
+        F.concat(F.lit("project_"), _padded(n, 7)).alias("project_name"),
+        (50_000 + (n * 997) % 5_000_000).cast("decimal(16,2)").alias("budget"),
+        (1 + (n - 1) % 100).alias("location_id"),
     )
 
 
 def retail_emp_projects(rows: DataFrame) -> DataFrame:
-    start = N % 2000
+    n = F.col("n")
+    start = n % 2000
     return rows.select(
-        N.alias("emp_project_id"),
-        (7001 + (N - 1) % 100_000).alias("empno"),
-        (1 + (N - 1) % 1000).alias("project_id"),
+        n.alias("emp_project_id"),
+        (7001 + (n - 1) % 100_000).alias("empno"),
+        (1 + (n - 1) % 1000).alias("project_id"),
         _day("2020-01-01", start).alias("start_date"),
-        F.when(N % 5 == 0, _day("2020-01-01", start + 180)).alias("end_date"),
+        F.when(n % 5 == 0, _day("2020-01-01", start + 180)).alias("end_date"),
     )
 
 
 def retail_sales_transaction(rows: DataFrame) -> DataFrame:
+    n = F.col("n")
     return rows.select(
-        N.alias("transaction_id"),
-        (1 + (N - 1) % 100_000).alias("customer_id"),
-        (1 + (N - 1) % 1000).alias("product_id"),
-        (1 + (N - 1) % 100).alias("location_id"),
-        _cents(500 + (N * 31) % 250_000).alias("amount"),
-        _moment(N % 365, N % 86400).alias("transaction_ts"),
+        n.alias("transaction_id"),
+        (1 + (n - 1) % 100_000).alias("customer_id"),
+        (1 + (n - 1) % 1000).alias("product_id"),
+        (1 + (n - 1) % 100).alias("location_id"),
+        _cents(500 + (n * 31) % 250_000).alias("amount"),
+        _moment(n % 365, n % 86400).alias("transaction_ts"),
     )
 
 
@@ -249,11 +263,12 @@ RETAIL_GENERATORS = {
 
 def change_records(rows: DataFrame, updates: int | Column) -> DataFrame:
     """U for the first ``updates`` ids, D for the rest."""
-    is_update = N <= updates
+    n = F.col("n")
+    is_update = n <= updates
     return rows.select(
         F.when(is_update, "U").otherwise("D").alias("operation"),
-        N.alias("transaction_id"),
-        F.when(is_update, _cents(10_000 + (N * 29) % 100_000)).alias("amount"),
-        F.when(is_update, _moment(N % 365, N % 86400)).alias("transaction_ts"),
-        _moment(F.lit(400), N % 86400).alias("change_ts"),
+        n.alias("transaction_id"),
+        F.when(is_update, _cents(10_000 + (n * 29) % 100_000)).alias("amount"),
+        F.when(is_update, _moment(n % 365, n % 86400)).alias("transaction_ts"),
+        _moment(F.lit(400), n % 86400).alias("change_ts"),
     )

@@ -54,8 +54,9 @@ def read_by_contract(
     """Scan by contract; records that cannot be parsed are kept in ``_corrupt_record``.
 
     By default every column is read as text, so a bad number survives until the
-    cast and gets its own reason. With ``typed`` the parser itself rejects it.
-    Parquet carries its own types and has no unparsable rows.
+    cast and gets its own reason. With ``typed`` the parser itself rejects it,
+    but only in columns the query uses. Parquet carries its own types and has
+    no unparsable rows.
     """
     if check_format(fmt) == "parquet":
         return read_table(spark, fmt, path, **options).withColumn(CORRUPT, F.lit(None).cast("string"))
@@ -66,6 +67,8 @@ def read_by_contract(
         schema=contract.capture_schema if typed else contract.text_schema,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
+        # a pruned CSV parser skips fields and would miss short and long records
+        **({"columnPruning": False} if fmt == "csv" else {}),
         **options,
     )
 
