@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from loomgrain.plans.lake import union_by_name
 from loomgrain.queries.registry import query
+from loomgrain.queries.shapes import side_by_side
 from loomgrain.session import fresh_path
 from loomgrain.sinks.writers import write_layout
 from loomgrain.sources import banking, generators as gen
@@ -224,4 +225,4 @@ def write_layout_query(t):
     files = list_files(t.spark, path, "*.parquet").agg(F.count("*").alias("files"))
     per_file = t.spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.count("*").alias("rows"))
     rows = per_file.agg(F.sum("rows").alias("row_count"), F.min("rows").alias("smallest_file"))
-    return rows.withColumn("one", F.lit(1)).join(files.withColumn("one", F.lit(1)), "one").drop("one")
+    return side_by_side(rows, files)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from loomgrain.contracts import contract
 from loomgrain.functions.values import money
+from loomgrain.plans.lake import union_by_name
 from loomgrain.sinks.writers import write_table
 
 c = F.col
@@ -73,6 +74,12 @@ def order_summary(orders):
     )
 
 
+def side_by_side(*frames):
+    """One row out of several one-row frames, without joining them."""
+    stacked = union_by_name(list(frames))
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
 EVENT_DAYS = """SELECT strftime(ts, '%Y-%m-%d') AS batch_date, COUNT(*) AS events,
     CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events {where} GROUP BY 1"""
 

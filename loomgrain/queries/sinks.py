@@ -13,6 +13,7 @@ from loomgrain.queries.shapes import (
     SPOILT,
     order_sql,
     order_summary,
+    side_by_side,
     spoilt_csv,
 )
 from loomgrain.session import fresh_path
@@ -114,11 +115,9 @@ def namespace_create(t):
     create_namespace(t.spark, "loomgrain_lake", location)
     create_namespace(t.spark, "loomgrain_lake", location)
     replace_table(t.spark, "loomgrain_lake.customer", t["customer"])
-    listed = t.spark.sql("SHOW TABLES IN loomgrain_lake").where(~c("isTemporary"))
+    listed = t.spark.sql("SHOW TABLES IN loomgrain_lake").where("tableName = 'customer' AND NOT isTemporary")
     rows = t.spark.table("loomgrain_lake.customer").agg(F.count(F.lit(1)).alias("row_count"))
-    return rows.withColumn("table_name", F.lit("customer")).join(
-        listed.select(c("namespace"), c("tableName").alias("table_name")), "table_name"
-    ).select("namespace", "table_name", "row_count")
+    return side_by_side(rows, listed.select("namespace", c("tableName").alias("table_name")))
 
 
 @query(

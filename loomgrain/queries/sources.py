@@ -15,6 +15,7 @@ from loomgrain.queries.shapes import (
     event_sql,
     order_sql,
     order_summary,
+    side_by_side,
     spoilt_csv,
     spoilt_json,
 )
@@ -362,5 +363,4 @@ def build_manifest_query(t):
         F.count_if(c("length") > 0).alias("files"), F.count_distinct("checksum").alias("checksums")
     )
     rows = t.spark.read.parquet(order_parts(t)).agg(F.count(F.lit(1)).alias("row_count"))
-    # one row each
-    return listed.withColumn("one", F.lit(1)).join(rows.withColumn("one", F.lit(1)), "one").drop("one")
+    return side_by_side(listed, rows)

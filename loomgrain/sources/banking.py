@@ -58,7 +58,7 @@ def _with_dates(rows: DataFrame, days: list[date]) -> DataFrame:
 
 
 def _row_draw(key: str) -> Column:
-    return F.col(key) + F.datediff("batch_date", F.lit("2020-01-01").cast("date")) * 1_000_003
+    return F.col(key) + F.datediff("batch_date", F.lit("2020-01-01").cast("date")).cast("long") * 1_000_003
 
 
 def customers(rows: DataFrame) -> DataFrame:
