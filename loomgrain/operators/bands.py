@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.operators.skew import HOT_ROWS, skew_join
+from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, skew_join
 from loomgrain.session import materialise
 
 FINEST_LEVEL = -20
@@ -20,6 +20,7 @@ def band_join(
     high: str,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of ``points`` paired with the ``bands`` where low <= value <= high.
 
@@ -56,7 +57,7 @@ def band_join(
         .withColumn("_cell", cell(value, F.col("_level")))
     )
     matched = (
-        skew_join(spread, placed, ["_level", "_cell"], "inner", hot_rows)
+        skew_join(spread, placed, ["_level", "_cell"], "inner", hot_rows, broadcast_bytes)
         .where(F.col(value).between(F.col(low), F.col(high)))
     )
     if how == "inner":

@@ -14,7 +14,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgrain.operators.skew import HOT_ROWS, skew_join
+from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, skew_join
 from loomgrain.session import materialise
 
 PART_ROWS = 2_000_000
@@ -227,6 +227,7 @@ def with_group_ends(
     first_name: str = "first_value",
     last_name: str = "last_value",
     group_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the first and last ``column`` of each group under ``order``.
 
@@ -243,7 +244,8 @@ def with_group_ends(
     # a struct of the keys also matches the group whose key is NULL
     grouped = df.withColumn("_group", F.struct(*partition_by))
     ends = grouped.groupBy("_group").agg(first.alias(first_name), last.alias(last_name))
-    return skew_join(grouped, ends, ["_group"], "left", group_rows).select(*df.columns, first_name, last_name)
+    joined = skew_join(grouped, materialise(ends, "group-ends"), ["_group"], "left", group_rows, broadcast_bytes)
+    return joined.select(*df.columns, first_name, last_name)
 
 
 def top_per_group(df: DataFrame, partition_by: list[str], order: list[Order], n: int = 1) -> DataFrame:

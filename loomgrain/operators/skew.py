@@ -29,17 +29,21 @@ def row_bytes(df: DataFrame):
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure ``df``; the limit stops the scan soon after the bound is passed."""
-    seen = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes"))
-        .first()
-    )
-    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
+    """Measure ``df``: its rows first, and their width only if there are few.
+
+    A count reads no columns of a columnar table, so a large side is told apart
+    without being scanned.
+    """
+    if max_bytes <= 0 or df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only for a side whose size has been measured."""
+    """Hint a broadcast only for a side whose size has been measured.
+
+    The measurement evaluates ``df``: stage an expensive one first.
+    """
     return F.broadcast(df) if fits_broadcast(df, max_bytes, max_rows) else df
 
 
@@ -70,17 +74,25 @@ def skew_join(
     on: list[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi join that cuts the left rows of every hot key into shares.
+    """Equi join whose left side may have hot keys.
+
+    A right side measured as small is broadcast: no left row moves. Otherwise
+    the left rows of every hot key are cut into shares. Rows of other keys take
+    share 0 on both sides; the right rows of a hot key are repeated once per
+    share. Left rows without a key are spread as well. ``how`` must keep the
+    left side whole or drop it by match: inner, left, left_semi or left_anti.
 
-    Rows of other keys take share 0 on both sides; the right rows of a hot key
-    are repeated once per share. Left rows without a key are spread as well,
-    and count as one hot key of their own. ``how`` must keep the left side whole or drop
-    it by match: inner, left, left_semi or left_anti.
+    Keys are counted on ``count_on`` where ``left`` itself is expensive; which
+    keys count as hot decides the cost and never the result.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"skew_join does not support {how}")
-    hot = materialise(hot_keys(left, on, hot_rows), "hot-keys")
+    if fits_broadcast(right, broadcast_bytes):
+        return left.join(F.broadcast(right), on, how)
+    hot = materialise(hot_keys(left if count_on is None else count_on, on, hot_rows), "hot-keys")
     if hot.isEmpty():
         return left.join(right, on, how)
     hot = broadcast_if_small(hot)

@@ -28,7 +28,7 @@ def overlay(
 
     Keys without an update keep their row, updates without a base row are left
     out. A NULL new value keeps the old one unless ``nulls_clear`` is set.
-    ``updates`` must hold one row per key.
+    ``updates`` must hold one row per key, and should be a stored table.
     """
     named = {column: f"_new_{column}" for column in assignments}
     side = updates.select(
@@ -54,7 +54,10 @@ def latest_changes(changes: DataFrame, key: list[str], order=None) -> DataFrame:
 def merge_changes(
     base: DataFrame, latest: DataFrame, key: list[str], columns: list[str], operation: str = "operation"
 ) -> DataFrame:
-    """U sets ``columns`` on existing keys, D removes the row, other keys change nothing."""
+    """U sets ``columns`` on existing keys, D removes the row, other keys change nothing.
+
+    ``latest`` should be a staged table: it is measured and then joined.
+    """
     side = broadcast_if_small(
         latest.select(*key, F.col(operation).alias("_op"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from loomgrain.functions.values import normal_email
 from loomgrain.operators.skew import broadcast_if_small
+from loomgrain.session import materialise
 from loomgrain.sinks.tables import create_namespace, replace_table
 from loomgrain.sinks.writers import TARGET_FILE_BYTES, files_for_bytes, folder_bytes, write_table
 from loomgrain.sources.readers import read_batch, read_table
@@ -152,13 +153,17 @@ def write_dated(
     """Write ``batch_date=`` folders; a date gets as many tasks as its rows need."""
     default = {"bulk": "overwrite", "incremental": "append", "reprocess": "overwrite"}[load_type]
     # one row per date
-    tasks = rows.groupBy("batch_date").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_tasks")
+    tasks = materialise(
+        rows.groupBy("batch_date").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_tasks")
+        ),
+        "date-tasks",
     )
+    all_tasks = tasks.agg(F.sum("_tasks").alias("tasks")).first()["tasks"] or 1
     task = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.col("_tasks"))
     spread = rows.join(broadcast_if_small(tasks), "batch_date").withColumn("_task", task)
     write_table(
-        spread.repartition("batch_date", "_task").select(*rows.columns),
+        spread.repartition(all_tasks, "batch_date", "_task").select(*rows.columns),
         fmt,
         target,
         mode or default,

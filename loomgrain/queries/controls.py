@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from loomgrain.functions.values import money
 from loomgrain.plans.layout import scan_facts, timed
 from loomgrain.queries.registry import query
-from loomgrain.queries.shapes import EVENTS, dated_feed, event_days, event_sql, order_sql, order_summary
+from loomgrain.queries.shapes import EVENTS, dated_feed, event_days, event_sql, order_sql, order_summary, spread
 from loomgrain.session import session_settings
 from loomgrain.sources.readers import read_batch
 
@@ -15,13 +15,14 @@ c = F.col
 
 @query("repartition", order_sql())
 def repartition(t):
-    return order_summary(t["orders"].repartition(16))
+    return order_summary(spread(t["orders"], 16))
 
 
 @query("coalesce_parts", order_sql())
 def coalesce_parts(t):
-    orders = t.spark.read.parquet(t.staged("orders-spread", lambda p: t["orders"].repartition(16).write.parquet(p)))
-    return order_summary(orders.coalesce(4))
+    orders = t.spark.read.parquet(t.staged("orders-spread", lambda p: spread(t["orders"], 16).write.parquet(p)))
+    # a quarter of the tasks, each taking whole partitions, so no row moves
+    return order_summary(orders.coalesce(max(1, orders.rdd.getNumPartitions() // 4)))
 
 
 @query(
@@ -30,17 +31,11 @@ def coalesce_parts(t):
        FROM orders GROUP BY o_custkey""",
 )
 def repartition_by_key(t):
-    # summed per task before rows move to their key's partition, so a hot key sends one row per task
-    partial = (
-        t["orders"]
-        .groupBy("o_custkey", F.spark_partition_id().alias("task"))
-        .agg(F.count("*").alias("orders"), F.sum(money("o_totalprice")).alias("revenue"))
-    )
-    return (
-        partial.repartition(8, "o_custkey")
-        .groupBy("o_custkey")
-        .agg(F.sum("orders").alias("orders"), F.sum("revenue").cast("double").alias("revenue"))
+    # summed before rows move to their key's partition, so a hot key is one row there
+    spent = t["orders"].groupBy("o_custkey").agg(
+        F.count("*").alias("orders"), F.sum(money("o_totalprice")).cast("double").alias("revenue")
     )
+    return spent.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "o_custkey")
 
 
 @query(

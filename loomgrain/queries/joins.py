@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from loomgrain.contracts import CHANGES
 from loomgrain.operators.bands import band_join
 from loomgrain.operators.quality import split, validate_changes
-from loomgrain.operators.skew import broadcast_if_small, skew_join
+from loomgrain.operators.skew import skew_join
 from loomgrain.operators.updates import latest_changes, merge_changes, overlay
 from loomgrain.queries.changes import order_changes, order_transactions
 from loomgrain.queries.registry import query
+from loomgrain.session import materialise
 
 c = F.col
 
@@ -79,7 +80,7 @@ def multi_join(t):
     part = t["part"].select(c("p_partkey").alias("l_partkey"), "p_name")
     lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity")
     with_orders = skew_join(lines, orders, ["l_orderkey"])
-    return skew_join(with_orders, part, ["l_partkey"]).select(
+    return skew_join(with_orders, part, ["l_partkey"], count_on=lines).select(
         c("l_orderkey").alias("o_orderkey"), "o_orderstatus", "p_name", "l_quantity"
     )
 
@@ -127,8 +128,10 @@ def not_exists_anti(t):
     """SELECT n_name, COUNT(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
 )
 def broadcast_join(t):
-    nation = broadcast_if_small(renamed(t["nation"], n_nationkey="c_nationkey").select("c_nationkey", "n_name"))
-    return t["customer"].join(nation, "c_nationkey").groupBy("n_name").agg(F.count(F.lit(1)).alias("customers"))
+    nation = renamed(t["nation"], n_nationkey="c_nationkey").select("c_nationkey", "n_name")
+    # broadcast once its size has been measured; a larger one is joined by shares of the hot keys
+    joined = skew_join(t["customer"].select("c_nationkey"), nation, ["c_nationkey"])
+    return joined.groupBy("n_name").agg(F.count(F.lit(1)).alias("customers"))
 
 
 @query(
@@ -139,7 +142,7 @@ def broadcast_join(t):
 def lookup_left_broadcast(t):
     large = t["part"].where(c("p_size") > 25).select(c("p_partkey").alias("l_partkey"), "p_brand")
     lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey")
-    return lines.join(broadcast_if_small(large), "l_partkey", "left").select(
+    return skew_join(lines, large, ["l_partkey"], "left").select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_brand"
     )
 
@@ -150,9 +153,9 @@ def lookup_left_broadcast(t):
        JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus, p_type""",
 )
 def bridge_fact_join(t):
-    part = broadcast_if_small(t["part"].select(c("p_partkey").alias("l_partkey"), "p_type"))
+    part = t["part"].select(c("p_partkey").alias("l_partkey"), "p_type")
     orders = t["orders"].select(c("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    lines = t["lineitem"].select("l_orderkey", "l_partkey").join(part, "l_partkey")
+    lines = skew_join(t["lineitem"].select("l_orderkey", "l_partkey"), part, ["l_partkey"])
     # one row per order and type crosses the network, however many lines an order has
     counted = lines.groupBy("l_orderkey", "p_type").agg(F.count(F.lit(1)).alias("lines"))
     return counted.join(orders, "l_orderkey").groupBy("o_orderstatus", "p_type").agg(F.sum("lines").alias("lines"))
@@ -202,7 +205,7 @@ def orphan_check(t):
 def filter_then_join(t):
     dear = t["part"].where("p_retailprice >= 910").select(c("p_partkey").alias("l_partkey"), "p_name")
     lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey")
-    return lines.join(broadcast_if_small(dear), "l_partkey").select("l_orderkey", "l_linenumber", "p_name")
+    return skew_join(lines, dear, ["l_partkey"]).select("l_orderkey", "l_linenumber", "p_name")
 
 
 @query(
@@ -217,7 +220,8 @@ def skew_join_query(t):
     )
     customer = t["customer"].select("c_custkey", "c_mktsegment")
     share = max(1, t["orders"].count() // 16)
-    return skew_join(orders, customer, ["c_custkey"], hot_rows=share).select(
+    # no broadcast here: the shares are what this query shows
+    return skew_join(orders, customer, ["c_custkey"], hot_rows=share, broadcast_bytes=0).select(
         "c_mktsegment", "o_orderkey", "o_orderpriority"
     )
 
@@ -229,7 +233,7 @@ def skew_join_query(t):
 )
 def cdc_apply(t):
     accepted, _ = split(validate_changes(order_changes(t), CHANGES, F.lit("orders")))
-    latest = latest_changes(accepted, ["transaction_id"])
+    latest = materialise(latest_changes(accepted, ["transaction_id"]), "latest-changes")
     merged = merge_changes(order_transactions(t), latest, ["transaction_id"], ["amount", "transaction_ts"])
     return merged.select(
         c("transaction_id").alias("o_orderkey"),

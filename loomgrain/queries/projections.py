@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from loomgrain.contracts import contract
 from loomgrain.operators.quality import cast_to_contract, project_to_contract
+from loomgrain.operators.skew import skew_join
 from loomgrain.queries.registry import query
 
 c = F.col
@@ -112,7 +113,8 @@ def is_null(t):
 )
 def is_not_null(t):
     rich = t["customer"].where(c("c_acctbal") >= 3000).select("c_custkey")
-    joined = t["orders"].select("o_orderkey", "o_custkey").join(rich, c("c_custkey") == c("o_custkey"), "left")
+    rich = rich.withColumn("o_custkey", c("c_custkey"))
+    joined = skew_join(t["orders"].select("o_orderkey", "o_custkey"), rich, ["o_custkey"], "left")
     return joined.where(c("c_custkey").isNotNull()).select("o_orderkey", "c_custkey")
 
 

@@ -1,11 +1,12 @@
 """Shared pieces of the source, sink and dataflow queries."""
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from loomgrain.contracts import contract
 from loomgrain.functions.values import money
-from loomgrain.plans.lake import union_by_name
-from loomgrain.sinks.writers import write_table
+from loomgrain.plans.lake import union_by_name, write_dated
 
 c = F.col
 
@@ -74,6 +75,19 @@ def order_summary(orders):
     )
 
 
+SLICE_ROWS = 2_000_000
+
+
+def spread(df, least):
+    """``df`` over ``least`` partitions, or as many as its rows need."""
+    return df.repartition(max(least, ceil(df.count() / SLICE_ROWS)))
+
+
+def spread_sql(least):
+    """The number of partitions ``spread`` takes, over the rows at hand."""
+    return f"CAST(GREATEST({least}, ceil(COUNT(*) / {SLICE_ROWS}.0)) AS BIGINT)"
+
+
 def side_by_side(*frames):
     """One row out of several one-row frames, without joining them."""
     stacked = union_by_name(list(frames))
@@ -100,12 +114,7 @@ def dated_events(t):
 
 def dated_feed(t, fmt="csv"):
     """The events as a feed of ``<root>/events/batch_date=`` folders."""
-    return t.staged(
-        f"feed-{fmt}",
-        lambda root: write_table(
-            dated_events(t).repartition("batch_date"), fmt, f"{root}/events", partition_by=["batch_date"]
-        ),
-    )
+    return t.staged(f"feed-{fmt}", lambda root: write_dated(dated_events(t), fmt, f"{root}/events", "bulk"))
 
 
 # lines of the orders as CSV text, spoilt by the last digit of the key:

@@ -6,6 +6,7 @@ from loomgrain.contracts import AUDIT_SCHEMA
 from loomgrain.functions.values import money
 from loomgrain.operators.quality import split, validate_io_rows, with_payload
 from loomgrain.plans.loads import load
+from loomgrain.plans.publish import current_version, publish, read_version
 from loomgrain.queries.registry import query
 from loomgrain.queries.shapes import (
     CUSTOMER,
@@ -88,11 +89,11 @@ def write_partitioned(t):
 )
 def write_versioned(t):
     root = fresh_path(t.spark, "part-versions")
-    t["part"].write.parquet(f"{root}/version_1")
-    base = t.spark.read.parquet(f"{root}/version_1")
-    base.withColumn("p_size", c("p_size") + 1).write.parquet(f"{root}/version_2")
-    both = t.spark.read.parquet(f"{root}/version_1").withColumn("version", F.lit(1)).unionByName(
-        t.spark.read.parquet(f"{root}/version_2").withColumn("version", F.lit(2))
+    base = publish(t["part"], root, 1)
+    publish(base.withColumn("p_size", c("p_size") + 1), root, 2, lambda written: written.count() == base.count())
+    newest = current_version(t.spark, root)
+    both = read_version(t.spark, root, 1).withColumn("version", F.lit(1)).unionByName(
+        read_version(t.spark, root).withColumn("version", F.lit(newest).cast("int"))
     )
     return both.groupBy("version").agg(F.count("*").alias("parts"), F.sum(c("p_size").cast("long")).alias("sizes"))
 

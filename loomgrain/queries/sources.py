@@ -18,6 +18,8 @@ from loomgrain.queries.shapes import (
     side_by_side,
     spoilt_csv,
     spoilt_json,
+    spread,
+    spread_sql,
 )
 from loomgrain.sinks.tables import create_namespace, replace_table
 from loomgrain.sinks.writers import write_table
@@ -97,7 +99,7 @@ def json_permissive(t):
 
 def order_parts(t):
     """The orders as a folder of parts."""
-    return t.staged("orders-parts", lambda path: t["orders"].repartition(FILES).write.parquet(path))
+    return t.staged("orders-parts", lambda path: spread(t["orders"], FILES).write.parquet(path))
 
 
 @query("parquet_dir", order_sql())
@@ -158,14 +160,14 @@ def single_batch_scan(t):
 
 @query(
     "tolerant_parquet",
-    f"""SELECT CAST({FILES} AS BIGINT) AS files_read, CAST(2 AS BIGINT) AS files_skipped, COUNT(*) AS row_count
+    f"""SELECT {spread_sql(FILES)} AS files_read, {spread_sql(2)} AS files_skipped, COUNT(*) AS row_count
         FROM orders""",
 )
 def tolerant_parquet(t):
     def write(path):
-        t["orders"].repartition(FILES).write.parquet(f"{path}/good")
+        spread(t["orders"], FILES).write.parquet(f"{path}/good")
         # the same rows as text: no Parquet reader can open these
-        t["orders"].select(F.to_json(F.struct("*")).alias("value")).repartition(2).write.text(f"{path}/bad")
+        spread(t["orders"].select(F.to_json(F.struct("*")).alias("value")), 2).write.text(f"{path}/bad")
 
     folder = t.staged("orders-mixed", write)
     _, files = read_tolerant_parquet(t.spark, [f"{folder}/good", f"{folder}/bad"], ORDERS.schema)
@@ -259,14 +261,14 @@ def two_tables(t):
     """Orders and customers, each as a folder with a set number of files."""
     return t.staged(
         "inventory",
-        lambda path: [t[name].repartition(n).write.parquet(f"{path}/{name}") for name, n in (("orders", FILES), ("customer", 2))],
+        lambda path: [spread(t[n], least).write.parquet(f"{path}/{n}") for n, least in (("orders", FILES), ("customer", 2))],
     )
 
 
 @query(
     "file_inventory",
-    f"""SELECT 'orders' AS table_name, CAST({FILES} AS BIGINT) AS files, COUNT(*) AS row_count FROM orders
-        UNION ALL SELECT 'customer', CAST(2 AS BIGINT), COUNT(*) FROM customer""",
+    f"""SELECT 'orders' AS table_name, {spread_sql(FILES)} AS files, COUNT(*) AS row_count FROM orders
+        UNION ALL SELECT 'customer', {spread_sql(2)}, COUNT(*) FROM customer""",
 )
 def file_inventory(t):
     folder = two_tables(t)
@@ -355,7 +357,7 @@ def source_routing(t):
 
 @query(
     "build_manifest",
-    f"""SELECT CAST({FILES} AS BIGINT) AS files, CAST({FILES} AS BIGINT) AS checksums, COUNT(*) AS row_count FROM orders""",
+    f"""SELECT {spread_sql(FILES)} AS files, {spread_sql(FILES)} AS checksums, COUNT(*) AS row_count FROM orders""",
 )
 def build_manifest_query(t):
     files = build_manifest(t.spark, order_parts(t), "*.parquet")

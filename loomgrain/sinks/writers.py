@@ -13,6 +13,7 @@ from loomgrain.sources.files import list_files
 from loomgrain.sources.readers import check_format
 
 TARGET_FILE_BYTES = 256 * MB
+TASK_ROWS = 2_000_000
 MODES = ("append", "overwrite", "error", "ignore")
 
 
@@ -72,10 +73,12 @@ def write_layout(
     written. Tasks take whole files: their borders fall on multiples of
     ``rows_per_file``, where maxRecordsPerFile then cuts.
     """
-    files = planned_files(df.count(), rows_per_file, max_files, allow_more)
+    rows = df.count()
+    files = planned_files(rows, rows_per_file, max_files, allow_more)
     if not files:
         return 0
-    tasks = min(files, df.sparkSession.sparkContext.defaultParallelism * 4)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(files, max(4 * cores, ceil(rows / TASK_ROWS)))
     laid = (
         df.withColumn("_file", F.floor((F.col(number) - 1) / rows_per_file))
         .repartitionByRange(tasks, "_file")

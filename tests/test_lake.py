@@ -11,6 +11,7 @@ from loomgrain.operators.quality import same_rows
 from loomgrain.plans.lake import build_bronze_silver, clean, compact_folder, load_batches, to_silver, union_by_name, with_lineage
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import in_load_order, load_many
+from loomgrain.plans.publish import current_version, publish, read_version
 from loomgrain.sinks.writers import write_layout, write_table
 from loomgrain.sources import generators as gen
 from loomgrain.sources.files import list_files
@@ -174,6 +175,17 @@ def test_compaction_of_a_folder(spark, tmp_path):
         compact_folder(spark, "csv", source, source + "/")
 
 
+def test_only_checked_versions_are_current(spark, tmp_path):
+    root = str(tmp_path / "set")
+    publish(spark.range(3), root, 1)
+    with pytest.raises(ValueError):
+        publish(spark.range(9), root, 2, lambda written: written.count() == 8)
+    assert current_version(spark, root) == 1 and read_version(spark, root).count() == 3
+    publish(spark.range(8), root, 3, lambda written: written.count() == 8)
+    assert current_version(spark, root) == 3 and read_version(spark, root).count() == 8
+    assert read_version(spark, root, 1).count() == 3
+
+
 def test_layouts_give_equal_counts(spark, tmp_path):
     emp = gen.course_emp(gen.row_numbers(spark, 500))
     for name, size in (("tiny", 10), ("large", 500)):

@@ -78,7 +78,7 @@ def test_neighbours_keep_nulls(sales, parts):
 @pytest.mark.parametrize("group_rows", [50, 10**6])
 def test_group_ends(sales, direction, group_rows):
     order = [("price", direction), ("id", direction)]
-    got = ranking.with_group_ends(sales, ["g"], order, "price", group_rows=group_rows)
+    got = ranking.with_group_ends(sales, ["g"], order, "price", group_rows=group_rows, broadcast_bytes=0)
     full = Window.partitionBy("g").orderBy(*ranking.sort_columns(order)).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )

@@ -28,19 +28,19 @@ def sides(spark):
 @pytest.mark.parametrize("hot_rows", [10, 40, 500, 10**9])
 def test_equals_plain_join(sides, how, hot_rows):
     left, right = sides
-    assert rows(skew_join(left, right, ["k"], how, hot_rows)) == rows(left.join(right, "k", how))
+    assert rows(skew_join(left, right, ["k"], how, hot_rows, broadcast_bytes=0)) == rows(left.join(right, "k", how))
 
 
 def test_two_key_columns(spark):
     left = spark.range(900).select((F.col("id") % 2).alias("a"), (F.col("id") % 3).alias("b"), F.col("id").alias("v"))
     right = spark.range(6).select((F.col("id") % 2).alias("a"), (F.col("id") % 3).alias("b"), F.col("id").alias("w"))
-    assert rows(skew_join(left, right, ["a", "b"], "inner", 20)) == rows(left.join(right, ["a", "b"]))
+    assert rows(skew_join(left, right, ["a", "b"], "inner", 20, broadcast_bytes=0)) == rows(left.join(right, ["a", "b"]))
 
 
 def test_copies_of_one_row_spread_over_tasks(sides):
     left, right = sides
     left = left.where("k = 1 AND v = 7")
-    joined = skew_join(left, right.groupBy("k").agg(F.max("w").alias("w")), ["k"], "inner", 100)
+    joined = skew_join(left, right.groupBy("k").agg(F.max("w").alias("w")), ["k"], "inner", 100, broadcast_bytes=0)
     text = joined._jdf.queryExecution().toString()
     assert "_share" in text
     assert joined.count() == left.count()
@@ -53,6 +53,20 @@ def test_hot_keys_are_bounded(sides):
     assert hot[1] == 2
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_small_right_side_is_broadcast(sides, how):
+    left, right = sides
+    joined = skew_join(left, right, ["k"], how)
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined) == rows(left.join(right, "k", how))
+
+
+def test_counting_keys_elsewhere_changes_no_row(sides):
+    left, right = sides
+    other = left.where("v < 100")
+    assert rows(skew_join(left, right, ["k"], "inner", 5, 0, count_on=other)) == rows(left.join(right, "k"))
+
+
 def test_unsupported_kind(sides):
     with pytest.raises(ValueError):
         skew_join(*sides, ["k"], "full")
@@ -78,7 +92,7 @@ def test_band_join_equals_comparing_all(spark, how, hot_rows):
     values = [-30.0, -0.25, 0.0, 1.5e-7, 0.5, 3.3, 5.0, 9.99, 10.0, 10.01, 700.0, 749.0, 749.5, 1000.0, 1000.5, None]
     points = spark.createDataFrame([(i, v) for i, v in enumerate(values * 3)], "p int, v double")
     bands = spark.createDataFrame(BANDS, "band int, lo double, hi double")
-    got = rows(band_join(points, bands, "v", "lo", "hi", how, hot_rows).select("p", "band"))
+    got = rows(band_join(points, bands, "v", "lo", "hi", how, hot_rows, broadcast_bytes=0).select("p", "band"))
     expected = []
     for i, v in enumerate(values * 3):
         hits = [b for b, lo, hi in BANDS if v is not None and lo <= v <= hi]
