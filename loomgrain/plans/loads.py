@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from loomgrain.contracts import LOAD_ORDER, RETAIL, Contract
 from loomgrain.operators.quality import REASON, REJECT_COLUMNS, validate_contract
 from loomgrain.session import fresh_path
-from loomgrain.sinks.writers import write_audit, write_rejects
+from loomgrain.sinks.jdbc import write_database_table
+from loomgrain.sinks.writers import write_audit, write_rejects, write_table
+from loomgrain.sources.jdbc import Database
 from loomgrain.sources.readers import read_by_contract
 
 FACT_WRITERS = 4
@@ -103,6 +105,22 @@ def load(
     return outcome
 
 
+def database_target(database: Database, schema: str, mode: str = "append", batch_rows: int = 10_000) -> Target:
+    """Target that writes to the database table of the contract's name."""
+
+    def write(accepted: DataFrame, contract: Contract, writers: int) -> None:
+        write_database_table(
+            accepted, database, f"{schema}.{contract.name}", contract.names, mode, writers, batch_rows
+        )
+
+    return write
+
+
+def folder_target(root: str, fmt: str = "parquet", mode: str = "append") -> Target:
+    """Target that writes to ``<root>/<table>``; files need no bound on their writers."""
+    return lambda accepted, contract, writers: write_table(accepted, fmt, f"{root}/{contract.name}", mode)
+
+
 def in_load_order(tables: Iterable[str], order: Sequence[str] = LOAD_ORDER) -> list[str]:
     """Referenced tables before the tables that point to them."""
     wanted = list(tables)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgrain.session import fresh_path
+from loomgrain.session import fresh_path, scratch_root
 from loomgrain.sinks.writers import write_table
 
 Build = Callable[["Tables"], DataFrame]
@@ -44,7 +44,7 @@ class Tables:
 
     def staged(self, label: str, write: Callable[[str], None]) -> str:
         """Path of a folder that ``write`` fills once per session and data folder."""
-        slot = (self.spark.sparkContext.applicationId, self.folder, label)
+        slot = (scratch_root(self.spark), self.folder, label)
         if slot not in _staged:
             path = fresh_path(self.spark, label)
             write(path)

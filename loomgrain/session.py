@@ -75,17 +75,26 @@ def scratch_root(spark: SparkSession) -> str:
     app_id = spark.sparkContext.applicationId
     if app_id not in _roots:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        local = spark.sparkContext.master.startswith("local")
         if shared:
             _roots[app_id] = f"{shared.rstrip('/')}/loomgrain-{app_id}-{uuid.uuid4().hex[:8]}"
-        elif spark.sparkContext.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="loomgrain-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-            _roots[app_id] = folder
+        elif local:
+            _roots[app_id] = tempfile.mkdtemp(prefix="loomgrain-")
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        if local and "://" not in _roots[app_id]:
+            atexit.register(shutil.rmtree, _roots[app_id].removeprefix("file:"), ignore_errors=True)
     return _roots[app_id]
 
 
+def release(spark: SparkSession) -> None:
+    """Delete this application's working folder, once nothing reads its tables any more."""
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
     return f"{scratch_root(spark)}/{label}-{next(_serial):05d}"
