@@ -3,8 +3,13 @@
 A plain window puts each partition group into one task, and a window without
 a partition puts everything into one. Here rows are first laid out in total
 order by range partitioning, so a large group spreads over many parts; the
-window then runs inside (part, group), and a summary with a few rows per part
-carries the positions across part borders.
+window then runs inside (part, group) and its result is written once. A summary
+with a few rows per part carries the positions across part borders.
+
+Range borders come from a sample, so the summary and the rows must see the same
+layout: both read the written table. ``order`` with its tie break should be
+total, as equal sort keys can neither be split over parts nor keep their order
+when a task runs again.
 """
 
 from __future__ import annotations
@@ -30,29 +35,26 @@ def sort_columns(order: list[Order]) -> list[Column]:
     return [F.asc_nulls_first(n) if d == "asc" else F.desc_nulls_last(n) for n, d in order]
 
 
-def has_large_group(df: DataFrame, partition_by: list[str], group_rows: int) -> bool:
-    """Whether one group exceeds ``group_rows``; the count combines on the map side."""
-    largest = df.groupBy(*partition_by).count().agg(F.max("count").alias("largest")).first()["largest"]
-    return (largest or 0) > group_rows
+def group_sizes(df: DataFrame, partition_by: list[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all; the count combines on the map side."""
+    sizes = df.groupBy(*partition_by).count().agg(F.max("count").alias("largest"), F.sum("count").alias("all")).first()
+    return sizes["largest"] or 0, sizes["all"] or 0
 
 
-def lay_out(df: DataFrame, order: list[Order], parts: int | None = None) -> DataFrame:
-    """Rows in total order, written once, with ``_part`` and ``_pos``.
+def parts_for(df: DataFrame, rows: int | None = None) -> int:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(cores, ceil((df.count() if rows is None else rows) / PART_ROWS))
 
-    Range borders come from a sample, so the layout is written before anything
-    is computed on it. ``order`` should end in a unique column: equal sort keys
-    cannot be split over parts.
-    """
-    if parts is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = max(cores, ceil(df.count() / PART_ROWS))
-    laid = (
+
+def lay_out(df: DataFrame, order: list[Order], parts: int) -> DataFrame:
+    """Rows in total order with ``_part`` and ``_pos``, to be written before it is used twice."""
+    return (
         df.repartitionByRange(parts, *sort_columns(order))
         .sortWithinPartitions(*sort_columns(order))
         # upper bits: partition number, lower 33 bits: position inside it
         .withColumn("_pos", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_pos", 33).cast("int"))
     )
-    return materialise(laid, "layout").withColumn("_part", F.shiftright("_pos", 33).cast("int"))
 
 
 def with_ranks(
@@ -68,7 +70,8 @@ def with_ranks(
     rank and dense_rank treat rows equal in ``order`` as peers; row_number goes
     on to ``tie_break``. Groups that fit a task use a plain window.
     """
-    if partition_by and not has_large_group(df, partition_by, group_rows):
+    largest, rows = group_sizes(df, partition_by) if partition_by else (None, None)
+    if partition_by and largest <= group_rows:
         peers = Window.partitionBy(*partition_by).orderBy(*sort_columns(order))
         total = Window.partitionBy(*partition_by).orderBy(*sort_columns([*order, *tie_break]))
         return df.select(
@@ -77,7 +80,7 @@ def with_ranks(
             F.rank().over(peers).cast("long").alias("rank"),
             F.dense_rank().over(peers).cast("long").alias("dense_rank"),
         )
-    return _ranks_across_parts(df, partition_by, order, tie_break, parts)
+    return _ranks_across_parts(df, partition_by, order, tie_break, parts or parts_for(df, rows))
 
 
 def _ranks_across_parts(df, partition_by, order, tie_break, parts) -> DataFrame:
@@ -85,12 +88,14 @@ def _ranks_across_parts(df, partition_by, order, tie_break, parts) -> DataFrame:
     laid = lay_out(df, [*group, *order, *tie_break], parts)
     in_part = Window.partitionBy("_part", *partition_by).orderBy("_pos")
     key = F.struct(*[F.col(name) for name, _ in order])
-    local = (
+    local = materialise(
         laid.withColumn("_key", key)
         .withColumn("_rn", F.row_number().over(in_part).cast("long"))
         .withColumn("_starts", (F.col("_rn") == 1) | ~F.col("_key").eqNullSafe(F.lag("_key").over(in_part)))
         .withColumn("_dense", F.sum(F.col("_starts").cast("long")).over(in_part))
         .withColumn("_rank", F.max(F.when(F.col("_starts"), F.col("_rn"))).over(in_part))
+        .drop("_starts"),
+        "ranked-parts",
     )
 
     pieces = local.groupBy("_part", *partition_by).agg(
@@ -151,7 +156,7 @@ def _ranks_across_parts(df, partition_by, order, tie_break, parts) -> DataFrame:
 
 def with_global_position(df: DataFrame, order: list[Order], parts: int | None = None) -> DataFrame:
     """Add ``position`` (1-based place in the total order) and ``total_rows``."""
-    laid = lay_out(df, order, parts)
+    laid = materialise(lay_out(df, order, parts or parts_for(df)), "layout")
     sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     # one row per part, so these windows stay small
     by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -193,13 +198,18 @@ def with_neighbours(
     parts: int | None = None,
 ) -> DataFrame:
     """Add the value of ``column`` one row before and one row after in the total order."""
-    laid = lay_out(df, order, parts)
     in_part = Window.partitionBy("_part").orderBy("_pos")
     boxed = F.struct(F.col(column).alias("v"))
+    local = materialise(
+        lay_out(df, order, parts or parts_for(df))
+        .withColumn("_lag", F.lag(boxed).over(in_part))
+        .withColumn("_lead", F.lead(boxed).over(in_part)),
+        "neighbour-parts",
+    )
     # one row per part, so this window stays small
     by_part = Window.orderBy("_part")
     edges = (
-        laid.groupBy("_part")
+        local.groupBy("_part")
         .agg(F.min_by(boxed, "_pos").alias("_first"), F.max_by(boxed, "_pos").alias("_last"))
         .select(
             "_part",
@@ -207,15 +217,10 @@ def with_neighbours(
             F.lead("_first").over(by_part).alias("_from_after"),
         )
     )
-    return (
-        laid.withColumn("_lag", F.lag(boxed).over(in_part))
-        .withColumn("_lead", F.lead(boxed).over(in_part))
-        .join(F.broadcast(edges), "_part")
-        .select(
-            *df.columns,
-            F.coalesce("_lag", "_from_before")["v"].alias(lag_name),
-            F.coalesce("_lead", "_from_after")["v"].alias(lead_name),
-        )
+    return local.join(F.broadcast(edges), "_part").select(
+        *df.columns,
+        F.coalesce("_lag", "_from_before")["v"].alias(lag_name),
+        F.coalesce("_lead", "_from_after")["v"].alias(lead_name),
     )
 
 
