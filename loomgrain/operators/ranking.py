@@ -19,7 +19,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, skew_join
+from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, key_counts, skew_join
 from loomgrain.session import materialise
 
 PART_ROWS = 2_000_000
@@ -35,15 +35,13 @@ def sort_columns(order: list[Order]) -> list[Column]:
     return [F.asc_nulls_first(n) if d == "asc" else F.desc_nulls_last(n) for n, d in order]
 
 
-def group_sizes(df: DataFrame, partition_by: list[str]) -> tuple[int, int]:
-    """Rows of the largest group and of all; the count combines on the map side."""
-    sizes = df.groupBy(*partition_by).count().agg(F.max("count").alias("largest"), F.sum("count").alias("all")).first()
-    return sizes["largest"] or 0, sizes["all"] or 0
+def largest_group(df: DataFrame, partition_by: list[str], limit: int) -> int:
+    """Rows of the largest group, counted closely enough to compare it with ``limit``."""
+    return key_counts(df, partition_by, limit).agg(F.max("_rows").alias("largest")).first()["largest"] or 0
 
 
-def parts_for(df: DataFrame, rows: int | None = None) -> int:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(cores, ceil((df.count() if rows is None else rows) / PART_ROWS))
+def parts_for(df: DataFrame) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, ceil(df.count() / PART_ROWS))
 
 
 def lay_out(df: DataFrame, order: list[Order], parts: int) -> DataFrame:
@@ -70,8 +68,7 @@ def with_ranks(
     rank and dense_rank treat rows equal in ``order`` as peers; row_number goes
     on to ``tie_break``. Groups that fit a task use a plain window.
     """
-    largest, rows = group_sizes(df, partition_by) if partition_by else (None, None)
-    if partition_by and largest <= group_rows:
+    if partition_by and largest_group(df, partition_by, group_rows) <= group_rows:
         peers = Window.partitionBy(*partition_by).orderBy(*sort_columns(order))
         total = Window.partitionBy(*partition_by).orderBy(*sort_columns([*order, *tie_break]))
         return df.select(
@@ -80,7 +77,7 @@ def with_ranks(
             F.rank().over(peers).cast("long").alias("rank"),
             F.dense_rank().over(peers).cast("long").alias("dense_rank"),
         )
-    return _ranks_across_parts(df, partition_by, order, tie_break, parts or parts_for(df, rows))
+    return _ranks_across_parts(df, partition_by, order, tie_break, parts or parts_for(df))
 
 
 def _ranks_across_parts(df, partition_by, order, tie_break, parts) -> DataFrame:

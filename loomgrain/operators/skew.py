@@ -12,6 +12,8 @@ HOT_ROWS = 5_000_000
 BROADCAST_BYTES = 256 * MB
 BROADCAST_ROWS = 2_000_000
 NULL_KEY_SHARES = 4096
+SAMPLE_ROWS = 1000
+SAMPLE_SEED = 20260101
 
 _FIXED_WIDTH = 16
 
@@ -47,20 +49,40 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows
     return F.broadcast(df) if fits_broadcast(df, max_bytes, max_rows) else df
 
 
+def key_counts(df: DataFrame, on: list[str], limit: int) -> DataFrame:
+    """Rows per key, good enough to tell keys with more than ``limit`` rows apart.
+
+    For large limits the count comes from a sample that holds about a thousand
+    rows of a key at the limit, so hardly any key is shuffled. The counts choose
+    a strategy; no result is computed from them.
+    """
+    fraction = min(1.0, SAMPLE_ROWS / limit)
+    seen = df.select(*on) if fraction == 1.0 else df.select(*on).sample(fraction, seed=SAMPLE_SEED)
+    return seen.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(fraction)).alias("_rows"))
+
+
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and how many shares to cut each into.
 
-    The count combines on the map side, and at most ``rows / hot_rows`` keys
-    can qualify, so the result is bounded whatever the data looks like.
+    At most ``rows / hot_rows`` keys can qualify, so the result is bounded
+    whatever the data looks like.
     """
     return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        key_counts(df, on, hot_rows)
         .where(F.col("_rows") > hot_rows)
         .select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_shares"))
     )
 
 
+def _hottest(hot: DataFrame) -> DataFrame:
+    """As many of the hottest keys as a broadcast may hold."""
+    least = 1
+    while not fits_broadcast(hot):
+        least *= 2
+        hot = hot.where(F.col("_shares") > least)
+    return F.broadcast(hot)
+
+
 def _share(df: DataFrame, shares):
     """A row's share: content and input partition decide, so that neither a hot
     key nor a run of identical copies ends up in one place, and a task that is
@@ -95,7 +117,7 @@ def skew_join(
     hot = materialise(hot_keys(left if count_on is None else count_on, on, hot_rows), "hot-keys")
     if hot.isEmpty():
         return left.join(right, on, how)
-    hot = broadcast_if_small(hot)
+    hot = _hottest(hot)
     no_key = F.expr(" OR ".join(f"`{k}` IS NULL" for k in on))
     shared_left = (
         left.join(hot, on, "left")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loomgrain.operators.bands import band_join
-from loomgrain.operators.skew import broadcast_if_small, fits_broadcast, hot_keys, skew_join
+from loomgrain.operators import skew
+from loomgrain.operators.skew import broadcast_if_small, fits_broadcast, hot_keys, key_counts, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +68,25 @@ def test_counting_keys_elsewhere_changes_no_row(sides):
     assert rows(skew_join(left, right, ["k"], "inner", 5, 0, count_on=other)) == rows(left.join(right, "k"))
 
 
+def test_large_limits_count_on_a_sample(spark):
+    many = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    counted = key_counts(many, ["k"], 20_000)
+    assert "Sample" in counted._jdf.queryExecution().toString()
+    hot = {r["k"]: r["_shares"] for r in hot_keys(many, ["k"], 20_000).collect()}
+    assert set(hot) == {0} and 4 <= hot[0] <= 6
+    names = spark.range(300_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = skew_join(many, names, ["k"], "inner", 20_000, broadcast_bytes=0)
+    assert joined.agg(F.count("*"), F.sum("w"), F.sum("id")).first() == many.join(names, "k").agg(
+        F.count("*"), F.sum("w"), F.sum("id")
+    ).first()
+
+
+def test_only_the_hottest_keys_are_kept_when_there_are_too_many(spark, monkeypatch):
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: df.count() <= 2)
+    hot = spark.createDataFrame([(i, i + 2) for i in range(9)], "k bigint, _shares int")
+    assert sorted(r["k"] for r in skew._hottest(hot).collect()) == [7, 8]
+
+
 def test_unsupported_kind(sides):
     with pytest.raises(ValueError):
         skew_join(*sides, ["k"], "full")
