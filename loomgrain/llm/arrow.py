@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+ROWS_AT_ONCE = 256
+
+
 def map_texts(rows: DataFrame, schema: str, start: Callable[[], Callable[..., tuple]]) -> DataFrame:
     """One output row per input row: ``start()`` runs once per task and gives the function for a row's values.
 
@@ -25,8 +28,8 @@ def map_texts(rows: DataFrame, schema: str, start: Callable[[], Callable[..., tu
         each = start()
         for batch in batches:
             # a batch may hold very long texts: a few rows at a time become Python objects
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
                 made = [each(*values) for values in zip(*[column.to_pylist() for column in part.columns])]
                 columns = list(zip(*made))
                 yield pa.RecordBatch.from_arrays(
@@ -34,3 +37,23 @@ def map_texts(rows: DataFrame, schema: str, start: Callable[[], Callable[..., tu
                 )
 
     return rows.mapInArrow(work, wanted)
+
+
+def with_computed(rows: DataFrame, name: str, kind: T.DataType, column: str, start: Callable[[], Callable]) -> DataFrame:
+    """``rows`` with one more column computed from ``column``; the others pass through as they are."""
+    wanted = T.StructType([*rows.schema.fields, T.StructField(name, kind)])
+    place = rows.columns.index(column)
+
+    def work(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        arrow = to_arrow_type(kind)
+        each = start()
+        for batch in batches:
+            made = []
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                made += [each(value) for value in batch.column(place).slice(first, ROWS_AT_ONCE).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], names=[*batch.schema.names, name])
+
+    return rows.mapInArrow(work, wanted)

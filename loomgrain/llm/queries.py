@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, licenses, mixing, secrets
-from loomgrain.llm.common import documents
+from loomgrain.llm import exact_dedup, licenses, mixing, quality, secret_scan
+from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,10 +89,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op1_secrets")
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir))
+    found = secret_scan.scan(documents(spark, sf_dir))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_confirmed")
 
 
 @register("op6_licenses")
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir)).drop("found")
+
+
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (crc_remainder(quality.HOLD_OUT) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
