@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, licenses, mixing, quality, secret_scan
+from loomgrain.llm import exact_dedup, licenses, mixing, near_dedup, quality, secret_scan
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@register("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), size=2)
