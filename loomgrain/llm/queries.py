@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, licenses, mixing, near_dedup, quality, secret_scan
+from loomgrain.llm import exact_dedup, licenses, mixing, near_dedup, packing, quality, secret_scan
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_near_dedup")
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), size=2)
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary files have ``name``; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
