@@ -10,8 +10,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgrain.session import materialise
+
 # The characters that separate words, also as the operators' contracts write them.
 BLANKS = " \t\n\x0b\x0c\r"
+FILES_PER_CORE = 6
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -31,6 +35,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared working folder, in a number of files that follows the cluster, not the splits.
+
+    What is kept between steps is narrow: one file per input split would be
+    many more files than the rows need.
+    """
+    return materialise(df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def crc_remainder(divisor: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``divisor``; a missing id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))

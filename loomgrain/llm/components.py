@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.session import materialise
+from loomgrain.llm.common import written
+
 
 MOST_ROUNDS = 60
 
@@ -20,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     join back has one row per node on one side, so a node with very many
     neighbours is split like any skewed join.
     """
-    current = materialise(
+    current = written(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "cc-edges"
     )
     before = None
@@ -28,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionAll(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = materialise(large, "cc-large")
+        large = written(large, "cc-large")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(lowest, "u")
         small = (
@@ -36,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
             .unionAll(lowest.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        current = materialise(small, "cc-small")
+        current = written(small, "cc-small")
         # order-free digest of the edges: unchanged means every edge leads to its component's smallest node
         state = current.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")

@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm.common import private_name, shuffle_partitions, text_or_empty
-from loomgrain.session import fresh_path, materialise
+from loomgrain.llm.common import private_name, shuffle_partitions, text_or_empty, written
+from loomgrain.session import fresh_path
 
 INDEX_SCHEMA = "digest binary, keep_id long, keep_chars long"
 
@@ -77,9 +77,9 @@ def decisions(docs: DataFrame, index: DigestIndex) -> DataFrame:
     A digest the index knew before keeps the id it has there and none of the
     new rows; otherwise the longest text, then the smallest id, is kept.
     """
-    digests = materialise(document_digests(docs), "digests")
+    digests = written(document_digests(docs), "digests")
     # copies meet in the partial aggregate first, so a digest shared by a third of all rows is no hot key
-    winners = materialise(
+    winners = written(
         digests.groupBy("digest")
         .agg(F.max(F.struct("chars", (-F.col("doc_id")).alias("minus_id"))).alias("best"), F.count(F.lit(1)).alias("size"))
         .select(
@@ -90,7 +90,7 @@ def decisions(docs: DataFrame, index: DigestIndex) -> DataFrame:
         ),
         "digest-winners",
     )
-    fresh = materialise(winners.join(index.rows().hint("merge"), "digest", "left_anti"), "digest-fresh")
+    fresh = written(winners.join(index.rows().hint("merge"), "digest", "left_anti"), "digest-fresh")
     index.append(fresh)
     known = winners.join(index.rows().hint("merge").select("digest", F.col("keep_id").alias("old_id")), "digest")
     settled = known.join(fresh.select("digest", F.lit(True).alias("new")), "digest", "left").select(
@@ -116,7 +116,7 @@ def decisions(docs: DataFrame, index: DigestIndex) -> DataFrame:
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they came."""
     index = index or scratch_index(docs.sparkSession)
-    kept = materialise(
+    kept = written(
         decisions(docs, index).where("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")),
         "digest-kept",
     )

@@ -19,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgrain.llm.common import WORD, private_name, shuffle_partitions, text_or_empty
-from loomgrain.session import materialise
+from loomgrain.llm.common import WORD, private_name, shuffle_partitions, text_or_empty, written
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -77,7 +76,7 @@ def ranked(sizes: DataFrame) -> DataFrame:
     """
     spark = sizes.sparkSession
     order = ["source", "size", "doc_id"]
-    parted = materialise(
+    parted = written(
         sizes.repartitionByRange(shuffle_partitions(spark), *order).withColumn("part", F.spark_partition_id()), "mix-parts"
     )
     counts = parted.groupBy("source", "part").agg(F.count(F.lit(1)).alias("rows"))
@@ -92,7 +91,7 @@ def ranked(sizes: DataFrame) -> DataFrame:
 
 def copies(docs: DataFrame, weights=WEIGHTS, most_copies: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, copies: one row per row of ``docs``."""
-    sizes = materialise(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
+    sizes = written(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
     targets = source_targets(sizes, weights, most_copies)
     a, b = ranked(sizes).alias("a"), targets.alias("b")
     joined = a.join(b, F.expr("a.source <=> b.source")).select("a.*", "b.source_size", "b.target")
@@ -118,7 +117,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most_copies: int = MOST_COPIES, seed:
     """
     wanted = copies(docs, weights, most_copies, seed).where("copies > 0")
     key = ["doc_id", "source", "size"]
-    plan = materialise(
+    plan = written(
         wanted.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")), "mix-plan"
     )
     names = {k: private_name(k) for k in (*key, "copies", "rows", "n")}

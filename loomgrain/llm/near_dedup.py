@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgrain.llm.arrow import map_texts
+from loomgrain.llm.common import written
 from loomgrain.llm.components import components
-from loomgrain.session import materialise
 
 SHINGLE = 5
 TABLES = 9
@@ -146,33 +146,33 @@ def with_agreement(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of class representatives whose full shingle sets are similar enough."""
-    nodes = materialise(
+    nodes = written(
         pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), "near-nodes"
     )
     # the texts of candidates only; where these are few, Spark sends the ids to the texts
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
-    sets = materialise(shingle_sets(texts, size), "near-sets")
+    sets = written(shingle_sets(texts, size), "near-sets")
     met = (
         pairs.select("a", "b")
         .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", (F.size("x") + F.size("y")).alias("sizes"), F.size(F.array_intersect("x", "y")).alias("both"))
     )
-    return materialise(met.where(F.col("both") * 100 >= percent * (F.col("sizes") - F.col("both"))).select("a", "b").distinct(), "near-links")
+    return written(met.where(F.col("both") * 100 >= percent * (F.col("sizes") - F.col("both"))).select("a", "b").distinct(), "near-links")
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int, percent: int) -> DataFrame:
     """a, b: enough links between classes to give every component."""
     keys = table_keys(classes, tables, rows)
     # copies of a key meet in the partial aggregate, so a key of a third of all classes is no hot key here
-    buckets = materialise(
+    buckets = written(
         keys.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first"),
         "near-buckets",
     )
     # one row per key on the right: a hot key's rows can be split
-    members = materialise(keys.join(buckets, "key").where("node != first").select("key", "first", "node"), "near-members")
-    star = materialise(with_agreement(members.select(F.col("first").alias("a"), F.col("node").alias("b")), classes), "near-star")
-    linked = verified(materialise(star.where(F.col("share") >= LEAST_SHARE), "near-close"), docs, size, percent)
+    members = written(keys.join(buckets, "key").where("node != first").select("key", "first", "node"), "near-members")
+    star = written(with_agreement(members.select(F.col("first").alias("a"), F.col("node").alias("b")), classes), "near-star")
+    linked = verified(written(star.where(F.col("share") >= LEAST_SHARE), "near-close"), docs, size, percent)
 
     tested = star.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").select(
         F.col("a").alias("first"), F.col("b").alias("node"), "share", F.coalesce("linked", F.lit(False)).alias("linked")
@@ -189,7 +189,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int
             F.coalesce("first_component", "first").alias("first_component"),
         )
     )
-    placed = materialise(placed, "near-placed")
+    placed = written(placed, "near-placed")
     others = placed.where("NOT linked").select("key", "node", "share", "component", "first_component")
     x, y = others.alias("x"), others.alias("y")
     among = x.join(
@@ -202,7 +202,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int
     near = others.where((F.col("share") >= NEAR_SHARE) & (F.col("component") != F.col("first_component")))
     inside = placed.where("linked").select("key", F.col("node").alias("inner"))
     across = inside.join(near.select("key", "node"), "key").select(F.least("inner", "node").alias("a"), F.greatest("inner", "node").alias("b"))
-    again = materialise(with_agreement(among.unionAll(across), classes).where(F.col("share") >= LEAST_SHARE).select("a", "b"), "near-again")
+    again = written(with_agreement(among.unionAll(across), classes).where(F.col("share") >= LEAST_SHARE).select("a", "b"), "near-again")
     if again.isEmpty():
         return linked
     return linked.unionAll(verified(again, docs, size, percent))
@@ -212,13 +212,13 @@ def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, tables: int = TABLES, rows: int = ROWS, percent: int = PERCENT
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
-    signed = materialise(signatures(docs, size, tables, rows), "near-signatures")
+    signed = written(signatures(docs, size, tables, rows), "near-signatures")
     usable = signed.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = materialise(
+    classes = written(
         usable.groupBy("digest").agg(F.min("doc_id").cast("long").alias("node"), F.first("signature").alias("signature")),
         "near-classes",
     )
-    members = materialise(
+    members = written(
         usable.select("doc_id", "digest").join(classes.select("digest", "node"), "digest").select("doc_id", "node"), "near-of-class"
     )
     # an id that occurs with several texts links their classes
@@ -240,5 +240,5 @@ def near_duplicates(
 def keep_one_each(docs: DataFrame, size: int = SHINGLE, tables: int = TABLES, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are not their component's first; columns as they came."""
     found = near_duplicates(docs, size, tables, rows, percent)
-    gone = materialise(found.where("NOT kept").select(F.col("doc_id").alias(GONE)).distinct(), "near-gone")
+    gone = written(found.where("NOT kept").select(F.col("doc_id").alias(GONE)).distinct(), "near-gone")
     return docs.join(gone, F.col("doc_id") == F.col(GONE), "left_anti")
