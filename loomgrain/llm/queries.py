@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, licenses, mixing, near_dedup, packing, quality, secret_scan
+from loomgrain.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, secret_scan
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @register("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
+
+
+@register("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir))
