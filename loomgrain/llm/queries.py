@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, secret_scan
+from loomgrain.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, secret_scan, toxicity
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_fingerprints")
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir))
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (crc_remainder(toxicity.HOLD_OUT) == toxicity.HELD).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"),
+    )
