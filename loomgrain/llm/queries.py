@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, secret_scan, toxicity
+from loomgrain.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, private_data, quality, secret_scan, toxicity
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@register("op3_private_data")
+def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return private_data.scan(docs, private_data.fit(docs)).drop("found")
