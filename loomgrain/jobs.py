@@ -13,7 +13,7 @@ from loomgrain.plans.changes import apply_changes
 from loomgrain.plans.datasets import SIZES, write_banking, write_changes, write_course, write_io_lab, write_scenario
 from loomgrain.plans.lake import BANKING_TABLES, build_bronze_silver, compact_folder, load_batches
 from loomgrain.plans.loads import database_target, folder_target, load
-from loomgrain.session import build_session, object_store_settings
+from loomgrain.session import build_session, object_store_settings, release
 from loomgrain.sources.jdbc import Database
 from loomgrain.sources.readers import FORMATS
 from loomgrain.sources.routing import pick_tables, route, select_scenarios
@@ -133,7 +133,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
             for number in select_scenarios(args.scenarios)
         ]
     if args.kind == "changes":
-        return write_changes(spark, args.target, args.updates, args.deletes, args.rows_per_file)
+        return write_changes(spark, args.target, args.updates, args.deletes, args.rows_per_file, allow_more=args.allow_more_files)
     if args.kind == "io":
         return write_io_lab(spark, args.target, allow_more=args.allow_more_files)
     return write_banking(spark, args.target, args.format, args.customers, args.first_day, args.days)
@@ -150,6 +150,7 @@ def main() -> None:
     try:
         print(run(spark, args))
     finally:
+        release(spark)
         spark.stop()
 
 

@@ -10,6 +10,10 @@ from loomgrain.session import materialise
 
 FINEST_LEVEL = -20
 FINEST_CELL = 2.0**FINEST_LEVEL
+# cell numbers stay below 2^CELL_BITS, where a double still tells neighbours apart
+CELL_BITS = 50
+# above the level of any finite width: one cell for all bands without an end
+OPEN_LEVEL = 1100
 
 
 def band_join(
@@ -25,17 +29,26 @@ def band_join(
     """Rows of ``points`` paired with the ``bands`` where low <= value <= high.
 
     A band belongs to the level whose cell size is the power of two just above
-    its width, so it touches at most two cells however wide it is. A point
-    looks up one cell per level that occurs. The cells give an equi join, and
-    the original predicate settles the match.
+    its width, so it touches at most two cells however wide it is. The cell
+    also grows with the band's values, so that cell numbers stay exact for
+    values up to the largest double. Bands with an infinite end share one level
+    of one cell. A point looks up one cell per level that occurs. The cells
+    give an equi join, and the original predicate settles the match.
     """
     if how not in {"inner", "left"}:
         raise ValueError(f"band_join does not support {how}")
-    width = F.greatest(F.col(high) - F.col(low), F.lit(0)).cast("double")
-    level = F.when(width <= FINEST_CELL, F.lit(FINEST_LEVEL)).otherwise(F.ceil(F.log2(width)).cast("int"))
+    low_value, high_value = (F.col(x).cast("double") for x in (low, high))
+    width = F.greatest(high_value - low_value, F.lit(0.0))
+    by_width = F.when(width <= FINEST_CELL, F.lit(FINEST_LEVEL)).otherwise(F.ceil(F.log2(width)).cast("int"))
+    size = F.greatest(F.abs(low_value), F.abs(high_value))
+    by_size = F.when(size < 1, F.lit(FINEST_LEVEL)).otherwise(F.ceil(F.log2(size)).cast("int") - CELL_BITS)
+    finite = (size < F.lit(float("inf"))) & (width < F.lit(float("inf")))
+    level = F.when(finite, F.greatest(by_width, by_size)).otherwise(F.lit(OPEN_LEVEL))
 
     def cell(column, lvl):
-        return F.floor(F.col(column).cast("double") / F.pow(F.lit(2.0), lvl)).cast("long")
+        # the quotient of a point may pass the range of a long, where floor stops at its end: no band lies there
+        placed = F.floor(F.col(column).cast("double") / F.pow(F.lit(2.0), lvl)).cast("long")
+        return F.when(lvl < OPEN_LEVEL, placed).otherwise(F.lit(0).cast("long"))
 
     placed = (
         bands.where(F.col(low) <= F.col(high))

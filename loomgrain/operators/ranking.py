@@ -23,6 +23,7 @@ from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, key_counts, skew
 from loomgrain.session import materialise
 
 PART_ROWS = 2_000_000
+GROUP_SHARES = 64
 
 Order = tuple[str, str]
 
@@ -254,7 +255,18 @@ def top_per_group(df: DataFrame, partition_by: list[str], order: list[Order], n:
     """The first ``n`` rows of each group.
 
     Spark cuts every map task's share of a group to ``n`` rows before the
-    shuffle (WindowGroupLimit), so a hot group sends ``n`` rows per task.
+    shuffle (WindowGroupLimit), so a hot group sends ``n`` rows per task. Above
+    the limit up to which Spark does so, groups are cut in shares first: a
+    task then sees a share of a hot group, and ``n`` rows of each share are left.
     """
-    ranked = Window.partitionBy(*partition_by).orderBy(*sort_columns(order))
-    return df.withColumn("_place", F.row_number().over(ranked)).where(F.col("_place") <= n).drop("_place")
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    order_by = sort_columns(order)
+
+    def cut(rows: DataFrame, groups: list[str]) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
+        return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+
+    if n > limit:
+        content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id()
+        df = cut(df.withColumn("_share", F.pmod(content, F.lit(GROUP_SHARES))), [*partition_by, "_share"]).drop("_share")
+    return cut(df, partition_by)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from loomgrain.session import MB, materialise
 
 HOT_ROWS = 5_000_000
+HOT_BYTES = 1024 * MB
 BROADCAST_BYTES = 256 * MB
 BROADCAST_ROWS = 2_000_000
 NULL_KEY_SHARES = 4096
@@ -61,6 +62,12 @@ def key_counts(df: DataFrame, on: list[str], limit: int) -> DataFrame:
     return seen.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(fraction)).alias("_rows"))
 
 
+def hot_limit(df: DataFrame, hot_rows: int = HOT_ROWS, hot_bytes: int = HOT_BYTES) -> int:
+    """Rows of one key a task may hold: ``hot_rows``, fewer where rows are wide. A few rows tell their width."""
+    width = df.limit(SAMPLE_ROWS).agg(F.avg(row_bytes(df)).alias("width")).first()["width"]
+    return max(1, min(hot_rows, int(hot_bytes / width))) if width else hot_rows
+
+
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and how many shares to cut each into.
 
@@ -114,7 +121,8 @@ def skew_join(
         raise ValueError(f"skew_join does not support {how}")
     if fits_broadcast(right, broadcast_bytes):
         return left.join(F.broadcast(right), on, how)
-    hot = materialise(hot_keys(left if count_on is None else count_on, on, hot_rows), "hot-keys")
+    counted = left if count_on is None else count_on
+    hot = materialise(hot_keys(counted, on, hot_limit(left, hot_rows)), "hot-keys")
     if hot.isEmpty():
         return left.join(right, on, how)
     hot = _hottest(hot)

@@ -60,7 +60,13 @@ def _number(table: str, key: str):
 
 
 def write_changes(
-    spark: SparkSession, root: str, updates: int, deletes: int, rows_per_file: int, fmts: Iterable[str] = ("csv", "json", "parquet")
+    spark: SparkSession,
+    root: str,
+    updates: int,
+    deletes: int,
+    rows_per_file: int,
+    fmts: Iterable[str] = ("csv", "json", "parquet"),
+    allow_more: bool = False,
 ) -> list[tuple[str, str, int, int]]:
     """``updates`` U records and ``deletes`` D records, in each format."""
     if updates < 0 or deletes < 0:
@@ -70,7 +76,7 @@ def write_changes(
     for fmt in fmts if rows else ():
         frame = gen.change_records(gen.row_numbers(spark, rows), updates).withColumn("_n", F.col("transaction_id"))
         path = f"{root}/11_cdc_sales_transaction/{fmt}/{CHANGES.name}"
-        files = write_layout(frame, fmt, path, rows_per_file, "_n", SCENARIO_FILES, drop_number=True)
+        files = write_layout(frame, fmt, path, rows_per_file, "_n", SCENARIO_FILES, allow_more, drop_number=True)
         entries.append((CHANGES.name, fmt, files, rows))
     if entries:
         write_manifest(spark, root, "cdc", entries)

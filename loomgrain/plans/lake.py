@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomgrain.functions.values import normal_email
 from loomgrain.operators.skew import broadcast_if_small
-from loomgrain.session import materialise
+from loomgrain.session import delete_path, materialise, path_exists, session_settings
 from loomgrain.sinks.tables import create_namespace, replace_table
-from loomgrain.sinks.writers import TARGET_FILE_BYTES, files_for_bytes, folder_bytes, write_table
+from loomgrain.sinks.writers import TARGET_FILE_BYTES, write_table
+from loomgrain.sources.files import list_files
 from loomgrain.sources.readers import read_batch, read_table
 
 ROWS_PER_FILE = 5_000_000
@@ -115,13 +115,19 @@ def load_batches(
     schemas: dict[str, T.StructType] | None = None,
     mode: str | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    repeated: str = "refuse",
 ) -> list[str]:
     """bulk, incremental, reprocess or compact load of dated source folders.
 
-    bulk loads every date, the others one. reprocess replaces just its date;
-    compact writes that date's rows as few files to ``<target_root>_compacted``.
+    bulk loads every date, the others one. reprocess replaces just its date and
+    clears it if the source has no rows for it any more; compact writes that
+    date's rows as few files to ``<target_root>_compacted``. An incremental
+    load of a date that is there already is refused, or with ``repeated``
+    "replace" takes its place, so that a repeated load never doubles a date.
     Returns the folders written.
     """
+    if repeated not in {"refuse", "replace"}:
+        raise ValueError(f"unknown way to handle a repeated date: {repeated}")
     if load_type not in {"bulk", "incremental", "reprocess", "compact"}:
         raise ValueError(f"unknown load type: {load_type}")
     if load_type != "bulk" and not batch_date:
@@ -129,7 +135,7 @@ def load_batches(
     written = []
     for table in tables:
         rows = read_batch(
-            spark,
+            packing_session(spark) if load_type == "compact" else spark,
             source_format,
             f"{source_root}/{table}",
             None if load_type == "bulk" else batch_date,
@@ -138,11 +144,20 @@ def load_batches(
         if load_type == "compact":
             # the folder name carries the date, so the files need not
             target = f"{target_root}_compacted/{table}/batch_date={batch_date}"
-            files = max(1, ceil(rows.count() / rows_per_file))
-            write_table(rows.drop("batch_date").repartition(files), target_format, target, mode or "overwrite")
+            write_table(rows.drop("batch_date"), target_format, target, mode or "overwrite", rows_per_file=rows_per_file)
         else:
             target = f"{target_root}/{table}"
-            write_dated(rows, target_format, target, load_type, mode, rows_per_file)
+            kind = load_type
+            day = f"{target}/batch_date={batch_date}"
+            if load_type == "incremental" and path_exists(spark, day):
+                if repeated == "refuse":
+                    raise FileExistsError(f"{day} is loaded already")
+                kind = "reprocess"
+            if kind == "reprocess" and rows.isEmpty():
+                # a dynamic overwrite touches only dates that have rows
+                delete_path(spark, day)
+            else:
+                write_dated(rows, target_format, target, kind, mode, rows_per_file)
         written.append(target)
     return written
 
@@ -150,7 +165,11 @@ def load_batches(
 def write_dated(
     rows: DataFrame, fmt: str, target: str, load_type: str, mode: str | None = None, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
-    """Write ``batch_date=`` folders; a date gets as many tasks as its rows need."""
+    """Write ``batch_date=`` folders; a date gets as many tasks as its rows need.
+
+    The tasks of all dates are numbered, so no two of them meet by chance. Rows
+    without a date are kept and go to the default folder of the partitioning.
+    """
     default = {"bulk": "overwrite", "incremental": "append", "reprocess": "overwrite"}[load_type]
     # one row per date
     tasks = materialise(
@@ -160,10 +179,15 @@ def write_dated(
         "date-tasks",
     )
     all_tasks = tasks.agg(F.sum("_tasks").alias("tasks")).first()["tasks"] or 1
-    task = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.col("_tasks"))
-    spread = rows.join(broadcast_if_small(tasks), "batch_date").withColumn("_task", task)
+    before = Window.orderBy("batch_date").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = tasks.select(
+        F.col("batch_date").alias("_date"), "_tasks", F.coalesce(F.sum("_tasks").over(before), F.lit(0)).alias("_first")
+    )
+    share = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.col("_tasks"))
+    met = rows.join(broadcast_if_small(numbered), F.col("batch_date").eqNullSafe(F.col("_date")))
+    spread = met.withColumn("_task", (F.col("_first") + share).cast("int"))
     write_table(
-        spread.repartition(all_tasks, "batch_date", "_task").select(*rows.columns),
+        spread.repartitionById(all_tasks, "_task").select(*rows.columns),
         fmt,
         target,
         mode or default,
@@ -181,9 +205,25 @@ def compact_folder(
     target_bytes: int = TARGET_FILE_BYTES,
     schema: T.StructType | None = None,
 ) -> int:
-    """Rewrite a folder of small files as ``files`` files, by default sized from its bytes."""
+    """Rewrite a folder of small files with files of about ``target_bytes``; returns how many.
+
+    Tasks read as many bytes as a file should have, so nothing is shuffled. An
+    exact number of ``files`` needs a shuffle.
+    """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("cannot compact a folder onto itself")
-    files = files or files_for_bytes(folder_bytes(spark, source), target_bytes)
-    write_table(read_table(spark, fmt, source, schema=schema).repartition(files), fmt, target, mode="overwrite")
-    return files
+    rows = read_table(packing_session(spark, target_bytes), fmt, source, schema=schema)
+    write_table(rows.repartition(files) if files else rows, fmt, target, mode="overwrite")
+    return list_files(spark, target, f"*.{fmt}").count()
+
+
+def packing_session(spark: SparkSession, target_bytes: int = TARGET_FILE_BYTES) -> SparkSession:
+    """A session of the same application whose scans read ``target_bytes`` per task, small files together."""
+    session = spark.newSession()
+    for name, value in session_settings().items():
+        if name.startswith("spark.sql."):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    return session

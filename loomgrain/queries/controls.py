@@ -8,6 +8,7 @@ from loomgrain.plans.layout import scan_facts, timed
 from loomgrain.queries.registry import query
 from loomgrain.queries.shapes import EVENTS, dated_feed, event_days, event_sql, order_sql, order_summary, spread
 from loomgrain.session import session_settings
+from loomgrain.sources.files import list_files
 from loomgrain.sources.readers import read_batch
 
 c = F.col
@@ -86,13 +87,33 @@ def explain(t):
 
 @query(
     "session_conf",
-    """SELECT o_orderpriority, COUNT(*) AS orders, CAST(1 AS BIGINT) AS adaptive FROM orders GROUP BY o_orderpriority""",
+    """SELECT o_orderpriority, COUNT(*) AS orders, CAST(1 AS BIGINT) AS adaptive, CAST(1 AS BIGINT) AS partition_bytes,
+       CAST(1 AS BIGINT) AS open_cost, CAST(1 AS BIGINT) AS shuffle_partitions FROM orders GROUP BY o_orderpriority""",
 )
 def session_conf(t):
-    wanted = session_settings()["spark.sql.adaptive.enabled"]
-    adaptive = int(t.spark.conf.get("spark.sql.adaptive.enabled") == wanted)
-    counted = t["orders"].groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
-    return counted.withColumn("adaptive", F.lit(adaptive).cast("long"))
+    # values that are nobody's default are set in a session of their own and must arrive in its plans
+    session = t.spark.newSession()
+    names = {
+        "adaptive": "spark.sql.adaptive.enabled",
+        "partition_bytes": "spark.sql.files.maxPartitionBytes",
+        "open_cost": "spark.sql.files.openCostInBytes",
+        "shuffle_partitions": "spark.sql.shuffle.partitions",
+    }
+    wanted = {**session_settings(13), "spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "0"}
+    for name in names.values():
+        session.conf.set(name, wanted[name])
+    orders = session.read.parquet(t.path("orders"))
+    counted = orders.groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    size = sum(r["length"] for r in list_files(session, t.path("orders")).select("length").collect())
+    splits = orders.rdd.getNumPartitions()
+    holds = {
+        "adaptive": "AdaptiveSparkPlan" in plan,
+        "partition_bytes": splits >= size / 65536,
+        "open_cost": session.conf.get(names["open_cost"]) == "0",
+        "shuffle_partitions": ", 13)" in plan,
+    }
+    return counted.withColumns({name: F.lit(int(ok)).cast("long") for name, ok in holds.items()})
 
 
 @query(

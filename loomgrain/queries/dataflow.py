@@ -21,7 +21,7 @@ from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import load_many, stage
 from loomgrain.plans.publish import current_version, publish, read_version
 from loomgrain.queries.changes import order_changes, order_transactions
-from loomgrain.queries.registry import query
+from loomgrain.queries.registry import own_name, query
 from loomgrain.queries.shapes import (
     CONTRACTS,
     CUSTOMER,
@@ -229,7 +229,7 @@ def lake_sources(t):
 def lake(t):
     """Bronze and silver tables, built once per session and data folder."""
     number = crc32(t.folder.encode())
-    bronze, silver = f"loomgrain_bronze_{number}", f"loomgrain_silver_{number}"
+    bronze, silver = own_name(t.spark, f"bronze_{number}"), own_name(t.spark, f"silver_{number}")
 
     def write(path):
         build_bronze_silver(
@@ -344,6 +344,8 @@ def selected_tables(t):
     """SELECT 'rows per date' AS check_name, strftime(ts, '%Y-%m-%d') AS subject, COUNT(*) AS row_count FROM events GROUP BY 2
        UNION ALL SELECT 'failed per date', strftime(ts, '%Y-%m-%d'), COUNT(*) FROM events WHERE event_type = 'error' GROUP BY 2
        UNION ALL SELECT 'per channel', event_type, COUNT(*) FROM events GROUP BY event_type
+       UNION ALL SELECT 'purchases per date', strftime(ts, '%Y-%m-%d'), COUNT(*) FROM events WHERE event_type = 'purchase' GROUP BY 2
+       UNION ALL SELECT 'segment list', c_mktsegment, COUNT(*) FROM customer GROUP BY c_mktsegment
        UNION ALL SELECT 'customers reminded', 'all', COUNT(*) FROM customer
              WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error')""",
 )
@@ -360,6 +362,8 @@ def batch_checks(t):
         check("rows per date", events, day),
         check("failed per date", failed, day),
         check("per channel", events, c("event_type")),
+        check("purchases per date", events.where("event_type = 'purchase'"), day),
+        check("segment list", t["customer"], c("c_mktsegment")),
         reminded.agg(F.count("*").alias("row_count")).withColumns(
             {"subject": F.lit("all"), "check_name": F.lit("customers reminded")}
         ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -25,6 +26,11 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
+def own_name(spark: SparkSession, label: str) -> str:
+    """A catalogue name no other application uses, so that two runs never drop each other's tables."""
+    return f"loomgrain_{label}_" + re.sub("[^a-z0-9]+", "_", spark.sparkContext.applicationId.lower())
+
+
 class Tables:
     """The Parquet tables of one data folder."""
 

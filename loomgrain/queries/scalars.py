@@ -1,9 +1,12 @@
 """Scalar functions."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from loomgrain.functions.values import normal_code, normal_email, try_convert, try_date
 from loomgrain.queries.registry import query
+from loomgrain.session import materialise
 
 c = F.col
 
@@ -154,12 +157,20 @@ def cast_types(t):
     )
 
 
-@query("load_timestamp", "SELECT c_custkey, CAST(1 AS BIGINT) AS load_times FROM customer")
+@query(
+    "load_timestamp",
+    "SELECT c_custkey, CAST(1 AS BIGINT) AS in_time, CAST(1 AS BIGINT) AS load_times FROM customer",
+)
 def load_timestamp(t):
-    # one value for the whole query, so every row sees the same load time
-    stamped = t["customer"].select("c_custkey", F.current_timestamp().alias("load_ts"))
-    same = F.when(c("load_ts") == F.current_timestamp(), 1).otherwise(0)
-    return stamped.select("c_custkey", same.cast("long").alias("load_times"))
+    # the stamp lies between two times of the driver, and one query has one stamp
+    before = datetime.now(timezone.utc)
+    stamped = materialise(t["customer"].select("c_custkey", F.current_timestamp().alias("load_ts")), "stamped")
+    after = datetime.now(timezone.utc)
+    in_time = c("load_ts").between(F.lit(before), F.lit(after))
+    times = stamped.agg(F.count_distinct("load_ts").alias("load_times")).first()["load_times"]
+    return stamped.select(
+        "c_custkey", in_time.cast("int").cast("long").alias("in_time"), F.lit(times).cast("long").alias("load_times")
+    )
 
 
 @query(

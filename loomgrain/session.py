@@ -91,8 +91,17 @@ def release(spark: SparkSession) -> None:
     """Delete this application's working folder, once nothing reads its tables any more."""
     root = _roots.pop(spark.sparkContext.applicationId, None)
     if root:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, root)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from loomgrain.contracts import CORRUPT, Contract
 from loomgrain.session import MB
 
-CHECKSUM_BYTES = 512 * MB
+# the largest value a binary column can hold, less a little
+CHECKSUM_BYTES = 2047 * MB
 ZIP_LINES_PER_BATCH = 20_000
 
 
@@ -43,20 +44,17 @@ def build_manifest(
 ) -> DataFrame:
     """path, length, modificationTime and SHA-256 per file.
 
-    The length filter reaches the scan, so larger files are never loaded; they
-    are listed with a NULL checksum.
+    A task holds one file at a time. Files above ``checksum_bytes`` cannot be
+    loaded whole: they are refused before anything is read, never left without
+    a checksum.
     """
+    too_large = list_files(spark, root, glob).where(F.col("length") > checksum_bytes).orderBy("path").first()
+    if too_large:
+        raise ValueError(f"{too_large['path']} has more than {checksum_bytes} bytes")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root)
-    hashed = files.where(F.col("length") <= checksum_bytes).select(
-        "path", "modificationTime", "length", F.sha2("content", 256).alias("checksum")
-    )
-    too_large = files.where(F.col("length") > checksum_bytes).select(
-        "path", "modificationTime", "length", F.lit(None).cast("string").alias("checksum")
-    )
-    return hashed.unionByName(too_large)
+    return reader.load(root).select("path", "modificationTime", "length", F.sha2("content", 256).alias("checksum"))
 
 
 MANIFEST_SCHEMA = "scenario string, tables array<struct<`table`:string,format:string,files:bigint,rows:bigint>>"
@@ -123,17 +121,33 @@ def unzip_lines(archives: DataFrame, lines_per_batch: int = ZIP_LINES_PER_BATCH)
     return archives.select("path", "content").mapInPandas(_unzipper(lines_per_batch), ZIP_LINES)
 
 
-def parse_zip_csv(lines: DataFrame, contract: Contract) -> DataFrame:
-    """Typed rows of the safe CSV members, header lines left out, bad records kept."""
+def unsafe_members(lines: DataFrame) -> DataFrame:
+    """archive, member of what would leave the target folder: the quarantine of an archive load."""
+    return lines.where("unsafe").select("archive", "member")
+
+
+def parse_zip_csv(lines: DataFrame, contract: Contract, unsafe: str = "stop") -> DataFrame:
+    """Typed rows of the CSV members, header lines left out, bad records kept.
+
+    An unsafe member stops the load. With ``unsafe`` "skip" it is left out;
+    ``unsafe_members`` then lists what was.
+    """
+    if unsafe not in {"stop", "skip"}:
+        raise ValueError(f"unknown way to handle unsafe members: {unsafe}")
+    safe = ~F.col("unsafe")
+    if unsafe == "stop":
+        message = F.concat(F.lit("unsafe member "), F.col("member"), F.lit(" in "), F.col("archive"))
+        safe = F.when(F.col("unsafe"), F.raise_error(message).cast("boolean")).otherwise(True)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.capture_schema)
     parsed = F.from_csv("line", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return (
-        lines.where(~F.col("unsafe") & (F.col("line_no") > 0) & (F.col("line") != ""))
+        lines.where(safe)
+        .where((F.col("line_no") > 0) & (F.col("line") != ""))
         .select("archive", "member", parsed.alias("row"))
         .select("archive", "member", "row.*")
     )
 
 
-def read_zip_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+def read_zip_csv(spark: SparkSession, path: str, contract: Contract, unsafe: str = "stop") -> DataFrame:
     archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    return parse_zip_csv(unzip_lines(archives), contract)
+    return parse_zip_csv(unzip_lines(archives), contract, unsafe)

@@ -10,7 +10,7 @@ from loomgrain.contracts import IO_ROWS, SCENARIOS
 from loomgrain.session import object_store_settings, scratch_root
 from loomgrain.sinks.jdbc import jdbc_write_options
 from loomgrain.sinks.writers import files_for_bytes, planned_files
-from loomgrain.sources.files import build_manifest, inventory, read_zip_csv, unzip_lines
+from loomgrain.sources.files import build_manifest, inventory, read_zip_csv, unsafe_members, unzip_lines
 from loomgrain.sources.jdbc import Database, read_database_table
 from loomgrain.sources.readers import read_parts
 from loomgrain.sources.routing import pick_tables, route, select_scenarios, source_path
@@ -22,12 +22,14 @@ def test_zip_members(spark, tmp_path):
         archive.writestr("../evil.csv", "h\n1,1,1,x\n")
         archive.writestr("/abs.csv", "h\n1,1,1,x\n")
         archive.writestr("a/..b/ok.csv", "h\n3,1003,7.5,2026-01-04\n")
-    got = read_zip_csv(spark, str(tmp_path), IO_ROWS).collect()
+    with pytest.raises(Exception, match="unsafe member"):
+        read_zip_csv(spark, str(tmp_path), IO_ROWS).collect()
+    got = read_zip_csv(spark, str(tmp_path), IO_ROWS, unsafe="skip").collect()
     assert {(r["record_id"], r["amount"], r["_corrupt_record"]) for r in got} == {
         (1, 5.5, None), (2, 1.0, "2,x,1,2026-01-03"), (3, 7.5, None),
     }
     archives = spark.read.format("binaryFile").load(str(tmp_path))
-    flagged = {r["member"] for r in unzip_lines(archives, lines_per_batch=1).where("unsafe").collect()}
+    flagged = {r["member"] for r in unsafe_members(unzip_lines(archives, lines_per_batch=1)).collect()}
     assert len(flagged) == 2
 
 
@@ -46,11 +48,13 @@ def test_inventory_by_table_and_date(spark, tmp_path):
     }
 
 
-def test_manifest_leaves_large_files_unread(spark, tmp_path):
+def test_manifest_refuses_files_it_cannot_hash(spark, tmp_path):
     (tmp_path / "a.csv").write_text("abc")
     (tmp_path / "b.csv").write_text("x" * 100)
-    listed = {r["path"].rsplit("/", 1)[-1]: r["checksum"] for r in build_manifest(spark, str(tmp_path), checksum_bytes=50).collect()}
-    assert listed == {"a.csv": "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad", "b.csv": None}
+    listed = {r["path"].rsplit("/", 1)[-1]: r["checksum"] for r in build_manifest(spark, str(tmp_path)).collect()}
+    assert listed["a.csv"] == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad" and listed["b.csv"]
+    with pytest.raises(ValueError, match="b.csv"):
+        build_manifest(spark, str(tmp_path), checksum_bytes=50)
 
 
 def test_routing():

@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 from conftest import rows
 from loomgrain.contracts import AUDIT_SCHEMA, RETAIL, contract
 from loomgrain.operators.quality import same_rows
-from loomgrain.plans.lake import build_bronze_silver, clean, compact_folder, load_batches, to_silver, union_by_name, with_lineage
+from loomgrain.plans.lake import (
+    build_bronze_silver,
+    clean,
+    compact_folder,
+    load_batches,
+    packing_session,
+    to_silver,
+    union_by_name,
+    with_lineage,
+    write_dated,
+)
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import in_load_order, load_many
 from loomgrain.plans.publish import current_version, publish, read_version
@@ -56,6 +66,47 @@ def test_reprocess_replaces_one_date(spark, feed, tmp_path):
     assert kept == untouched and after.count() == 700
 
 
+def test_rows_without_a_date_are_kept(spark, tmp_path):
+    dated = spark.createDataFrame([(1, dt.date(2026, 1, 1)), (2, None), (3, None)], "id long, batch_date date")
+    write_dated(dated, "parquet", str(tmp_path / "t"), "bulk")
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2, 3]
+
+
+def test_reprocess_clears_an_emptied_date(spark, feed, tmp_path):
+    target = str(tmp_path / "t")
+    run(spark, feed, target, "bulk")
+    extra = spark.createDataFrame([(9, 1.0, dt.date(2026, 2, 1))], "id long, amount double, batch_date date")
+    write_dated(extra, "parquet", f"{target}/deposits", "incremental")
+    assert spark.read.parquet(f"{target}/deposits").count() == 701
+    # the source has no rows for that date
+    assert run(spark, feed, target, "reprocess", "2026-02-01").count() == 700
+
+
+def test_a_repeated_incremental_load_never_doubles(spark, feed, tmp_path):
+    target = str(tmp_path / "t")
+    run(spark, feed, target, "incremental", "2026-01-03")
+    with pytest.raises(FileExistsError):
+        run(spark, feed, target, "incremental", "2026-01-03")
+    assert run(spark, feed, target, "incremental", "2026-01-03", repeated="replace").count() == 100
+
+
+def test_tasks_of_a_date_are_even(spark, tmp_path):
+    rows_ = spark.range(40_000).select("id", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("batch_date"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_dated(rows_, "parquet", str(tmp_path / "t"), "bulk", rows_per_file=1000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = spark.read.parquet(str(tmp_path / "t")).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(written) == 40 and max(r["count"] for r in written) < 1300
+
+
+def test_compaction_needs_no_shuffle(spark, feed):
+    packed = packing_session(spark).read.csv(f"{feed}/deposits", header=True)
+    assert packed.rdd.getNumPartitions() == 1
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_compact_keeps_rows_and_lowers_files(spark, feed, tmp_path):
     target = str(tmp_path / "t")
     run(spark, feed, target, "compact", "2026-01-03")

@@ -36,3 +36,18 @@ def test_same_rows_as_sql(key, spark, folder, duck):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert key == "zip_csv_scan" or not ("Python" in plan or "InPandas" in plan)
+
+
+ORDERS = {
+    "order_asc": lambda r: (r["c_acctbal"], r["c_custkey"]),
+    "order_desc": lambda r: (-r["p_retailprice"], -r["p_partkey"]),
+    "order_multi": lambda r: ([-ord(x) for x in r["o_orderpriority"]], r["o_totalprice"], r["o_orderkey"]),
+    "limit": lambda r: r["c_custkey"],
+    "top_k": lambda r: (-r["o_totalprice"], r["o_orderkey"]),
+}
+
+
+@pytest.mark.parametrize("key", ORDERS)
+def test_rows_come_in_order(key, spark, folder):
+    found = runner(QUERIES[key].build)(spark, folder).collect()
+    assert found == sorted(found, key=ORDERS[key])

@@ -175,11 +175,17 @@ def test_tolerant_parquet_reports_skipped_files(spark, tmp_path):
     folder = str(tmp_path / "mixed files")
     spark.range(3).select(F.col("id").alias("record_id")).coalesce(1).write.parquet(folder)
     (tmp_path / "mixed files" / "corrupt_file.parquet").write_bytes(b"not a parquet file\n")
+    whole = next((tmp_path / "mixed files").glob("part-*.parquet")).read_bytes()
+    (tmp_path / "mixed files" / "cut_file.parquet").write_bytes(whole[:60] + whole[-8:])
+    spark.range(0).select(F.col("id").alias("record_id")).coalesce(1).write.parquet(str(tmp_path / "none"))
+    (tmp_path / "mixed files" / "empty_file.parquet").write_bytes(next((tmp_path / "none").glob("part-*.parquet")).read_bytes())
     schema = T.StructType([T.StructField("record_id", T.LongType())])
     read, files = read_tolerant_parquet(spark, folder, schema)
     assert read.count() == 3
     listed = {r["path"].rsplit("/", 1)[-1]: (r["was_read"], r["rows"]) for r in files.collect()}
     assert listed.pop("corrupt_file.parquet") == (False, 0)
+    assert listed.pop("cut_file.parquet") == (False, 0)
+    assert listed.pop("empty_file.parquet") == (True, 0)
     assert list(listed.values()) == [(True, 3)]
     with pytest.raises(Exception):
         spark.read.schema(schema).parquet(folder).collect()

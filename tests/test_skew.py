@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from loomgrain.operators.bands import band_join
 from loomgrain.operators import skew
-from loomgrain.operators.skew import broadcast_if_small, fits_broadcast, hot_keys, key_counts, skew_join
+from loomgrain.operators.ranking import top_per_group
+from loomgrain.operators.skew import broadcast_if_small, fits_broadcast, hot_keys, hot_limit, key_counts, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +126,37 @@ def test_band_gap_and_no_bands(spark):
     grades = spark.createDataFrame([(1, 700, 749), (2, 750, 799)], "grade int, lo bigint, hi bigint")
     assert band_join(points, grades, "v", "lo", "hi").count() == 0
     assert band_join(points, grades.limit(0), "v", "lo", "hi", "left").count() == 1
+
+
+def test_band_join_of_open_and_very_large_bands(spark):
+    inf = float("inf")
+    bands = [(1, -inf, -5.0), (2, 1e15, inf), (3, -inf, inf), (4, 1e300, 2e300), (5, 0.0, 1e-9)]
+    values = [-1e308, -5.0, 0.0, 5e-10, 1e15, 1.5e300, inf, -inf]
+    points = spark.createDataFrame(list(enumerate(values)), "p int, v double")
+    got = rows(band_join(points, spark.createDataFrame(bands, "band int, lo double, hi double"), "v", "lo", "hi").select("p", "band"))
+    assert sorted(got) == sorted((b, i) for i, v in enumerate(values) for b, lo, hi in bands if lo <= v <= hi)
+
+
+def test_large_integer_bands_do_not_share_a_cell(spark):
+    bands = spark.range(2000).select(F.col("id").alias("band"), (F.lit(1_700_000_000_000_000) + F.col("id") * 7_000_000).alias("lo"))
+    bands = bands.withColumn("hi", F.col("lo") + 6_999_999)
+    points = bands.select((F.col("lo") + 3).alias("v"))
+    found = band_join(points, bands, "v", "lo", "hi", broadcast_bytes=0)
+    assert found.count() == 2000
+    ends = spark.createDataFrame([(1, -(2**63), 2**63 - 1), (2, 2**63 - 5, 2**63 - 1)], "band int, lo bigint, hi bigint")
+    assert band_join(spark.createDataFrame([(2**63 - 2,)], "v bigint"), ends, "v", "lo", "hi").count() == 2
+
+
+def test_hot_limit_follows_the_width_of_rows(spark):
+    narrow = spark.range(10)
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 100_000).alias("s"))
+    assert hot_limit(narrow, 5_000_000) == 5_000_000
+    assert hot_limit(wide, 5_000_000) < 20_000
+    assert hot_limit(narrow.limit(0), 77) == 77
+
+
+def test_top_n_above_the_limit_of_the_plan_rule(spark):
+    numbers = spark.range(40_000).select(F.lit(1).alias("g"), "id")
+    found = top_per_group(numbers, ["g"], [("id", "desc")], n=5000)
+    assert found.agg(F.min("id"), F.count("id")).first() == (35_000, 5000)
+    assert "_share" in found._jdf.queryExecution().executedPlan().toString()
