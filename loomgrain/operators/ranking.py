@@ -102,13 +102,17 @@ def _ranks_across_parts(df, partition_by, order, tie_break, parts) -> DataFrame:
         F.max("_rank").alias("_last_rank"),
         F.min_by("_key", "_pos").alias("_first_key"),
         F.max_by("_key", "_pos").alias("_last_key"),
+        F.min("_pos").alias("_from"),
+        F.max("_pos").alias("_to"),
     )
+    # only the first and the last group of a part can cross a border: of any number of small groups two per part are left
+    ends = local.groupBy("_part").agg(F.min("_pos").alias("_part_from"), F.max("_pos").alias("_part_to"))
+    pieces = pieces.join(F.broadcast(ends), "_part").where("_from = _part_from OR _to = _part_to")
     along = Window.partitionBy(*partition_by).orderBy("_part")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)
     carried = (
         pieces.withColumn("_pieces", F.count(F.lit(1)).over(Window.partitionBy(*partition_by)))
-        # only groups crossing a border need a carry: at most two per part
         .where(F.col("_pieces") > 1)
         .withColumn("_rows_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .withColumn(

@@ -14,6 +14,7 @@ from loomgrain.session import delete_path, materialise, path_exists, session_set
 from loomgrain.sinks.tables import create_namespace, replace_table
 from loomgrain.sinks.writers import TARGET_FILE_BYTES, write_table
 from loomgrain.sources.files import list_files
+from loomgrain.sources.gate import alike
 from loomgrain.sources.readers import read_batch, read_table
 
 ROWS_PER_FILE = 5_000_000
@@ -88,16 +89,22 @@ def build_bronze_silver(
     using: str = "parquet",
     locations: dict[str, str] | None = None,
     schemas: dict[str, T.StructType] | None = None,
+    unlike: str = "refuse",
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """Bronze and silver table per source table of (scenario, table, path)."""
+    """Bronze and silver table per source table of (scenario, table, path).
+
+    A column whose type differs between the scenarios of a table stops the
+    build before anything is written; with ``unlike`` "text" it becomes text.
+    """
     for namespace in (bronze, silver):
         create_namespace(spark, namespace, (locations or {}).get(namespace))
-    frames: dict[str, list[DataFrame]] = {}
+    frames: dict[str, dict[str, DataFrame]] = {}
     for scenario, table, path in sources:
         df = read_table(spark, fmt, path, schema=(schemas or {}).get(table))
-        frames.setdefault(table, []).append(with_lineage(df, scenario, table, fmt))
+        frames.setdefault(table, {})[f"{scenario}: {path}"] = with_lineage(df, scenario, table, fmt)
+    checked = {table: alike(parts, unlike) for table, parts in frames.items()}
     built = {}
-    for table, parts in frames.items():
+    for table, parts in checked.items():
         loaded = replace_table(spark, f"{bronze}.{table}", union_by_name(parts), using)
         built[table] = (loaded, replace_table(spark, f"{silver}.{table}", to_silver(loaded), using))
     return built

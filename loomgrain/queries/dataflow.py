@@ -43,6 +43,7 @@ from loomgrain.queries.sinks import LOADED, REASONS, nightly_load
 from loomgrain.session import fresh_path, materialise
 from loomgrain.sinks.writers import write_table
 from loomgrain.sources.files import build_manifest, list_files
+from loomgrain.sources.gate import SchemaDrift, drift_of_parts, read_checked_parts
 from loomgrain.sources.readers import read_by_contract, read_table
 from loomgrain.sources.routing import pick_tables
 from loomgrain.streaming.ingest import ingest_new_files, ingested
@@ -496,6 +497,31 @@ def schema_drift_check(t):
     return lines.withColumn("affected_rows", F.lit(part.count()).cast("long"))
 
 
+@query(
+    "schema_gate",
+    """SELECT d.*, (SELECT COUNT(*) FROM part) AS row_count, CAST(1 AS BIGINT) AS refused FROM (VALUES
+       ('02', 'p_colour', 'added', NULL, 'string'), ('02', 'p_size', 'changed', 'int', 'string'),
+       ('02', 'p_type', 'missing', 'string', NULL)) d(part_no, "column", kind, expected, actual)""",
+)
+def schema_gate(t):
+    def write(root):
+        t["part"].write.parquet(f"{root}/01")
+        changed = t["part"].withColumns({"p_size": c("p_size").cast("string"), "p_colour": F.lit("red")}).drop("p_type")
+        changed.write.parquet(f"{root}/02")
+
+    root = t.staged("unlike-parts", write)
+    fitting = contract("part", dict(t["part"].dtypes), "p_partkey")
+    paths = [f"{root}/01", f"{root}/02"]
+    try:
+        refused = 0 * read_checked_parts(t.spark, "parquet", paths, fitting).count()
+    except SchemaDrift:
+        refused = 1
+    drift = [(path[-2:], *line) for path, *line in drift_of_parts(t.spark, "parquet", paths, fitting)]
+    lines = t.spark.createDataFrame(drift, "part_no string, column string, kind string, expected string, actual string")
+    whole = read_checked_parts(t.spark, "parquet", paths[:1], fitting)
+    return lines.withColumns({"row_count": F.lit(whole.count()).cast("long"), "refused": F.lit(refused).cast("long")})
+
+
 @query(
     "duplicate_key_check",
     """SELECT l_orderkey, l_linenumber, COUNT(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",

@@ -22,6 +22,7 @@ from loomgrain.plans.lake import (
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import in_load_order, load_many
 from loomgrain.plans.publish import current_version, publish, read_version
+from loomgrain.sources.gate import SchemaDrift
 from loomgrain.sinks.writers import write_layout, write_table
 from loomgrain.sources import generators as gen
 from loomgrain.sources.files import list_files
@@ -101,6 +102,18 @@ def test_tasks_of_a_date_are_even(spark, tmp_path):
     assert len(written) == 40 and max(r["count"] for r in written) < 1300
 
 
+def test_unlike_sources_are_refused_or_read_as_text(spark, tmp_path):
+    for number, code in (("01", "10"), ("02", "A7")):
+        (tmp_path / number).mkdir()
+        (tmp_path / number / "x.csv").write_text(f"id,code\n1,{code}\n")
+    sources = [(n, "plans", str(tmp_path / n)) for n in ("01", "02")]
+    names = {"bronze": "gate_bronze", "silver": "gate_silver", "locations": {n: str(tmp_path / n) for n in ("gate_bronze", "gate_silver")}}
+    with pytest.raises(SchemaDrift, match="code"):
+        build_bronze_silver(spark, sources, "csv", **names)
+    built = build_bronze_silver(spark, sources, "csv", **names, unlike="text")
+    assert {r["code"] for r in built["plans"][0].collect()} == {"10", "A7"}
+
+
 def test_compaction_needs_no_shuffle(spark, feed):
     packed = packing_session(spark).read.csv(f"{feed}/deposits", header=True)
     assert packed.rdd.getNumPartitions() == 1
