@@ -283,6 +283,7 @@ def written_examples(count: int = WRITTEN, seed: int = 11) -> list[tuple[list[fl
         ("phone", lambda: f"19{number(2)}-{number(2)}-{number(2)} {number(2)}.{number(2)}"), ("phone", lambda: f"isbn 978-{number(1)}-{number(4)}-{number(4)}-{number(1)}"),
         ("phone", lambda: f"{number(2)} {number(2)} {number(2)} {number(2)} {number(2)}"), ("phone", lambda: f"$ {number(3)} {number(3)} {number(3)}"),
         ("phone", lambda: f"{number(9)}/{number(3)}"), ("phone", lambda: f"order {number(5)}-{number(5)}"), ("phone", lambda: f"{number(6)} {number(6)}"),
+        ("phone", lambda: " ".join(number(draw.randint(1, 2)) for _ in range(draw.randint(9, 16)))), ("phone", lambda: " ".join(number(1) for _ in range(draw.randint(9, 16)))),
         ("email", lambda: f"{pick(names)} at {pick(fill)}. {pick(fill)}"), ("email", lambda: f"met at {pick(fill)} dot {pick(fill)}"), ("email", lambda: f"{pick(fill)} at {pick(fill)}.{pick(fill)}"),
     ]
     made = []
@@ -302,8 +303,7 @@ def written_examples(count: int = WRITTEN, seed: int = 11) -> list[tuple[list[fl
         for kind in KINDS:
             cue = f"{cues[kind]} " if draw.random() < 0.4 else f"{number(draw.randint(1, 3))} " if kind == "card" and draw.random() < 0.3 else ""
             add(f"{words(4)} {cue}", makers[kind](), f"{pick([' ', '. ', ', '])}{words(3)}", kind, 1)
-        kind, make = pick(look_alikes)
-        for kind, make in draw.sample(look_alikes, 5):
+        for kind, make in draw.sample(look_alikes, 6):
             add(f"{words(4)} ", make(), f"{pick([' ', '. ', ', '])}{words(3)}", kind, 0)
     return made
 
