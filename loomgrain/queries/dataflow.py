@@ -16,6 +16,7 @@ from loomgrain.operators.quality import (
     validate_io_rows,
 )
 from loomgrain.operators.updates import change_counts, latest_changes, merge_changes
+from loomgrain.plans.batches import RepeatedBatch, committed, ingest_batch
 from loomgrain.plans.lake import build_bronze_silver, compact_folder, load_batches, to_silver, union_by_name, with_lineage
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import load_many, stage
@@ -158,9 +159,9 @@ def cdc_validate(t):
     return by_reason(checked_changes(t), "changes")
 
 
-def staged_changes(t):
+def staged_changes(checked):
     """The newest accepted change of each key, written once for the counts and the merge."""
-    accepted, _ = split(checked_changes(t))
+    accepted, _ = split(checked)
     return materialise(latest_changes(accepted, ["transaction_id"]).select(*CHANGES.names), "staged-changes")
 
 
@@ -172,7 +173,7 @@ def staged_changes(t):
             WHEN 6 THEN o_totalprice END AS amount FROM orders WHERE o_orderkey % 10 IN (0, 1, 6)""",
 )
 def cdc_stage(t):
-    return staged_changes(t).select("transaction_id", "operation", c("amount").cast("double").alias("amount"))
+    return staged_changes(checked_changes(t)).select("transaction_id", "operation", c("amount").cast("double").alias("amount"))
 
 
 @query(
@@ -182,7 +183,7 @@ def cdc_stage(t):
        strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 10 <> 1""",
 )
 def cdc_merge(t):
-    latest = staged_changes(t)
+    latest = staged_changes(checked_changes(t))
     base = order_transactions(t)
     merged = merge_changes(base, latest, ["transaction_id"], ["amount", "transaction_ts"])
     counts = change_counts(base, latest, ["transaction_id"]).first()
@@ -204,12 +205,13 @@ def cdc_merge(t):
        COUNT(CASE WHEN d = 6 THEN 1 END) AS unmatched FROM (SELECT o_orderkey % 10 AS d FROM orders) o""",
 )
 def cdc_metrics(t):
-    checked = checked_changes(t)
+    # checked once: the counts and the newest changes both read what was written
+    checked = materialise(checked_changes(t), "checked-changes")
     totals = checked.agg(
         F.count_if(c("_error_reason").isNull()).alias("accepted"),
         F.count_if(c("_error_reason").isNotNull()).alias("rejected"),
     )
-    applied = change_counts(order_transactions(t), staged_changes(t), ["transaction_id"])
+    applied = change_counts(order_transactions(t), staged_changes(checked), ["transaction_id"])
     return side_by_side(totals, applied)
 
 
@@ -437,6 +439,38 @@ def ingest_pattern(t):
     )
 
 
+@query(
+    "batch_restart",
+    f"""SELECT l.accepted_rows, l.rejected_rows, CAST(1 AS BIGINT) AS refused, CAST(1 AS BIGINT) AS audit_lines,
+        CAST(1 AS BIGINT) AS reported FROM ({LOADED}) l""",
+)
+def batch_restart(t):
+    """A batch once, again (refused) and replayed: the rows, rejects and metrics of one run are left."""
+    root = fresh_path(t.spark, "batches")
+
+    def ingest(replay=False):
+        ingest_batch(t.spark, "csv", spoilt_csv(t), SPOILT, root, "2026-01-03", replay, header=False)
+
+    ingest()
+    try:
+        ingest()
+        refused = 0
+    except RepeatedBatch:
+        refused = 1
+    ingest(replay=True)
+    metrics = committed(t.spark, root, "metrics")
+    lines = metrics.agg(
+        F.count("*").alias("audit_lines"),
+        (F.count_if((c("source_files") >= c("read_files")) & (c("source_bytes") > 0) & (c("written_files") > 0))).alias("reported"),
+    )
+    counts = [
+        committed(t.spark, root, kind).agg(F.count("*").alias(name))
+        for kind, name in (("rows", "accepted_rows"), ("rejects", "rejected_rows"))
+    ]
+    both = side_by_side(counts[0], counts[1])
+    return side_by_side(both, lines).withColumn("refused", F.lit(refused).cast("long"))
+
+
 @query("incremental_prefix", order_sql())
 def incremental_prefix(t):
     root = fresh_path(t.spark, "arriving")

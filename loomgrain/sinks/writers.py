@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgrain.contracts import AUDIT_SCHEMA
-from loomgrain.session import MB
+from loomgrain.session import MB, materialise
 from loomgrain.sources.files import list_files
 from loomgrain.sources.readers import check_format
 
@@ -99,9 +99,11 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
 
 def write_rejects(rejected: DataFrame, path: str) -> bool:
     """Append the reject record; nothing is created when there are no rejects."""
-    if rejected.isEmpty():
+    # written once, so that the check and the append do not validate again
+    staged = materialise(rejected.select("_source_file", "_error_reason", "_raw_payload", "_corrupt_record"), "rejects")
+    if staged.isEmpty():
         return False
-    rejected.select("_source_file", "_error_reason", "_raw_payload", "_corrupt_record").write.mode("append").parquet(path)
+    staged.write.mode("append").parquet(path)
     return True
 
 
