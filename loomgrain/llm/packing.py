@@ -35,12 +35,11 @@ SMALLEST_TIER = 256
 SHARD_TOKENS = 1_000_000
 STEP_TOKENS = 8 * WINDOW
 END_ID = 2
-KNOWN_WORDS = 300_000
-ROWS_AT_ONCE = 256
+KNOWN_WORDS = 700_000
+ROWS_AT_ONCE = 512
 
 # one run of letters is one token group for the tokenizer, whatever stands beside it but an apostrophe or a letter
-LETTERS = re.compile("[a-zß-öø-ÿ]+")
-TAIL = ".,;:!?"
+PARTS = re.compile("([a-zß-öø-ÿ]*)([.,;:!?]*)([^\n]*)\n")
 
 
 def tiers(window: int = WINDOW, smallest: int = SMALLEST_TIER) -> list[int]:
@@ -62,53 +61,52 @@ class Encoder:
     def __init__(self, path: str):
         held = worker_cache(f"encoder:{path}")
         if not held:
-            from tokenizers import Tokenizer
+            from tokenizers import Tokenizer, pre_tokenizers
 
             tokenizer = Tokenizer.from_file(path)
             tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+            # the same model for lower-case letters with blanks between, which need no normalising and no pattern
+            plain = Tokenizer(tokenizer.model)
+            byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)
+            plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
             ends = np.zeros(tokenizer.get_vocab_size(), bool)
             for token, at in tokenizer.get_vocab().items():
                 ends[at] = token.endswith("</w>")
-            held.update(tokenizer=tokenizer, ends=ends, words={}, cores={})
+            held.update(tokenizer=tokenizer, plain=plain, ends=ends, words={}, cores={})
         self.held, self.tokenizer, self.ends = held, held["tokenizer"], held["ends"]
 
     def one_by_one(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
-    def letters(self, cores: list[str], group: int = 500) -> list[bytes]:
+    def letters(self, cores: list[str], group: int = 1000) -> list[bytes]:
         made = []
         groups = [cores[i : i + group] for i in range(0, len(cores), group)]
-        encoded = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        encoded = self.held["plain"].encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for words, found in zip(groups, encoded):
             ids = np.array(found.ids, np.uint32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(words):
+            lasts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(lasts) != len(words):
                 made += self.one_by_one(words)
                 continue
-            data, first = ids.tobytes(), 0
-            for last in cuts.tolist():
-                made.append(data[4 * first : 4 * last])
-                first = last
+            data = ids.tobytes()
+            made += [data[first:last] for first, last in zip([0, *lasts], lasts)]
         return made
 
-    def learn(self, unknown: set[bytes]) -> None:
+    def learn(self, unknown: list[bytes]) -> None:
         words, cores = self.held["words"], self.held["cores"]
-        parts, odd = [], []
-        for word in unknown:
-            text = word.decode("utf-8")
-            core = text.rstrip(TAIL)
-            lower = core.lower()
-            if LETTERS.fullmatch(lower):
-                parts.append((word, lower, text[len(core) :]))
-            else:
-                odd.append(word)
-        new = list({lower for _, lower, _ in parts} - cores.keys())
+        # one pass over all of them; no word has a line break inside
+        parts = PARTS.findall(b"\n".join(unknown).decode("utf-8").lower() + "\n")
+        new = list({core for core, _, rest in parts if core and not rest} - cores.keys())
         cores.update(zip(new, self.letters(new)))
-        ends = list({tail for _, _, tail in parts if tail} - cores.keys())
+        ends = list({tail for core, tail, rest in parts if core and tail and not rest} - cores.keys())
         cores.update(zip(ends, self.one_by_one(ends)))
-        for word, lower, tail in parts:
-            words[word] = cores[lower] + cores[tail] if tail else cores[lower]
+        odd = []
+        for word, (core, tail, rest) in zip(unknown, parts):
+            if rest or not core:
+                odd.append(word)
+            else:
+                words[word] = cores[core] + cores[tail] if tail else cores[core]
         words.update(zip(odd, self.one_by_one([w.decode("utf-8") for w in odd])))
 
     def encode(self, texts: list[str | None], end_id: int = END_ID) -> list[np.ndarray]:
@@ -120,10 +118,10 @@ class Encoder:
         for table in (words, self.held["cores"]):
             if len(table) + len(needed) > KNOWN_WORDS:
                 table.clear()
-        unknown = needed - words.keys()
+        unknown = [w for w in needed if w not in words]
         if unknown:
             self.learn(unknown)
-        return [np.frombuffer(b"".join([words[w] for w in s]) + end, np.uint32) for s in split]
+        return [np.frombuffer(b"".join(map(words.__getitem__, s)) + end, np.uint32) for s in split]
 
 
 def pack(lengths: list[int], window: int = WINDOW, smallest: int = SMALLEST_TIER) -> list[list[tuple[int, int, int]]]:
