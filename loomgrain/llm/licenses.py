@@ -82,15 +82,16 @@ NAMES = (
     ("ncsa", r"(?:ncsa|university of illinois ncsa)(?: open source)?", ("ncsa",)),
 )
 
-# Ways to name a license; {n} is the name. The number is the priority, higher first.
+# Ways to name a license: priority (higher first), what the text must hold (one of them), pattern; {n} is the name.
+GIVEN = ("released", "distributed", "published", "available", "provided")
 FORMS = (
-    (90, r"spdx license identifier {n}"),
-    (80, r"licen[cs]ed under (?:the )?(?:terms of (?:the )?)?{n}(?: licen[cs]e)?"),
-    (75, r"(?:released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?{n}(?: licen[cs]e)?"),
-    (70, r"under (?:the )?(?:terms of (?:the )?)?{n} licen[cs]e"),
-    (65, r"subject to (?:the )?(?:terms of (?:the )?)?{n}(?: public)? licen[cs]e"),
-    (60, r"licen[cs]e {n}"),
-    (50, r"{n} licen[cs]e"),
+    (90, ("spdx",), r"spdx license identifier {n}"),
+    (80, ("licen",), r"licen[cs]ed under (?:the )?(?:terms of (?:the )?)?{n}(?: licen[cs]e)?"),
+    (75, tuple(f"{word} under" for word in GIVEN), rf"(?:{'|'.join(GIVEN)}) under (?:the )?(?:terms of (?:the )?)?{{n}}(?: licen[cs]e)?"),
+    (70, ("licen",), r"under (?:the )?(?:terms of (?:the )?)?{n} licen[cs]e"),
+    (65, ("licen",), r"subject to (?:the )?(?:terms of (?:the )?)?{n}(?: public)? licen[cs]e"),
+    (60, ("licen",), r"licen[cs]e {n}"),
+    (50, ("licen",), r"{n} licen[cs]e"),
 )
 
 # Sentences of license texts: label, priority, what the text must hold, sentence.
@@ -114,9 +115,6 @@ SENTENCES = (
     ("cc0-1", 88, "creativecommons org", r"creativecommons org publicdomain zero 1 0"),
 )
 
-# words one of which every rule needs; a text with none of them runs no rule
-GATES = ("licen", "spdx", "public domain", "permission", "redistribut", "reserved", "nor the names", "altered source", "creativecommons", "free software", "source code form", "unencumbered")
-
 NOT_A_WORD = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 LOWER = bytes(range(256)).lower().translate(NOT_A_WORD)
 
@@ -131,17 +129,18 @@ class Rule:
     label: str
     priority: int
     keywords: tuple[str, ...]
+    gates: tuple[str, ...]
     pattern: re.Pattern
 
 
 def rules() -> list[Rule]:
     """All rules, highest priority first."""
     made = [
-        Rule(label, priority, keywords, re.compile(rf"(?<= ){form.format(n=f'(?:{name})')}(?= )"))
+        Rule(label, priority, keywords, gates, re.compile(rf"(?<= ){form.format(n=f'(?:{name})')}(?= )"))
         for label, name, keywords in NAMES
-        for priority, form in FORMS
+        for priority, gates, form in FORMS
     ]
-    made += [Rule(label, priority, (key,), re.compile(rf"(?<= ){text}(?= )")) for label, priority, key, text in SENTENCES]
+    made += [Rule(label, priority, (key,), (key,), re.compile(rf"(?<= ){text}(?= )")) for label, priority, key, text in SENTENCES]
     return sorted(made, key=lambda rule: (-rule.priority, rule.label))
 
 
@@ -193,14 +192,19 @@ class Scanner:
 
     def __init__(self):
         self.rules = rules()
+        # one of its rule's gates and one of its keywords is in every match
+        self.gates = sorted({gate for rule in self.rules for gate in rule.gates})
+        self.keywords = sorted({keyword for rule in self.rules for keyword in rule.keywords})
 
     def detections(self, spaced: str) -> list[tuple[int, int, int, str]]:
         """Unsuppressed detections as word intervals."""
-        if not any(gate in spaced for gate in GATES):
+        gates = {gate for gate in self.gates if gate in spaced}
+        if not gates:
             return []
+        keywords = {keyword for keyword in self.keywords if keyword in spaced}
         found = set()
         for rule in self.rules:
-            if any(keyword in spaced for keyword in rule.keywords):
+            if not gates.isdisjoint(rule.gates) and not keywords.isdisjoint(rule.keywords):
                 for m in rule.pattern.finditer(spaced):
                     found.add((m.start(), m.end(), rule.priority, rule.label))
         if not found:
