@@ -38,7 +38,8 @@ LEAST_VALUE, LEAST_ACCESS = 12, 18
 # candidates; a shorter run cannot hold a key
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{48,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-F]{96,}|[0-9a-f]{96,}")
-TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)+")
+# three parts, whatever follows: a full stop, more dots or a word joined by a dot are not the token's
+TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z ]{0,20}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
 
 # ASN.1 tags and the magic of the key format.
@@ -156,26 +157,33 @@ def key_structure(data: bytes | None) -> str | None:
     return openssh_key(data) if data[:1] == b"o" else der_key(data) if data[0] == SEQUENCE else None
 
 
-def token_structure(run: str) -> str | None:
+def token_structure(token: re.Match | None) -> str | None:
     """The algorithm of a signed token: both header and claims are JSON objects, the header names it."""
-    parts = run.split(".")
-    if len(parts) != 3:
+    if token is None:
         return None
     try:
-        header, claims = (json.loads(decoded(p) or b"") for p in parts[:2])
+        header, claims = (json.loads(decoded(p) or b"") for p in token.groups())
     except (ValueError, RecursionError):
         return None
     named = isinstance(header, dict) and isinstance(claims, dict) and isinstance(header.get("alg"), str)
     return f"token:{header['alg']}" if named else None
 
 
+def tokens(text: str):
+    """(match, structure) of confirmed tokens; where three parts are none, the next may begin with the second."""
+    m = TOKEN.search(text)
+    while m:
+        structure = token_structure(m)
+        if structure:
+            yield m, structure
+        m = TOKEN.search(text, m.end() if structure else m.end(1))
+
+
 def structured_spans(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, structure) of confirmed candidates, without overlaps of one kind."""
     found = []
     if "eyJ" in text:
-        for m in TOKEN.finditer(text):
-            if structure := token_structure(m.group()):
-                found.append(("signed_token", *m.span(), structure))
+        found += [("signed_token", *m.span(), structure) for m, structure in tokens(text)]
     keys = []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
@@ -204,7 +212,7 @@ def value_structure(kind: str, text: str) -> str | None:
     if kind == "access":
         return "access" if re.fullmatch(r"AKIA[A-Z2-7]{16}", text) else None
     value = ASSIGN.match(text).group(2)
-    return token_structure(value) or key_structure(decoded(value))
+    return token_structure(TOKEN.match(value)) or key_structure(decoded(value))
 
 
 def scan_text(text: str | None) -> tuple:
