@@ -2,10 +2,13 @@
 
 Fixed patterns give the base spans. On top, candidates in base64 or hex are
 decoded and reported only if what comes out has the structure of a secret: a
-private key whose nested DER lengths fit exactly, an OpenSSH private key whose
-length-prefixed fields fit, or a signed token whose header and claims are JSON
-objects and whose header names an algorithm. Base spans are confirmed in the
-same way where they can be, and never dropped.
+private key, encrypted or not, whose nested DER lengths fit exactly, an OpenSSH
+private key whose length-prefixed fields fit, an armoured key that its headers
+call encrypted and whose length fits the cipher's blocks, a PEM text that holds
+one of these, or a signed token whose header and claims are JSON objects and
+whose header names an algorithm. Runs may be wrapped, and line breaks written
+as escapes count as line breaks. Base spans are confirmed in the same way where
+they can be, and never dropped.
 
 Defined results: a NULL text counts as empty and has no spans; texts of any
 length are scanned whole, in time that grows with the text; rows that repeat
@@ -37,13 +40,23 @@ LEAST_VALUE, LEAST_ACCESS = 12, 18
 
 # candidates; a shorter run cannot hold a key
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{48,}={0,2}")
-HEX_RUN = re.compile(r"[0-9A-F]{96,}|[0-9a-f]{96,}")
+HEX_RUN = re.compile(r"[0-9A-Fa-f]{96,}")
+LEAST_LINE = 48
+# lines of one run; the blanks hold what is left of an escaped break
+LINE = re.compile(r"[A-Za-z0-9+/_-]++={0,2}")
+WRAPPED = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_LINE},}}+(?:[ \t\r\\]*\n[ \t]*[A-Za-z0-9+/_-]++={{0,2}})+")
+ESCAPED_BREAK = re.compile(r"\\+[nr]")
 # three parts, whatever follows: a full stop, more dots or a word joined by a dot are not the token's
 TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z ]{0,20}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z ]{0,20}PRIVATE KEY)-----")
+PEM_HEADER = re.compile(r"\s*+[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n")
+PROC_TYPE = re.compile(r"Proc-Type:\s*4\s*,\s*ENCRYPTED\s")
+DEK_INFO = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+\s*,\s*([0-9A-Fa-f]+)\s")
 
 # ASN.1 tags and the magic of the key format.
-INTEGER, OCTETS, SEQUENCE = 0x02, 0x04, 0x30
+INTEGER, OCTETS, OBJECT, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+# password-based encryption of PKCS #5 and PKCS #12
+PBE = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 OPENSSH_MAGIC = b"openssh-key-v1\x00"
 
 # what a text must hold before a pattern is tried: looked up in its bytes, many times faster than the pattern
@@ -106,6 +119,10 @@ def der_key(data: bytes) -> str | None:
     if top is None or top[0] != SEQUENCE or top[2] != len(data):
         return None
     parts = elements(data, top[1], top[2])
+    if parts and [p[0] for p in parts] == [SEQUENCE, OCTETS]:
+        method = elements(data, parts[0][1], parts[0][2])
+        known = method and method[0][0] == OBJECT and data[method[0][1] : method[0][2]].startswith(PBE)
+        return "pkcs8-encrypted" if known and parts[1][2] > parts[1][1] else None
     if not parts or len(parts) < 2 or parts[0][0] != INTEGER or parts[0][2] - parts[0][1] != 1:
         return None
     tags = [p[0] for p in parts]
@@ -151,10 +168,75 @@ def decoded(run: str) -> bytes | None:
         return None
 
 
-def key_structure(data: bytes | None) -> str | None:
+def with_breaks(text: str) -> str:
+    """``text`` with escaped line breaks as blanks and a real one, every place kept."""
+    if "\\" not in text:
+        return text
+    return ESCAPED_BREAK.sub(lambda m: " " * (len(m.group()) - 1) + ("\n" if m.group()[-1] == "n" else "\r"), text)
+
+
+def armoured(text: str):
+    """(start, end, structure) of confirmed keys in PEM armour, in a text whose breaks are real."""
+    for m in PEM_BEGIN.finditer(text):
+        # the next dashes end this key or none: no text is looked at twice
+        end = text.find("-----", m.end())
+        mark = f"-----END {m.group(1)}-----"
+        if end >= 0 and text.startswith(mark, end):
+            if structure := armoured_structure(text[m.end() : end]):
+                yield m.start(), end + len(mark), structure
+
+
+def armoured_structure(body: str) -> str | None:
+    encrypted, vector = PROC_TYPE.search(body), DEK_INFO.search(body)
+    if encrypted and vector:
+        body = body[max(encrypted.end(), vector.end()) :]
+    # an escaped slash or a continued line leaves a backslash
+    body = body.replace("\r", "\n").replace("\\", "")
+    at = 0
+    while header := PEM_HEADER.match(body, at):
+        at = header.end()
+    data = decoded(re.sub(r"\s", "", body[at:]))
+    if encrypted and vector:
+        block = len(vector.group(1)) // 2
+        return "pem-encrypted" if data and block in (8, 16) and len(data) % block == 0 else None
+    return key_structure(data)
+
+
+def key_structure(data: bytes | None, armour: bool = True) -> str | None:
+    """The kind of private key ``data`` is; with ``armour`` also that of the first one in it if it is a PEM text."""
     if not data:
         return None
-    return openssh_key(data) if data[:1] == b"o" else der_key(data) if data[0] == SEQUENCE else None
+    if structure := openssh_key(data) or der_key(data):
+        return structure
+    if armour and b"PRIVATE KEY-----" in data:
+        return next((f"pem:{structure}" for _, _, structure in armoured(with_breaks(data.decode("latin-1")))), None)
+    return None
+
+
+def wrapped_runs(text: str):
+    """(start, end, run) of lines of one width, with the shorter line after them and without it."""
+    for m in WRAPPED.finditer(text):
+        lines = [(x.start(), x.end()) for x in LINE.finditer(text, m.start(), m.end())]
+        first = 0
+        while first < len(lines):
+            width, last = lines[first][1] - lines[first][0], first + 1
+            while last < len(lines) and lines[last][1] - lines[last][0] == width and text[lines[last - 1][1] - 1] != "=":
+                last += 1
+            if width >= LEAST_LINE:
+                run = "".join(text[a:b] for a, b in lines[first:last])
+                if last < len(lines) and lines[last][1] - lines[last][0] < width and run[-1] != "=":
+                    yield lines[first][0], lines[last][1], run + text[slice(*lines[last])]
+                if last > first + 1:
+                    yield lines[first][0], lines[last - 1][1], run
+            first = last
+
+
+def run_structure(run: str) -> str | None:
+    """The key in a run of base64, or of hex if it holds nothing else."""
+    structure = key_structure(decoded(run))
+    if structure is None and len(run) % 2 == 0 and HEX_RUN.fullmatch(run):
+        structure = key_structure(bytes.fromhex(run))
+    return structure
 
 
 def token_structure(token: re.Match | None) -> str | None:
@@ -181,22 +263,17 @@ def tokens(text: str):
 
 def structured_spans(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, structure) of confirmed candidates, without overlaps of one kind."""
-    found = []
+    found, text = [], with_breaks(text)
     if "eyJ" in text:
         found += [("signed_token", *m.span(), structure) for m, structure in tokens(text)]
     keys = []
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            if structure := key_structure(decoded(re.sub(r"\s", "", m.group(2)))):
-                keys.append(("private_key", *m.span(), structure))
-    if b"1" * 48 in text.encode("utf-8").translate(BASE64_MARKS):
-        for m in BASE64_RUN.finditer(text):
-            if structure := key_structure(decoded(m.group())):
-                keys.append(("private_key", *m.span(), structure))
-        for m in HEX_RUN.finditer(text):
-            digits = m.group()
-            if len(digits) % 2 == 0 and (structure := key_structure(bytes.fromhex(digits))):
-                keys.append(("private_key", *m.span(), structure))
+        keys += [("private_key", *key) for key in armoured(text)]
+    if b"1" * LEAST_LINE in text.encode("utf-8").translate(BASE64_MARKS):
+        runs = [(*m.span(), m.group()) for pattern in (BASE64_RUN, HEX_RUN) for m in pattern.finditer(text)]
+        for start, end, run in (*runs, *wrapped_runs(text)):
+            if structure := run_structure(run):
+                keys.append(("private_key", start, end, structure))
     last = -1
     for key in sorted(keys, key=lambda k: (k[1], -k[2])):
         if key[1] >= last:
