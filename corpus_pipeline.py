@@ -33,7 +33,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), plain_specials=False)
 
 
 STAGES = [

@@ -55,16 +55,18 @@ class Encoder:
     The tokenizer drops white space and never joins what stands on both sides
     of it, so the ids of a text are those of its words in turn. Words of plain
     letters are encoded many at a time and cut where a token ends a word; all
-    others go through the tokenizer one by one. The tables are bounded.
+    others go through the tokenizer one by one. The tables are bounded. The
+    strings of special tokens in a text are those tokens, as in the tokenizer's
+    file, or with ``plain_specials`` ordinary text.
     """
 
-    def __init__(self, path: str):
-        held = worker_cache(f"encoder:{path}")
+    def __init__(self, path: str, plain_specials: bool = False):
+        held = worker_cache(f"encoder:{path}:{plain_specials}")
         if not held:
             from tokenizers import Tokenizer, pre_tokenizers
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+            tokenizer.encode_special_tokens = plain_specials
             # the same model for lower-case letters with blanks between, which need no normalising and no pattern
             plain = Tokenizer(tokenizer.model)
             byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)
@@ -205,8 +207,13 @@ def pack_documents(
     window: int = WINDOW,
     smallest: int = SMALLEST_TIER,
     shard_tokens: int = SHARD_TOKENS,
+    plain_specials: bool = True,
 ) -> DataFrame:
-    """One row per piece: doc_id and PIECES; ``with_ids`` adds the token ids themselves."""
+    """One row per piece: doc_id and PIECES; ``with_ids`` adds the token ids themselves.
+
+    ``plain_specials`` takes the strings of special tokens in a text as ordinary
+    text; without it the tokenizer is used as its file has it.
+    """
     from pyspark.sql import types as T
 
     id_type = docs.schema["doc_id"].dataType
@@ -220,7 +227,7 @@ def pack_documents(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(wanted)
-        encoder = Encoder(tokenizer_path)
+        encoder = Encoder(tokenizer_path, plain_specials)
         # ids of other partitions start 2^36 apart
         next_sequence = next_group = TaskContext.get().partitionId() << 36
 

@@ -124,7 +124,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 @register("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(), plain_specials=False)
 
 
 @register("op8_fingerprints")
