@@ -72,6 +72,14 @@ CUES = {
     "other": ("version", "order", "isbn", "invoice", "ref", "serial", "id", "no.", "section", "page", "build", "token", "secret", "$", "€", "v."),
 }
 
+# the last words before a candidate, of which one in these says more than the same letters further away
+NEAR = re.compile(r"[^\W\d_]+")
+NEAR_WORDS = 3
+NEAR_CUES = {
+    "phone": frozenset("phone telephone tel call calls fax mobile cell whatsapp mobil handy telefon ruf rufen anrufen numéro teléfono téléphone móvil".split()),
+    "other": frozenset("order orders isbn invoice ref reference serial id no number version token account ticket item timestamp code build article".split()),
+}
+
 RESULT = (
     "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, "
     "found array<struct<kind:string,start:int,end:int,probability:double>>"
@@ -149,8 +157,7 @@ def digit_windows(text: str) -> Iterator[Span]:
             if PHONE_DIGITS[0] <= total <= PHONE_DIGITS[1]:
                 before = text[max(0, start - 2) : start]
                 lead = 2 if before.endswith("+(") else 1 if before[-1:] in ("+", "(") else 0
-                if last > first or before[-1:] == "+" or text.startswith("00", start):
-                    yield ("phone", start - lead, b)
+                yield ("phone", start - lead, b)
             last += 1
 
 
@@ -179,6 +186,7 @@ def describe(text: str, span: Span) -> list[float]:
     labels = re.split(r"[.\s\[\](){}]+", body.split("@")[-1].lower()) if kind == "email" else [""]
     parts = re.findall("[0-9]+", body) if kind == "ip" else []
     before = text[max(0, start - AROUND) : start].lower()
+    near = NEAR.findall(before)[-NEAR_WORDS:]
     left, right = text[start - 1 : start] if start else "", text[end : end + 1]
     return [
         KINDS.index(kind),
@@ -209,6 +217,7 @@ def describe(text: str, span: Span) -> list[float]:
         shape(right),
         shape(text[max(0, start - 2) : max(0, start - 1)]) if left else 0,
         *(float(any(cue in before for cue in cues)) for cues in CUES.values()),
+        *(float(not cues.isdisjoint(near)) for cues in NEAR_CUES.values()),
     ]
 
 
@@ -274,6 +283,16 @@ def written_examples(count: int = WRITTEN, seed: int = 11) -> list[tuple[list[fl
         digits = number(size)
         return (digits[:-1] + str((int(digits[-1]) + 1) % 10)) if luhn(digits) else digits
 
+    def plain_phone():
+        """A national number without separators; only what stands before it tells it from an order number."""
+        return pick(["0", "0", str(draw.randint(1, 9))]) + number(draw.randint(8, 11))
+
+    def plain_number():
+        return pick([number(draw.randint(9, 15)), plain_phone()])
+
+    phone_cues = ("call", "Tel.", "tel", "Tel:", "phone", "Phone:", "Mobil", "mobile", "Fax", "fax:", "cell", "WhatsApp", "Ruf", "Telefon", "call me on", "phone number", "call us at", "numéro")
+    other_cues = ("order", "order no.", "Order:", "id", "ID:", "invoice", "ref", "Ref.", "serial", "serial number", "account", "ticket", "item", "isbn", "version", "token", "timestamp", "build", "page", "code")
+
     cues = {"email": "mail me at", "ip": "from host", "card": "card number", "phone": "call me on"}
     makers = {"email": email, "ip": ip, "card": card, "phone": phone}
     look_alikes = [
@@ -303,6 +322,9 @@ def written_examples(count: int = WRITTEN, seed: int = 11) -> list[tuple[list[fl
         for kind in KINDS:
             cue = f"{cues[kind]} " if draw.random() < 0.4 else f"{number(draw.randint(1, 3))} " if kind == "card" and draw.random() < 0.3 else ""
             add(f"{words(4)} {cue}", makers[kind](), f"{pick([' ', '. ', ', '])}{words(3)}", kind, 1)
+        add(f"{words(4)} {pick(phone_cues)} ", plain_phone(), f"{pick([' ', '. ', ', '])}{words(3)}", "phone", 1)
+        for cue in (f"{pick(other_cues)} ", f"{pick(other_cues)} ", ""):
+            add(f"{words(4)} {cue}", plain_number(), f"{pick([' ', '. ', ', '])}{words(3)}", "phone", 0)
         for kind, make in draw.sample(look_alikes, 6):
             add(f"{words(4)} ", make(), f"{pick([' ', '. ', ', '])}{words(3)}", kind, 0)
     return made
