@@ -12,7 +12,11 @@ it scores texts.
 
 Bounds: lexicons are mined from ``MINED_ROWS`` documents per class, label model
 and classifier see ``FITTED_ROWS`` others per class, all chosen by hash from
-the labelled rows that may be learnt from. Scoring reads every text whole.
+the labelled rows that may be learnt from. Of the terms mined, the
+``MOST_CANDIDATES`` that tell most are looked at, the first ``MOST_TERMS`` that
+are not nested are kept, and the first ``TERM_FEATURES`` have a weight of their
+own; the others count through the number and density of hits. Scoring reads
+every text whole, and words of any length by their starts.
 
 Defined results: a NULL or empty text gets the score of a text without hits;
 without labels of both classes every text gets the share of toxic labels as its
@@ -43,7 +47,7 @@ STARTS = (3, 4, 5, 6, 7)  # letters of a word start
 TIMES = (1, 2, 3)  # different words with that start
 LEAST_TEXTS = 3  # toxic texts a mined term is in
 LEAST_LIFT = 8  # how many times more common among toxic texts
-LONGEST = 40  # letters of a word that counts
+LONGEST = 40  # letters of a word whose starts are held for the next text
 MOST_TERMS = 2000  # mined terms that are kept, strongest first
 MOST_CANDIDATES = 20_000
 MINED_VOTERS = 12
@@ -91,7 +95,7 @@ def starts_of(word: str) -> list[str]:
 
 def terms_of(words) -> list[str]:
     """Terms of a text's different words, as start@times."""
-    starts = Counter(start for word in words if len(word) <= LONGEST for start in starts_of(word))
+    starts = Counter(start for word in words for start in starts_of(word))
     return [f"{start}@{n}" for start, count in starts.items() for n in TIMES if n <= count]
 
 
@@ -174,10 +178,11 @@ class Reader:
         """The starts of a word that terms name."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
-            found = tuple(s for s in starts_of(word) if s in self.terms) if len(word) <= LONGEST else ()
-            self.known[word] = found
+            found = tuple(s for s in starts_of(word) if s in self.terms)
+            if len(word) <= LONGEST:
+                if len(self.known) >= KNOWN_WORDS:
+                    self.known.clear()
+                self.known[word] = found
         return found
 
     def read(self, text: str | None) -> tuple[list[int], list[int], list[float]]:
