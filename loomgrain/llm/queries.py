@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, private_data, quality, secret_scan, toxicity
+from loomgrain.llm import exact_dedup, fingerprints, licenses, middle, mixing, near_dedup, packing, private_data, quality, secret_scan, toxicity
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,40 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return private_data.scan(docs, private_data.fit(docs)).drop("found")
+
+
+MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+u AS (
+  SELECT doc_id, text, units, CAST(len(units) AS BIGINT) AS n,
+         [CAST('0x' || substr(h, 1 + 8 * i, 8) AS BIGINT) for i in range(4)] AS r
+  FROM d),
+c AS (
+  SELECT doc_id, text, units, n, r, least(r[1] % (n + 1), r[2] % (n + 1)) AS one, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+         WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(units[1:one], ''), '') AS prefix,
+         coalesce(array_to_string(units[one + 1:two], ''), '') AS middle, coalesce(array_to_string(units[two + 1:n], ''), '') AS suffix
+  FROM c)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@register("op11_fill_in_middle", MIDDLE_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = middle.fill_in_middle(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(middle.restored(), 256).alias("restored_sha256"),
+    )
