@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import exact_dedup, fingerprints, licenses, middle, mixing, near_dedup, packing, private_data, quality, secret_scan, toxicity
+from loomgrain.llm import collocations, exact_dedup, fingerprints, licenses, middle, mixing, near_dedup, packing, private_data, quality, secret_scan, toxicity
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,41 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2("output", 256).alias("output_sha256"), F.sha2(middle.restored(), 256).alias("restored_sha256"),
     )
+
+
+COLLOCATION_SQL = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, k, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, len(words) - k + 2)]) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS v(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND f >= 10),
+x AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+         CAST(1000000 * a::HUGEINT * a::HUGEINT // (x.f::HUGEINT * y.f::HUGEINT) AS BIGINT) AS score
+  FROM c, (VALUES (1), (2)) AS v(cut), f AS x, f AS y
+  WHERE cut < c.k AND x.lang = c.lang AND y.lang = c.lang
+    AND x.phrase = array_to_string(c.words[1:cut], ' ') AND y.phrase = array_to_string(c.words[cut + 1:], ' ')),
+s AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, array_to_string(words[1:2], ' ') AS phrase, a FROM c WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM c WHERE k = 3)
+  GROUP BY ALL),
+z AS (
+  SELECT s.lang, s.phrase, a, l, r, score FROM s LEFT JOIN i ON s.lang = i.lang AND s.phrase = i.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op12_collocations", COLLOCATION_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
