@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import collocations, exact_dedup, fingerprints, licenses, middle, mixing, near_dedup, packing, private_data, quality, secret_scan, toxicity
+from loomgrain.llm import (
+    collocations, exact_dedup, fingerprints, language_id, licenses, middle, mixing, near_dedup, packing, private_data, quality,
+    secret_scan, toxicity,
+)
 from loomgrain.llm.common import crc_remainder, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +226,11 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE ra
 @register("op12_collocations", COLLOCATION_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
+
+
+@register("op13_language")
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language_id.identify(docs, language_id.fit(docs))
+    held_out = (crc_remainder(language_id.HOLD_OUT) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "second", "ambiguous")
