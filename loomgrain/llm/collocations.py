@@ -4,8 +4,8 @@
    by as many tasks as it has input. A phrase that occurs ``support`` times in
    all occurs at least ``support / SHARDS`` times in one of them, so phrases
    below that in every shard cannot be frequent.
-2. The locally frequent phrases of all shards are united, as 64-bit hashes.
-   Equal hashes of unlike phrases only add candidates.
+2. The locally frequent phrases of all shards are united, as hashes. Equal
+   hashes of unlike phrases only add candidates.
 3. A second pass counts the candidates, and these alone, exactly and by their
    words. What is left of false candidates falls to the support.
 
@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgrain.llm.common import written
+from loomgrain.llm.common import shuffle_partitions, written
 from loomgrain.operators.ranking import top_per_group
 from loomgrain.operators.skew import skew_join
 
@@ -46,14 +46,18 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 
 BLOCK_BYTES = 4 << 20
+PART_BYTES = 16 << 20  # text whose phrases are counted in one part
 FILTER_BITS = 1 << 26
 BITS_PER_KEY = 8
 PROBES = 4
+BROADCAST = 32 << 20
 
 # all marks that end a piece become one, and tabs blanks; only blanks are left to split at
 MARK = b"."
 SAME = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", MARK * 10 + b" ")
 MIX = np.uint64(0x9E3779B97F4A7C15)
+NONE = np.zeros(0, np.uint64)
+LOW_BITS, LOW_HALF = np.uint64(32), np.uint64(0xFFFFFFFF)
 MOST_CODES = 1 << 62
 
 
@@ -63,34 +67,36 @@ def words_of(texts: list[bytes]) -> list[bytes]:
 
 
 class Phrases:
-    """Phrases of a block of texts with their counts, by length.
+    """The phrases of a block of texts.
 
     Words have numbers, and the code of a phrase is that of the phrase without
     its last word, times the number of words, plus the last one: exact. Codes
     that would grow too large are numbered anew first.
     """
 
-    def __init__(self, texts: list[bytes], longest: int):
+    def __init__(self, texts: list[bytes]):
         words = words_of(texts)
         numbers = {MARK: 0}
         for word in dict.fromkeys(words):
             numbers.setdefault(word, len(numbers))
         self.vocabulary = list(numbers)
         self.size = len(self.vocabulary)
-        ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        self.words = int((ids != 0).sum())
-        self.levels, self.renamed = [], {}
-        codes, most = ids, self.size
-        whole = ids != 0
+        self.ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        self.words = int((self.ids != 0).sum())
+        self.renamed = {}
+
+    def levels(self, longest: int):
+        """The codes of the phrases of 1, 2, ... words, each with its count."""
+        codes, most, whole = self.ids, self.size, self.ids != 0
         for length in range(1, longest + 1):
             if length > 1:
                 if most * self.size >= MOST_CODES:
                     self.renamed[length - 1], codes = np.unique(codes, return_inverse=True)
                     most = len(self.renamed[length - 1])
-                whole = whole[:-1] & (ids[length - 1 :] != 0)
-                codes = codes[:-1] * self.size + ids[length - 1 :]
+                whole = whole[:-1] & (self.ids[length - 1 :] != 0)
+                codes = codes[:-1] * self.size + self.ids[length - 1 :]
                 most *= self.size
-            self.levels.append(np.unique(codes[whole], return_counts=True))
+            yield np.unique(codes[whole], return_counts=True)
 
     def members(self, length: int, codes) -> list:
         """The words' numbers, one array per place in the phrase."""
@@ -101,24 +107,50 @@ class Phrases:
             left = self.renamed[length - 1][left]
         return [*self.members(length - 1, left), last]
 
-    def hashes(self, length: int, members, seed: int):
-        """A hash per phrase that depends on the words, their order and the seed."""
+    def hash_words(self):
         import xxhash
 
-        if not hasattr(self, "word_hashes"):
-            self.word_hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.vocabulary), np.uint64, self.size)
-        mixed = np.full(len(members[0]), seed ^ length, np.uint64)
-        with np.errstate(over="ignore"):
-            for numbers in members:
-                mixed = (mixed ^ self.word_hashes[numbers]) * MIX
-                mixed ^= mixed >> np.uint64(31)
-        return mixed
+        self.word_hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.vocabulary), np.uint64, self.size)
+
+    def hashes(self, members, seed: int):
+        """A hash per phrase that depends on the words, their order and the seed."""
+        state = np.full(len(members[0]), seed, np.uint64)
+        for numbers in members:
+            state = with_word(state, self.word_hashes[numbers])
+        return state
+
+    def all_hashes(self, longest: int, seed: int):
+        """The hash of every occurrence of every phrase."""
+        here, whole = self.word_hashes[self.ids], self.ids != 0
+        state, found = np.full(len(here), seed, np.uint64), []
+        for length in range(1, min(longest, len(here)) + 1):
+            if length > 1:
+                whole, state = whole[:-1] & (self.ids[length - 1 :] != 0), state[:-1]
+            state = with_word(state, here[length - 1 :])
+            found.append(state[whole])
+        return found
 
     def texts(self, members) -> list[bytes]:
         look = self.vocabulary.__getitem__
         return list(map(b" ".join, zip(*[map(look, numbers.tolist()) for numbers in members])))
 
 
+def with_word(state, word_hashes):
+    with np.errstate(over="ignore"):
+        state = (state ^ word_hashes) * MIX
+    return state ^ (state >> np.uint64(31))
+
+
+def keys_of(hashes, parts: int):
+    """The part a phrase is counted in above the 32 bits that name it there: there are as many parts as the input needs."""
+    return ((hashes >> LOW_BITS) % np.uint64(parts)) << LOW_BITS | hashes & LOW_HALF
+
+
+def runs(values):
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]]))
+
+
 def seed_of(lang: str) -> int:
     import xxhash
 
@@ -126,7 +158,7 @@ def seed_of(lang: str) -> int:
 
 
 def blocks(batches):
-    """(key, texts) of blocks of about BLOCK_BYTES; rows are (text, *key)."""
+    """Blocks of about BLOCK_BYTES, each the texts of its keys; rows are (text, *key)."""
     held, size = {}, 0
     for batch in batches:
         for first in range(0, batch.num_rows, 256):
@@ -136,46 +168,94 @@ def blocks(batches):
                 held.setdefault(tuple(key), []).append(data)
                 size += len(data)
                 if size >= BLOCK_BYTES:
-                    yield from held.items()
+                    yield held
                     held, size = {}, 0
-    yield from held.items()
+    if held:
+        yield held
 
 
 def language(name: str = "lang") -> Column:
     return F.coalesce(F.col(name), F.lit(UNKNOWN)).alias("lang")
 
 
-def locally_frequent(docs: DataFrame, support: int, longest: int, shards: int) -> DataFrame:
-    """key: hashes of the phrases that reach their share of the support in some shard."""
+def parts_for(docs: DataFrame) -> int:
+    """Parts in which the phrases are counted, by the bytes of all texts."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("size")).first()["size"] or 0
+    return max(shuffle_partitions(docs.sparkSession), -(-size // PART_BYTES))
 
-    def work(batches):
+
+def locally_frequent(docs: DataFrame, support: int, longest: int, shards: int, parts: int) -> DataFrame:
+    """key: phrases that reach their share of the support in some shard.
+
+    What moves is a row per block of text, shard and part, with the phrases'
+    keys and counts as packed numbers, not a row per phrase. A part holds the
+    phrases of about PART_BYTES of text, whatever the input's size.
+    """
+    least = -(-support // shards)
+
+    def packed(batches):
         import pyarrow as pa
 
-        for (lang, shard), texts in blocks(batches):
-            found = Phrases(texts, longest)
-            seed = seed_of(lang)
-            for length, (codes, counts) in enumerate(found.levels, 1):
-                if len(codes):
-                    keys = found.hashes(length, found.members(length, codes), seed).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), shard, np.int32)), pa.array(keys), pa.array(counts)], names=["shard", "key", "n"]
-                    )
+        for block in blocks(batches):
+            by_shard = {}
+            for (lang, shard), texts in block.items():
+                found = Phrases(texts)
+                found.hash_words()
+                by_shard.setdefault(shard, []).extend(found.all_hashes(longest, seed_of(lang)))
+            rows = []
+            for shard, hashes in by_shard.items():
+                keys, counts = np.unique(keys_of(np.concatenate([NONE, *hashes]), parts), return_counts=True)
+                of_part = keys >> LOW_BITS
+                starts = runs(of_part)
+                small, counts = keys.astype(np.uint32), counts.astype(np.uint32)
+                for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                    rows.append((shard, int(of_part[first]), small[first:last].tobytes(), counts[first:last].tobytes()))
+            if rows:
+                columns = zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in columns], names=["shard", "part", "keys", "counts"])
+
+    def frequent(group):
+        import pyarrow as pa
+
+        part, shard = group["part"][0].as_py(), group["shard"].to_numpy()
+        united = NONE
+        for each in np.unique(shard):
+            own = group.filter(pa.array(shard == each))
+            keys, counts = (np.frombuffer(b"".join(own[name].to_pylist()), np.uint32).astype(np.uint64) for name in ("keys", "counts"))
+            both = np.sort(keys << LOW_BITS | counts)
+            starts = runs(both >> LOW_BITS)
+            sums = np.add.reduceat(both & LOW_HALF, starts)
+            united = np.union1d(united, (both >> LOW_BITS)[starts[sums >= least]])
+        return pa.table({"key": (united | np.uint64(part) << LOW_BITS).view(np.int64)})
 
     dealt = docs.select("text", language(), F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"))
-    mined = dealt.mapInArrow(work, "shard int, key long, n long").groupBy("shard", "key").agg(F.sum("n").alias("n"))
-    return mined.where(F.col("n") >= -(-support // shards)).select("key").distinct()
-
-
-def bit_table(keys: DataFrame, bits: int):
-    """The table as uint64 words; at most ``bits`` / 64 rows come to the driver."""
-    key = F.col("key")
-    step = key.bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))
-    start = F.shiftrightunsigned(key, 32)
-    spots = F.array(*[(start + step * i).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)])
-    set_bits = keys.select(F.explode(spots).alias("spot")).select(
-        F.shiftright("spot", 6).alias("word"), F.expr("shiftleft(1L, CAST(spot & 63 AS INT))").alias("bit")
-    )
-    rows = set_bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    blobs = dealt.mapInArrow(packed, "shard int, part long, keys binary, counts binary")
+    return blobs.groupBy("part").applyInArrow(frequent, "key long")
+
+
+def spots(keys, bits: int):
+    """The PROBES places of each key in a table of ``bits`` bits."""
+    with np.errstate(over="ignore"):
+        mixed = (keys ^ (keys >> np.uint64(29))) * MIX
+    start, step = mixed >> LOW_BITS, (mixed & LOW_HALF) | np.uint64(1)
+    return [(start + step * np.uint64(i)) & np.uint64(bits - 1) for i in range(PROBES)]
+
+
+def bit_table(candidates: DataFrame, bits: int):
+    """The candidates as uint64 words; at most ``bits`` / 64 rows come to the driver."""
+
+    def placed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            places = np.unique(np.concatenate([NONE, *spots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits)]))
+            if len(places):
+                words = places >> np.uint64(6)
+                starts = runs(words)
+                masks = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), starts)
+                yield pa.RecordBatch.from_arrays([pa.array(words[starts].view(np.int64)), pa.array(masks.view(np.int64))], names=["word", "bits"])
+
+    rows = candidates.select("key").mapInArrow(placed, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = np.zeros(bits // 64, np.uint64)
     table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return table
@@ -183,16 +263,13 @@ def bit_table(keys: DataFrame, bits: int):
 
 def maybe_in(table, keys):
     """Which of ``keys`` may be in the table: all that are, and few others."""
-    step = (keys & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-    start = keys >> np.uint64(32)
     found = np.ones(len(keys), bool)
-    for i in range(PROBES):
-        spot = (start + step * np.uint64(i)) & np.uint64(len(table) * 64 - 1)
+    for spot in spots(keys, len(table) * 64):
         found &= (table[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
     return found
 
 
-def exact_counts(docs: DataFrame, candidates: DataFrame, support: int, longest: int, filter_bits: int) -> DataFrame:
+def exact_counts(docs: DataFrame, candidates: DataFrame, support: int, longest: int, parts: int, filter_bits: int) -> DataFrame:
     """lang, words, phrase, f of the frequent phrases, and a row per language with words 0 and its number of words."""
     spark = docs.sparkSession
     told_apart = candidates.count() * BITS_PER_KEY <= filter_bits
@@ -211,13 +288,14 @@ def exact_counts(docs: DataFrame, candidates: DataFrame, support: int, longest:
                 names.append("key")
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for (lang,), texts in blocks(batches):
-            found = Phrases(texts, longest)
+        for (lang,), texts in (item for block in blocks(batches) for item in block.items()):
+            found = Phrases(texts)
+            found.hash_words()
             yield rows(lang, 0, [b""], [found.words], [None])
             seed = seed_of(lang)
-            for length, (codes, counts) in enumerate(found.levels, 1):
+            for length, (codes, counts) in enumerate(found.levels(longest), 1):
                 members = found.members(length, codes)
-                keys = found.hashes(length, members, seed)
+                keys = keys_of(found.hashes(members, seed), parts)
                 if told_apart:
                     kept = np.flatnonzero(maybe_in(shared.value, keys))
                     members, counts, keys = [m[kept] for m in members], counts[kept], keys[kept]
@@ -255,7 +333,7 @@ def scored(counts: DataFrame, scale: int = SCALE) -> DataFrame:
     )
     # each part occurs at least as often as the whole, so it is among the counts
     for part, name in (("first", "l"), ("rest", "r")):
-        cuts = skew_join(cuts, single.select("lang", F.col("phrase").alias(part), F.col("f").alias(name)), ["lang", part], count_on=cuts)
+        cuts = skew_join(cuts, single.select("lang", F.col("phrase").alias(part), F.col("f").alias(name)), ["lang", part], broadcast_bytes=BROADCAST)
     weakest = F.min(F.struct(strength(F.col("a"), F.col("l"), F.col("r"), scale).alias("score"), "k", "l", "r"))
     return cuts.groupBy("lang", "phrase", "words", "a").agg(weakest.alias("cut")).select(
         "lang", "phrase", "words", "a", "cut.l", "cut.r", "cut.score"
@@ -279,8 +357,9 @@ def collocations(
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's ``first`` strongest phrases of 2 to ``longest`` words."""
-    candidates = written(locally_frequent(docs, support, longest, shards), "phrase-candidates")
-    counts = written(exact_counts(docs, candidates, support, longest, filter_bits), "phrase-counts")
+    parts = parts_for(docs)
+    candidates = written(locally_frequent(docs, support, longest, shards, parts), "phrase-candidates")
+    counts = written(exact_counts(docs, candidates, support, longest, parts, filter_bits), "phrase-counts")
     found = scored(counts).join(inside_longer(counts), ["lang", "phrase"], "left")
     kept = found.where(F.coalesce(F.col("longer") * 100 < F.col("a") * inside_percent, F.lit(True))).drop("longer", "words")
     order = [("score", "desc"), ("a", "desc"), ("phrase", "asc")]

@@ -79,11 +79,13 @@ def test_blocks_and_the_way_without_a_filter(spark, monkeypatch):
 def test_locally_frequent_phrases_hold_all_frequent_ones(spark):
     rows = [(i, "rare pair", "en") for i in range(10)] + [(100 + i, f"single w{i}", "en") for i in range(9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    keys = {r["key"] for r in mined.locally_frequent(docs, 10, 2, 4).collect()}
-    block = mined.Phrases([b"rare pair"], 2)
-    for length, (codes, _) in enumerate(block.levels, 1):
-        hashes = block.hashes(length, block.members(length, codes), mined.seed_of("en")).view("int64")
-        assert set(hashes.tolist()) <= keys
+    keys = {r["key"] for r in mined.locally_frequent(docs, 10, 2, 4, 3).collect()}
+    block = mined.Phrases([b"rare pair"])
+    block.hash_words()
+    for length, (codes, _) in enumerate(block.levels(2), 1):
+        found = mined.keys_of(block.hashes(block.members(length, codes), mined.seed_of("en")), 3).view("int64")
+        assert set(found.tolist()) <= keys
+    assert len(keys) < 9
 
 
 def test_scores_pass_64_bits(spark):
