@@ -16,7 +16,7 @@ from loomgrain.operators.quality import (
     validate_io_rows,
 )
 from loomgrain.operators.updates import change_counts, latest_changes, merge_changes
-from loomgrain.plans.batches import RepeatedBatch, committed, ingest_batch
+from loomgrain.plans.batches import RepeatedBatch, committed, ingest_batch, log, states
 from loomgrain.plans.lake import build_bronze_silver, compact_folder, load_batches, to_silver, union_by_name, with_lineage
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import load_many, stage
@@ -471,6 +471,42 @@ def batch_restart(t):
     return side_by_side(both, lines).withColumn("refused", F.lit(refused).cast("long"))
 
 
+@query(
+    "failed_replay",
+    f"""SELECT l.accepted_rows, l.rejected_rows, CAST(3 AS BIGINT) AS attempts, CAST(1 AS BIGINT) AS failed,
+        CAST(1 AS BIGINT) AS in_state_failed, l.accepted_rows + 1 AS after_repair FROM ({LOADED}) l""",
+)
+def failed_replay(t):
+    """A replay that fails leaves the committed rows; the next one takes their place."""
+    root = fresh_path(t.spark, "attempts")
+    source = f"{root}/source"
+
+    def ingest(fmt="csv", replay=True):
+        ingest_batch(t.spark, fmt, source, SPOILT, f"{root}/lake", "2026-01-03", replay, **({"header": False} if fmt == "csv" else {}))
+
+    t.spark.read.text(spoilt_csv(t)).write.text(source)
+    ingest(replay=False)
+    try:
+        # the landed text is no Parquet
+        ingest("parquet")
+        failed = 0
+    except Exception:
+        failed = 1
+    kept = [
+        materialise(committed(t.spark, f"{root}/lake", kind).agg(F.count("*").alias(name)), "kept")
+        for kind, name in (("rows", "accepted_rows"), ("rejects", "rejected_rows"))
+    ]
+    state = states(t.spark, f"{root}/lake").agg(F.count_if(c("state") == "failed").alias("in_state_failed"))
+    state = materialise(state, "state")
+    # an order that is accepted arrives once more
+    t.spark.read.text(source).where(c("value").rlike("^[0-9]*0,")).orderBy("value").limit(1).write.mode("append").text(source)
+    ingest()
+    after = committed(t.spark, f"{root}/lake").agg(F.count("*").alias("after_repair"))
+    attempts = log(t.spark, f"{root}/lake").agg(F.count_distinct("attempt").alias("attempts"))
+    both = side_by_side(side_by_side(kept[0], kept[1]), side_by_side(state, after))
+    return side_by_side(both, attempts).withColumn("failed", F.lit(failed).cast("long"))
+
+
 @query("incremental_prefix", order_sql())
 def incremental_prefix(t):
     root = fresh_path(t.spark, "arriving")
