@@ -1,15 +1,16 @@
 """Ranking and offset windows whose groups may be larger than one task.
 
 A plain window puts each partition group into one task, and a window without
-a partition puts everything into one. Here rows are first laid out in total
-order by range partitioning, so a large group spreads over many parts; the
-window then runs inside (part, group) and its result is written once. A summary
-with a few rows per part carries the positions across part borders.
-
-Range borders come from a sample, so the summary and the rows must see the same
-layout: both read the written table. ``order`` with its tie break should be
-total, as equal sort keys can neither be split over parts nor keep their order
-when a task runs again.
+a partition puts everything into one. Here every row gets the number of its
+part in the total order, so a large group spreads over many parts; rows move
+once, to their part, the window runs inside (part, group) on what has arrived,
+and its result is written once. A summary with a few rows per part carries the
+positions across part borders.
+
+The borders come from a bounded sample of the sort keys and are written before
+anything uses them; a row finds its part by a binary search in built-in
+expressions. ``order`` with its tie break should be total, as equal sort keys
+can neither be split over parts nor keep their order when a task runs again.
 """
 
 from __future__ import annotations
@@ -19,11 +20,13 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, key_counts, skew_join
+from loomgrain.operators.skew import BROADCAST_BYTES, HOT_ROWS, SAMPLE_SEED, key_counts, skew_join
 from loomgrain.session import materialise
 
 PART_ROWS = 2_000_000
 GROUP_SHARES = 64
+BORDER_SAMPLE = 100  # sampled keys per part
+MOST_SAMPLED = 2_000_000  # keys sampled for any number of parts
 
 Order = tuple[str, str]
 
@@ -56,6 +59,53 @@ def lay_out(df: DataFrame, order: list[Order], parts: int) -> DataFrame:
     )
 
 
+def comes_before(first: Column, second: Column, order: list[Order]) -> Column:
+    """Whether the sort key ``first`` lies before ``second``; both are structs of the order's columns."""
+    before, same = F.lit(False), F.lit(True)
+    for name, direction in order:
+        x, y = first[name], second[name]
+        if direction == "asc":
+            here = F.coalesce(x < y, x.isNull() & y.isNotNull())
+        else:
+            here = F.coalesce(x > y, x.isNotNull() & y.isNull())
+        before, same = before | (same & here), same & x.eqNullSafe(y)
+    return before
+
+
+def borders(df: DataFrame, order: list[Order], parts: int, rows: int) -> DataFrame:
+    """One row: ``keys``, up to ``parts`` - 1 sort keys in order that cut the rows into parts of like size."""
+    wanted = min(BORDER_SAMPLE * parts, MOST_SAMPLED)
+    key = F.struct(*[F.col(name) for name, _ in order])
+    keys = df.select(*[name for name, _ in order])
+    if rows > wanted:
+        keys = keys.sample(wanted / rows, seed=SAMPLE_SEED)
+    # the sample is bounded, so one task may order it
+    place = F.row_number().over(Window.orderBy(*sort_columns(order)))
+    placed = keys.withColumn("_place", place).withColumn("_sampled", F.count(F.lit(1)).over(Window.partitionBy()))
+    step = F.greatest(F.lit(1.0), F.col("_sampled") / parts)
+    cuts = placed.where(F.floor(F.col("_place") / step) > F.floor((F.col("_place") - 1) / step)).where(F.col("_place") < F.col("_sampled"))
+    numbered = F.array_sort(F.collect_list(F.struct("_place", key.alias("key"))))
+    return materialise(cuts.agg(F.transform(numbered, lambda x: x["key"]).alias("keys")), "borders")
+
+
+def in_parts(df: DataFrame, order: list[Order], parts: int | None) -> DataFrame:
+    """``df`` with ``_part``, moved once so that each part is in one task and parts follow the order."""
+    rows = df.count()
+    parts = parts or max(df.sparkSession.sparkContext.defaultParallelism, ceil(rows / PART_ROWS))
+    found = borders(df, order, parts, rows)
+    keys, many = found.select("keys").scalar(), found.select(F.size("keys")).scalar()
+    own = F.struct(*[F.col(name) for name, _ in order])
+    # how many borders lie before the row, one binary digit after the other
+    numbered = df.withColumn("_part", F.lit(0))
+    digit = 1 << max(0, parts - 1).bit_length()
+    while digit:
+        tried = F.col("_part") + digit
+        passed = (tried <= many) & comes_before(F.get(keys, tried - 1), own, order)
+        numbered = numbered.withColumn("_part", F.when(passed, tried).otherwise(F.col("_part")))
+        digit >>= 1
+    return numbered.repartitionById(parts, "_part")
+
+
 def with_ranks(
     df: DataFrame,
     partition_by: list[str],
@@ -78,13 +128,17 @@ def with_ranks(
             F.rank().over(peers).cast("long").alias("rank"),
             F.dense_rank().over(peers).cast("long").alias("dense_rank"),
         )
-    return _ranks_across_parts(df, partition_by, order, tie_break, parts or parts_for(df))
+    return _ranks_across_parts(df, partition_by, order, tie_break, parts)
 
 
 def _ranks_across_parts(df, partition_by, order, tie_break, parts) -> DataFrame:
     group = [(name, "asc") for name in partition_by]
-    laid = lay_out(df, [*group, *order, *tie_break], parts)
-    in_part = Window.partitionBy("_part", *partition_by).orderBy("_pos")
+    along_part = sort_columns([*group, *order, *tie_break])
+    laid = in_parts(df, [*group, *order, *tie_break], parts).withColumn(
+        "_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*along_part)).cast("long")
+    )
+    # sorted as the whole part is: no second sort
+    in_part = Window.partitionBy("_part", *partition_by).orderBy(*sort_columns([*order, *tie_break]))
     key = F.struct(*[F.col(name) for name, _ in order])
     local = materialise(
         laid.withColumn("_key", key)
@@ -200,10 +254,11 @@ def with_neighbours(
     parts: int | None = None,
 ) -> DataFrame:
     """Add the value of ``column`` one row before and one row after in the total order."""
-    in_part = Window.partitionBy("_part").orderBy("_pos")
+    in_part = Window.partitionBy("_part").orderBy(*sort_columns(order))
     boxed = F.struct(F.col(column).alias("v"))
     local = materialise(
-        lay_out(df, order, parts or parts_for(df))
+        in_parts(df, order, parts)
+        .withColumn("_pos", F.row_number().over(in_part))
         .withColumn("_lag", F.lag(boxed).over(in_part))
         .withColumn("_lead", F.lead(boxed).over(in_part)),
         "neighbour-parts",

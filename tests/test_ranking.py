@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loomgrain.operators import ranking
+from loomgrain.session import materialise
 
 PRICE = [("price", "desc")]
 ID = [("id", "asc")]
@@ -110,3 +111,50 @@ def test_bad_arguments(sales):
         ranking.sort_columns([("id", "down")])
     with pytest.raises(ValueError):
         ranking.with_group_ends(sales, ["g"], [("price", "asc"), ("id", "desc")], "id")
+
+
+def exchanges(df):
+    """Exchanges of the plan that move the rows; those of a summary follow an aggregate."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [line for at, line in enumerate(lines) if "Exchange " in line and "Aggregate" not in lines[at + 1]]
+
+
+def test_rows_move_once(sales, monkeypatch):
+    written = []
+
+    def keep(df, label):
+        written.append((label, df))
+        return materialise(df, label)
+
+    monkeypatch.setattr(ranking, "materialise", keep)
+    ranking.with_neighbours(sales, [*PRICE, *ID], "price", parts=7).collect()
+    ranking.with_ranks(sales, ["g"], PRICE, ID, group_rows=10, parts=7).collect()
+    plans = {label: df for label, df in written if label != "borders"}
+    assert set(plans) == {"neighbour-parts", "ranked-parts"}
+    for df in plans.values():
+        moved = [x for x in exchanges(df) if "shufflepartitionidpassthrough" in x]
+        assert len(moved) == 1 and len(exchanges(df)) == 1
+        assert df._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 8, 33])
+def test_parts_follow_the_order(sales, parts):
+    order = [("g", "desc"), ("price", "asc"), ("id", "desc")]
+    found = ranking.in_parts(sales, order, parts).collect()
+    numbers = {r["id"]: r["_part"] for r in found}
+    place = Window.orderBy(*ranking.sort_columns(order))
+    ordered = [numbers[r["id"]] for r in sales.withColumn("n", F.row_number().over(place)).orderBy("n").collect()]
+    assert ordered == sorted(ordered) and set(ordered) == set(range(parts))
+    sizes = [ordered.count(p) for p in range(parts)]
+    assert max(sizes) <= 2.5 * len(ordered) / parts + 1
+
+
+def test_text_and_date_keys(spark):
+    import datetime as dt
+
+    rows_ = [(i, None if i % 9 == 0 else f"k{i % 23}", dt.date(2026, 1, 1 + i % 20) if i % 7 else None) for i in range(400)]
+    df = spark.createDataFrame(rows_, "id long, name string, day date")
+    order = [("name", "desc"), ("day", "asc")]
+    got = ranking.with_ranks(df, [], order, ID, parts=9)
+    assert rows(got) == rows(plain(df, [], order, ID))
+    assert ranking.with_neighbours(df.limit(0), [("name", "asc")], "id").count() == 0
