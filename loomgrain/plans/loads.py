@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from decimal import Decimal
 from time import perf_counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomgrain.contracts import LOAD_ORDER, RETAIL, Contract
@@ -35,28 +35,35 @@ class Outcome:
 
 
 def stage(validated: DataFrame, contract: Contract) -> Outcome:
-    """Write validated rows once, accepted and rejected apart, and count what was written.
+    """Write validated rows once, accepted and rejected apart, with the facts of the load.
 
-    The source is read a single time and nothing is cached; the counts come
-    from the staged table, so a task that ran twice cannot distort them.
+    The source is read a single time and nothing is cached. Rows are counted
+    from the footers of what was written. The files that rows came from are
+    observed while writing, as hashes; a task that ran twice may show in the
+    observation, so it counts only where it has seen as many rows as were
+    written, else the files are counted in the staged copy.
     """
     spark = validated.sparkSession
     path = fresh_path(spark, f"stage-{contract.name}")
     outcome = F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected")
     kept = [*contract.names, *REJECT_COLUMNS]
     staged = validated.select(*kept, outcome.alias("_outcome"))
-    staged.write.partitionBy("_outcome").parquet(path)
+    seen = Observation()
+    watched = staged.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.xxhash64("_source_file")).alias("files"))
+    watched.write.partitionBy("_outcome").parquet(path)
     rows = spark.read.schema(staged.schema).parquet(path)
-    counts = rows.agg(
-        F.count_if(F.col("_outcome") == "accepted").alias("accepted"),
-        F.count_if(F.col("_outcome") == "rejected").alias("rejected"),
-    ).first()
-    files = rows.select("_source_file").distinct().count()
+    # the outcome is the folder's name: no column is read
+    counts = {r["_outcome"]: r["count"] for r in rows.groupBy("_outcome").count().collect()}
+    facts = seen.get
+    if facts["rows"] == sum(counts.values()):
+        files = len(facts["files"])
+    else:
+        files = rows.select("_source_file").distinct().count()
     return Outcome(
         accepted=rows.where(F.col("_outcome") == "accepted").select(*contract.names),
         rejected=rows.where(F.col("_outcome") == "rejected").select(*REJECT_COLUMNS),
-        accepted_rows=counts["accepted"],
-        rejected_rows=counts["rejected"],
+        accepted_rows=counts.get("accepted", 0),
+        rejected_rows=counts.get("rejected", 0),
         source_files=files,
     )
 

@@ -15,8 +15,9 @@ from loomgrain.operators.quality import (
     validate_contract,
     validate_io_rows,
 )
-from loomgrain.operators.updates import change_counts, latest_changes, merge_changes
+from loomgrain.operators.updates import latest_changes
 from loomgrain.plans.batches import RepeatedBatch, committed, ingest_batch, log, states
+from loomgrain.plans.changes import apply_latest
 from loomgrain.plans.lake import build_bronze_silver, compact_folder, load_batches, to_silver, union_by_name, with_lineage
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import load_many, stage
@@ -183,12 +184,9 @@ def cdc_stage(t):
        strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 10 <> 1""",
 )
 def cdc_merge(t):
-    latest = staged_changes(checked_changes(t))
-    base = order_transactions(t)
-    merged = merge_changes(base, latest, ["transaction_id"], ["amount", "transaction_ts"])
-    counts = change_counts(base, latest, ["transaction_id"]).first()
     root = fresh_path(t.spark, "transactions")
-    publish(merged, root, 1, lambda written: written.count() == base.count() - counts["deleted"])
+    publish(order_transactions(t), root, 1)
+    apply_latest(staged_changes(checked_changes(t)), root, ["transaction_id"], ["amount", "transaction_ts"])
     return read_version(t.spark, root).select(
         "transaction_id",
         "customer_id",
@@ -197,6 +195,27 @@ def cdc_merge(t):
     )
 
 
+@query(
+    "cdc_by_file",
+    """SELECT CAST(1 AS BIGINT) AS rewritten_files, CAST(7 AS BIGINT) AS carried_files, CAST(1 AS BIGINT) AS updated,
+       CAST(0 AS BIGINT) AS deleted, CAST(1 AS BIGINT) AS unmatched, COUNT(*) AS row_count,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(16,2))) + 7 AS DOUBLE) AS amount FROM orders""",
+)
+def cdc_by_file(t):
+    """One order changes: of eight files, cut along the key, one is written anew."""
+    root = fresh_path(t.spark, "by-file")
+    base = order_transactions(t)
+    publish(base.repartitionByRange(8, "transaction_id"), root, 1)
+    first = base.agg(F.min("transaction_id").alias("transaction_id"))
+    one = base.join(F.broadcast(first), "transaction_id").select(
+        F.lit("U").alias("operation"), "transaction_id", (c("amount") + 7).cast("decimal(16,2)").alias("amount"), "transaction_ts"
+    )
+    unknown = one.withColumn("transaction_id", -1 - c("transaction_id"))
+    counts = apply_latest(materialise(one.unionByName(unknown), "one-change"), root, ["transaction_id"], ["amount", "transaction_ts"])
+    found = [F.lit(counts[name]).cast("long").alias(name) for name in ("rewritten_files", "carried_files", "updated", "deleted", "unmatched")]
+    return read_version(t.spark, root).agg(*found, F.count("*").alias("row_count"), F.sum("amount").cast("double").alias("amount"))
+
+
 @query(
     "cdc_metrics",
     """SELECT CAST(SUM(CASE d WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 6 THEN 1 ELSE 0 END) AS BIGINT) AS accepted,
@@ -211,8 +230,12 @@ def cdc_metrics(t):
         F.count_if(c("_error_reason").isNull()).alias("accepted"),
         F.count_if(c("_error_reason").isNotNull()).alias("rejected"),
     )
-    applied = change_counts(order_transactions(t), staged_changes(checked), ["transaction_id"])
-    return side_by_side(totals, applied)
+    root = fresh_path(t.spark, "metrics-base")
+    publish(order_transactions(t), root, 1)
+    # the run that applies the changes counts them: no pass of its own over the base
+    counts = apply_latest(staged_changes(checked), root, ["transaction_id"], ["amount", "transaction_ts"])
+    names = ("staged", "updated", "deleted", "unmatched")
+    return totals.select("*", *[F.lit(counts[name]).cast("long").alias(name) for name in names])
 
 
 def lake_sources(t):
