@@ -287,10 +287,10 @@ class Scanner:
     def scan(self, text: str | None) -> tuple:
         words = normalised(text)
         spaced = f" {b' '.join(words).decode('utf-8')} " if words else ""
-        base = []
-        for phrase, label in BASE_PHRASES:
-            for at in places(spaced, phrase):
-                base.append((spaced.count(" ", 0, at), label))
+        base = [(at, label) for phrase, label in BASE_PHRASES for at in places(spaced, phrase)]
+        if base:
+            blanks = [m.start() for m in re.finditer(" ", spaced)]
+            base = [(bisect_left(blanks, at), label) for at, label in base]
         found = settled(self.detections(spaced))
         base_labels = sorted({label for _, label in base})
         labels = sorted({*base_labels, *(label for _, _, _, label in found)})

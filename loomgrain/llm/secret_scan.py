@@ -44,10 +44,13 @@ HEX_RUN = re.compile(r"[0-9A-Fa-f]{96,}")
 LEAST_LINE = 48
 # lines of one run; the blanks hold what is left of an escaped break
 LINE = re.compile(r"[A-Za-z0-9+/_-]++={0,2}")
-WRAPPED = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_LINE},}}+(?:[ \t\r\\]*\n[ \t]*[A-Za-z0-9+/_-]++={{0,2}})+")
-ESCAPED_BREAK = re.compile(r"\\+[nr]")
-# three parts, whatever follows: a full stop, more dots or a word joined by a dot are not the token's
-TOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
+# tried where a run begins only: further inside it the same characters follow
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_LINE},}}+(?:[ \t\r\\]*\n[ \t]*[A-Za-z0-9+/_-]++={{0,2}})+")
+ESCAPED_BREAK = re.compile(r"(?<!\\)\\++[nr]")
+# three parts, whatever follows: a full stop, more dots or a word joined by a dot are not the token's.
+# Each run is read from its beginning only; the header is what follows the first mark in it.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.[A-Za-z0-9_-]*+")
+HEADER_MARK = "eyJ"
 PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z ]{0,20}PRIVATE KEY)-----")
 PEM_HEADER = re.compile(r"\s*+[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n")
 PROC_TYPE = re.compile(r"Proc-Type:\s*4\s*,\s*ENCRYPTED\s")
@@ -239,12 +242,12 @@ def run_structure(run: str) -> str | None:
     return structure
 
 
-def token_structure(token: re.Match | None) -> str | None:
+def token_structure(header: str, claims: str) -> str | None:
     """The algorithm of a signed token: both header and claims are JSON objects, the header names it."""
-    if token is None:
+    if not header.startswith(HEADER_MARK) or header == HEADER_MARK:
         return None
     try:
-        header, claims = (json.loads(decoded(p) or b"") for p in token.groups())
+        header, claims = (json.loads(decoded(p) or b"") for p in (header, claims))
     except (ValueError, RecursionError):
         return None
     named = isinstance(header, dict) and isinstance(claims, dict) and isinstance(header.get("alg"), str)
@@ -252,20 +255,22 @@ def token_structure(token: re.Match | None) -> str | None:
 
 
 def tokens(text: str):
-    """(match, structure) of confirmed tokens; where three parts are none, the next may begin with the second."""
+    """(start, end, structure) of confirmed tokens; where three parts are none, the next may begin with the second."""
     m = TOKEN.search(text)
     while m:
-        structure = token_structure(m)
+        run, claims = m.groups()
+        mark = run.find(HEADER_MARK)
+        structure = token_structure(run[mark:], claims) if mark >= 0 else None
         if structure:
-            yield m, structure
+            yield m.start() + mark, m.end(), structure
         m = TOKEN.search(text, m.end() if structure else m.end(1))
 
 
 def structured_spans(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, structure) of confirmed candidates, without overlaps of one kind."""
     found, text = [], with_breaks(text)
-    if "eyJ" in text:
-        found += [("signed_token", *m.span(), structure) for m, structure in tokens(text)]
+    if HEADER_MARK in text:
+        found += [("signed_token", *token) for token in tokens(text)]
     keys = []
     if "PRIVATE KEY-----" in text:
         keys += [("private_key", *key) for key in armoured(text)]
@@ -289,7 +294,8 @@ def value_structure(kind: str, text: str) -> str | None:
     if kind == "access":
         return "access" if re.fullmatch(r"AKIA[A-Z2-7]{16}", text) else None
     value = ASSIGN.match(text).group(2)
-    return token_structure(TOKEN.match(value)) or key_structure(decoded(value))
+    token = TOKEN.match(value)
+    return (token and token_structure(*token.groups())) or key_structure(decoded(value))
 
 
 def scan_text(text: str | None) -> tuple:
