@@ -14,13 +14,15 @@ text are never looked at, whatever their names.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgrain.llm.common import private_name, shuffle_partitions, text_or_empty, written
-from loomgrain.session import fresh_path
+from loomgrain.session import delete_path, fresh_path
 
-INDEX_SCHEMA = "digest binary, keep_id long, keep_chars long"
+INDEX_SCHEMA = "digest binary, keep_id long, keep_chars long, batch string"
 
 
 def text_digest(column: str = "text"):
@@ -43,13 +45,17 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.read.table(self.name)
 
-    def append(self, fresh: DataFrame) -> None:
-        """Add digests that are not in the index; one file per bucket and call."""
-        self._write(fresh.repartition(self.buckets, "digest"))
+    def append(self, fresh: DataFrame, batch: str) -> None:
+        """Add digests that are not in the index, as brought by ``batch``; one file per bucket and call."""
+        self._write(fresh.withColumn("batch", F.lit(batch)).repartition(self.buckets, "digest"))
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_path(self.spark, self.path)
 
     def _write(self, rows: DataFrame) -> None:
         (
-            rows.select("digest", "keep_id", "keep_chars")
+            rows.select("digest", "keep_id", "keep_chars", "batch")
             .write.mode("append")
             .format("parquet")
             .option("path", self.path)
@@ -71,34 +77,34 @@ def document_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def decisions(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def decisions(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, chars, digest, keep_id, group_size, kept. New digests go into the index.
 
-    A digest the index knew before keeps the id it has there and none of the
-    new rows; otherwise the longest text, then the smallest id, is kept.
+    A digest that another batch brought keeps the id it has in the index and
+    none of the new rows; otherwise the longest text, then the smallest id, is
+    kept. A digest belongs to the batch that brought it: a batch that is run
+    again under its name, because the first run died at whatever step, keeps
+    what one run keeps. Batches of one index run one after the other.
     """
+    batch = batch or uuid.uuid4().hex
     digests = written(document_digests(docs), "digests")
     # copies meet in the partial aggregate first, so a digest shared by a third of all rows is no hot key
+    best = F.min(F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
     winners = written(
         digests.groupBy("digest")
-        .agg(F.max(F.struct("chars", (-F.col("doc_id")).alias("minus_id"))).alias("best"), F.count(F.lit(1)).alias("size"))
-        .select(
-            "digest",
-            (-F.col("best.minus_id")).alias("keep_id"),
-            F.col("best.chars").alias("keep_chars"),
-            F.col("size").alias("group_size"),
-        ),
+        .agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+        .select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.chars")).alias("keep_chars"), "group_size"),
         "digest-winners",
     )
     fresh = written(winners.join(index.rows().hint("merge"), "digest", "left_anti"), "digest-fresh")
-    index.append(fresh)
-    known = winners.join(index.rows().hint("merge").select("digest", F.col("keep_id").alias("old_id")), "digest")
-    settled = known.join(fresh.select("digest", F.lit(True).alias("new")), "digest", "left").select(
+    index.append(fresh, batch)
+    brought = index.rows().hint("merge").select("digest", F.col("keep_id").alias("old_id"), (F.col("batch") == batch).alias("new"))
+    settled = winners.join(brought, "digest").select(
         "digest",
         F.when(F.col("new"), F.col("keep_id")).otherwise(F.col("old_id")).alias("keep_id"),
         "keep_chars",
         "group_size",
-        F.coalesce("new", F.lit(False)).alias("new"),
+        "new",
     )
     # adaptive execution splits the rows of a hot digest: the other side has one row per digest
     return digests.join(settled, "digest").select(
@@ -113,13 +119,15 @@ def decisions(docs: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they came."""
-    index = index or scratch_index(docs.sparkSession)
+def deduplicate(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they came. Without an index, one for this call."""
+    own = index or scratch_index(docs.sparkSession)
     kept = written(
-        decisions(docs, index).where("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")),
+        decisions(docs, own, batch).where("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")),
         "digest-kept",
     )
+    if index is None:
+        own.drop()
     id_, digest, key_id, key_digest, copies = (private_name(x) for x in ("i", "d", "ki", "kd", "c"))
     keys = kept.select(
         F.col("doc_id").alias(key_id), F.col("digest").alias(key_digest), F.col("copies").alias(copies)

@@ -51,6 +51,36 @@ def test_dedup_against_what_the_index_knows(spark):
     assert index.rows().count() == 3
 
 
+def test_a_batch_that_died_keeps_the_same_when_run_again(spark, monkeypatch):
+    index = exact_dedup.scratch_index(spark)
+    old = spark.createDataFrame([(9, "known")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "x"), (2, "x "), (3, "y"), (4, "k nown")], "doc_id long, text string")
+    exact_dedup.deduplicate(old, index, "first").count()
+    expected = [(2,), (3,)]
+    append = exact_dedup.DigestIndex.append
+    for step in ("before", "after"):
+
+        def dying(self, fresh, batch):
+            if step == "after":
+                append(self, fresh, batch)
+            raise RuntimeError("killed")
+
+        with monkeypatch.context() as patched:
+            patched.setattr(exact_dedup.DigestIndex, "append", dying)
+            with pytest.raises(RuntimeError):
+                exact_dedup.deduplicate(docs, index, "second")
+    for _ in range(2):
+        assert as_tuples(exact_dedup.deduplicate(docs, index, "second"), "doc_id") == expected
+    assert exact_dedup.deduplicate(docs, index, "third").count() == 0
+    assert index.rows().count() == 3
+
+
+def test_dedup_of_extreme_ids(spark):
+    low, high = -(2**63), 2**63 - 1
+    docs = spark.createDataFrame([(low, "a"), (high, "a"), (None, "a"), (high, "b"), (None, "c")], "doc_id long, text string")
+    assert as_tuples(exact_dedup.deduplicate(docs), "doc_id", "text") == [(None, "c"), (low, "a"), (high, "b")]
+
+
 def test_dedup_of_odd_rows(spark):
     kept = exact_dedup.deduplicate(clashing(odd(spark)))
     assert kept.columns == clashing(odd(spark)).columns
