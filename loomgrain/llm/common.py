@@ -14,7 +14,6 @@ from loomgrain.session import materialise
 
 # The characters that separate words, also as the operators' contracts write them.
 BLANKS = " \t\n\x0b\x0c\r"
-FILES_PER_CORE = 6
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -36,12 +35,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared working folder, in a number of files that follows the cluster, not the splits.
+    """``df`` as a table in the shared working folder.
 
-    What is kept between steps is narrow: one file per input split would be
-    many more files than the rows need.
+    Its files follow the tasks that compute it: what comes out of a shuffle is
+    merged by adaptive execution, what does not has a file per input split.
     """
-    return materialise(df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism), label)
+    return materialise(df, label)
 
 
 def crc_remainder(divisor: int, column: str = "doc_id") -> Column:

@@ -128,7 +128,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, most_copies: int = MOST_COPIES, seed:
         & F.col("source").eqNullSafe(F.col(names["source"]))
         & (F.col(names["n"]) == F.col(names["size"]))
     )
-    met = own.join(keyed, same)
+    # a plan row per document: the same join at every size, and one that survives any
+    met = own.join(keyed.hint("merge"), same)
     if plan.where("rows > 1").isEmpty():
         times = F.col(names["copies"])
     else:

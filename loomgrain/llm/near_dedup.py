@@ -6,15 +6,18 @@ the other, so ``tables`` squared tables need only ``2 * tables`` keys, and the
 minhash work is about the square root of what independent tables need.
 
 1. Documents with equal shingle sets become one class, by a digest of the set.
-2. Each table bucket compares its members with its first one. Pairs whose
-   signatures agree too little are left out, the rest is settled on full
-   shingle sets.
-3. What a bucket may still hide are links between members that its first one
-   is not linked with. Those are paired with each other, and, where they are
-   near the first one, with the members it is linked with; the rest the
-   triangle inequality of the Jaccard distance rules out. Members linked with
-   the first one are in one component and never paired among themselves, so a
-   large group of near copies costs a pair per member and table.
+   Buckets with the same members are one bucket.
+2. A few rounds of stars: each bucket draws a centre and compares its members
+   with it, unless both are in one component by now. Pairs whose signatures
+   agree too little are left out, the rest is settled on full shingle sets. So
+   a large group of near copies costs a pair per member, bucket and round.
+3. Only buckets with members of several components can still hide links. Their
+   members are joined on the rarest shingles of their sets: two sets that are
+   similar enough share one of the first (1 - percent) of their shingles in
+   whatever order all sets follow, and with the rare ones first a text that
+   resembles a group without being linked has shingles there that the group has
+   not. Sizes and places of the shared shingle rule out most of the rest; what
+   is left is settled on full sets. That is exact, however large the bucket.
 
 Recall: a pair with similarity J meets in a table with probability
 (1 - (1 - J^rows)^tables)^2. With rows = 2 and tables = 9 that is above 0.9997
@@ -44,10 +47,9 @@ ROWS = 2
 PERCENT = 80
 # share of agreeing minhash values below which a pair cannot be at 0.8 but with negligible probability
 LEAST_SHARE = 0.5
-# below this share of agreement with a member, nothing at 0.8 to that member is within reach (0.6, less the same margin)
-NEAR_SHARE = 0.3
-# how far two linked documents' agreement with a third may differ (0.2, and the margins of both)
-APART = 0.45
+STARS = 3
+# how often shingles occur is counted in so many cells by their hash: a fixed size that all tasks are sent
+CELLS = 1 << 20
 SEED = 20260101
 GONE = "_near_duplicate_id"
 
@@ -80,29 +82,39 @@ def minhash_constants(count: int):
     return draws[0] | np.uint64(1), draws[1]
 
 
+def signer(count: int):
+    """The function from a set of shingles to ``count`` minhash values."""
+    import numpy as np
+
+    odd, shift = minhash_constants(count)
+
+    def sign(shingles):
+        least = np.full(count, 2**64 - 1, np.uint64)
+        with np.errstate(over="ignore"):
+            for first in range(0, len(shingles), 2048):
+                part = shingles[first : first + 2048]
+                least = np.minimum(least, (part[:, None] * odd + shift).min(axis=0))
+        # the high half decides the minimum; 32 bits of it name the value
+        return (least >> np.uint64(32)).astype(np.uint32).astype(np.int32).tolist()
+
+    return sign
+
+
 def signatures(docs: DataFrame, size: int, tables: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, signature: 2 * tables * rows minhash values; without shingles both are NULL."""
     count = 2 * tables * rows
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def start():
-        import numpy as np
         import xxhash
 
-        odd, shift = minhash_constants(count)
+        sign = signer(count)
 
         def each(key, text):
             shingles = shingle_hashes(text, size)
             if not len(shingles):
                 return (key, 0, None, None)
-            digest = xxhash.xxh3_128_digest(shingles.tobytes())
-            least = np.full(count, 2**64 - 1, np.uint64)
-            with np.errstate(over="ignore"):
-                for first in range(0, len(shingles), 2048):
-                    part = shingles[first : first + 2048]
-                    least = np.minimum(least, (part[:, None] * odd + shift).min(axis=0))
-            # the high half decides the minimum; 32 bits of it name the value
-            return (key, len(shingles), digest, (least >> np.uint64(32)).astype(np.uint32).astype(np.int32).tolist())
+            return (key, len(shingles), xxhash.xxh3_128_digest(shingles.tobytes()), sign(shingles))
 
         return each
 
@@ -110,13 +122,24 @@ def signatures(docs: DataFrame, size: int, tables: int, rows: int) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), schema, start)
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """node, shingles of rows (node, text)."""
+def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int, tables: int, rows: int) -> DataFrame:
+    """node, n, shingles and signature of the classes in ``nodes``, read from their representatives' texts."""
+
+    count = 2 * tables * rows
 
     def start():
-        return lambda key, text: (key, shingle_hashes(text, size).view("int64").tolist())
+        sign = signer(count)
+
+        def each(key, text):
+            shingles = shingle_hashes(text, size)
+            return key, len(shingles), sign(shingles), shingles.view("int64").tolist()
 
-    return map_texts(docs.select("node", "text"), "node long, shingles array<long>", start)
+        return each
+
+    # where the ids are few, Spark sends them to the texts; an id with several texts has several classes
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
+    found = map_texts(texts.select("node", "text"), "node long, n long, signature array<int>, shingles array<long>", start)
+    return found.where("n > 0")
 
 
 def table_keys(classes: DataFrame, tables: int, rows: int) -> DataFrame:
@@ -133,79 +156,146 @@ def agreement(a, b):
     return same / F.size(a)
 
 
-def with_agreement(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b, share of the distinct pairs."""
-    signed = classes.select("node", "signature")
-    return (
-        pairs.distinct()
-        .join(signed.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(signed.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-        .select("a", "b", agreement(F.col("sa"), F.col("sb")).alias("share"))
-    )
-
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough.
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class representatives whose full shingle sets are similar enough."""
-    nodes = written(
-        pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), "near-nodes"
+    Sizes and signatures are looked at before the sets are: the smaller set
+    cannot hold more than all of itself.
+    """
+    x, y = (sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "signature", "shingles")]) for side in "ab")
+    likely = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (
+        agreement(F.col("signature_a"), F.col("signature_b")) >= LEAST_SHARE
     )
-    # the texts of candidates only; where these are few, Spark sends the ids to the texts
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
-    sets = written(shingle_sets(texts, size), "near-sets")
     met = (
-        pairs.select("a", "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", (F.size("x") + F.size("y")).alias("sizes"), F.size(F.array_intersect("x", "y")).alias("both"))
-    )
+        pairs.select("a", "b").join(x, "a").join(y, "b").where(likely)
+        .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), F.size(F.array_intersect("shingles_a", "shingles_b")).alias("both"))
+    )
     return written(met.where(F.col("both") * 100 >= percent * (F.col("sizes") - F.col("both"))).select("a", "b").distinct(), "near-links")
 
 
-def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int, percent: int) -> DataFrame:
-    """a, b: enough links between classes to give every component."""
+def bucket_members(classes: DataFrame, tables: int, rows: int) -> DataFrame:
+    """key, node of the buckets with several classes; buckets with the same members are kept once."""
     keys = table_keys(classes, tables, rows)
     # copies of a key meet in the partial aggregate, so a key of a third of all classes is no hot key here
-    buckets = written(
-        keys.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first"),
-        "near-buckets",
-    )
+    members = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"members_{i}") for i in (0, 1)]
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
+    once = written(counted.groupBy("n", "members_0", "members_1").agg(F.min("key").alias("key")).select("key"), "near-buckets")
     # one row per key on the right: a hot key's rows can be split
-    members = written(keys.join(buckets, "key").where("node != first").select("key", "first", "node"), "near-members")
-    star = written(with_agreement(members.select(F.col("first").alias("a"), F.col("node").alias("b")), classes), "near-star")
-    linked = verified(written(star.where(F.col("share") >= LEAST_SHARE), "near-close"), docs, size, percent)
-
-    tested = star.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").select(
-        F.col("a").alias("first"), F.col("b").alias("node"), "share", F.coalesce("linked", F.lit(False)).alias("linked")
+    return written(keys.join(once, "key"), "near-members")
+
+
+def star_pairs(members: DataFrame, belongs: DataFrame | None, draw: int) -> DataFrame:
+    """a, b: each bucket's centre in this draw with the members of other components."""
+    placed = members.withColumn("component", F.col("node")) if belongs is None else in_components(members, belongs)
+    centre = F.min(F.struct(F.xxhash64("node", F.lit(draw)), F.col("node").alias("centre"), F.col("component").alias("own"))).alias("c")
+    centres = (
+        placed.groupBy("key")
+        .agg(centre, F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("key", "c.centre", "c.own")
     )
-    belongs = components(linked)
-    own, firsts = belongs.alias("own"), belongs.select(F.col("node").alias("first"), F.col("component").alias("first_component"))
-    placed = (
-        members.join(tested, ["first", "node"])
-        .join(own, "node", "left")
-        .join(firsts, "first", "left")
-        .select(
-            "key", "node", "share", "linked",
-            F.coalesce("component", "node").alias("component"),
-            F.coalesce("first_component", "first").alias("first_component"),
-        )
-    )
-    placed = written(placed, "near-placed")
-    others = placed.where("NOT linked").select("key", "node", "share", "component", "first_component")
-    x, y = others.alias("x"), others.alias("y")
-    among = x.join(
+    met = placed.join(centres, "key").where("component != own")
+    return met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+
+
+def in_components(rows: DataFrame, belongs: DataFrame) -> DataFrame:
+    """``rows`` with the component of their node, which is the node itself where nothing is linked with it."""
+    return rows.join(belongs, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def cell_counts(sets: DataFrame, cells: int):
+    """How many of ``sets`` have a shingle of each cell; at most ``cells`` narrow rows come to the driver."""
+    import numpy as np
+
+    def work(batches):
+        import pyarrow as pa
+
+        counts = np.zeros(cells, np.int64)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy()
+            counts += np.bincount(flat & (cells - 1), minlength=cells)
+        cell = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(counts[cell], pa.int64())], names=["cell", "n"])
+
+    found = sets.select("shingles").mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(cells, np.int64)
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def rarest(sets: DataFrame, percent: int, cells: int) -> DataFrame:
+    """node, n, shingle, place: the shingles of each set of which a similar set must have one, rarest first."""
+    shared = sets.sparkSession.sparkContext.broadcast(cell_counts(sets, cells))
+
+    def work(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        counts = shared.value
+        for batch in batches:
+            for first in range(0, batch.num_rows, 64):
+                part = batch.slice(first, 64)
+                nodes, sizes, shingles, places = [], [], [], []
+                for node, values in zip(part.column(0).to_pylist(), part.column(1)):
+                    values = values.values.to_numpy()
+                    n = len(values)
+                    least = -(-n * percent // 100)  # of this set in any that is similar enough
+                    order = np.lexsort((values, counts[values & (cells - 1)]))[: n - least + 1]
+                    nodes.append(np.full(len(order), node))
+                    sizes.append(np.full(len(order), n))
+                    shingles.append(values[order])
+                    places.append(np.arange(len(order)))
+                if nodes:
+                    columns = [pa.array(np.concatenate(c), pa.int64()) for c in (nodes, sizes, shingles, places)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "shingle", "place"])
+
+    return sets.select("node", "shingles").mapInArrow(work, "node long, n long, shingle long, place long")
+
+
+def hidden_pairs(members: DataFrame, belongs: DataFrame, sets: DataFrame, percent: int, cells: int) -> DataFrame:
+    """a, b: pairs of different components that may be linked, of the members of buckets with several components."""
+    placed = in_components(members, belongs)
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    nodes = written(placed.join(mixed, "key", "left_semi").select("node", "component").distinct(), "near-mixed")
+    if nodes.isEmpty():
+        return None
+    own = written(sets.join(nodes.select("node"), "node", "left_semi"), "near-mixed-sets")
+    spread = written(rarest(own, percent, cells).join(nodes, "node"), "near-rarest")
+    several = spread.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+    spread = written(spread.join(several, "shingle", "left_semi"), "near-shared")
+    x, y = spread.alias("x"), spread.alias("y")
+    # as many shingles as both must share, and as many as are left from the shared one on
+    needed = F.ceil((F.col("x.n") + F.col("y.n")) * percent / F.lit(100 + percent) - F.lit(1e-6))
+    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    return x.join(
         y,
-        (F.col("x.key") == F.col("y.key"))
+        (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.component") != F.col("y.component"))
-        & (F.abs(F.col("x.share") - F.col("y.share")) <= APART),
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & (left >= needed),
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    near = others.where((F.col("share") >= NEAR_SHARE) & (F.col("component") != F.col("first_component")))
-    inside = placed.where("linked").select("key", F.col("node").alias("inner"))
-    across = inside.join(near.select("key", "node"), "key").select(F.least("inner", "node").alias("a"), F.greatest("inner", "node").alias("b"))
-    again = written(with_agreement(among.unionAll(across), classes).where(F.col("share") >= LEAST_SHARE).select("a", "b"), "near-again")
-    if again.isEmpty():
+
+
+def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int, percent: int, stars: int = STARS, cells: int = CELLS) -> DataFrame:
+    """a, b: enough links between classes to give every component."""
+    members = bucket_members(classes, tables, rows)
+    sets = written(shingle_sets(docs, members.select("node").distinct(), size, tables, rows), "near-sets")
+    linked, belongs, seen = None, None, None
+    for draw in range(stars):
+        pairs = star_pairs(members, belongs, draw)
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = written(pairs, "near-star")
+        seen = pairs if seen is None else seen.unionAll(pairs)
+        found = verified(pairs, sets, percent)
+        linked = found if linked is None else linked.unionAll(found)
+        belongs = components(linked)
+    again = hidden_pairs(members, belongs, sets, percent, cells)
+    if again is None:
         return linked
-    return linked.unionAll(verified(again, docs, size, percent))
+    again = written(again.distinct().join(seen, ["a", "b"], "left_anti"), "near-again")
+    return linked.unionAll(verified(again, sets, percent))
 
 
 def near_duplicates(
