@@ -26,6 +26,7 @@ from loomgrain.operators.quality import validate_contract
 from loomgrain.plans.loads import Outcome, stage
 from loomgrain.session import delete_path, path_exists
 from loomgrain.sources.files import list_files
+from loomgrain.sources.gate import refuse_unlike_files
 from loomgrain.sources.readers import read_by_contract
 
 # The states of a batch, in the order in which it passes them.
@@ -101,6 +102,7 @@ def ingest_batch(
         # bytes and files are facts of the listing; a file without valid rows counts as well
         facts = list_files(spark, path).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
         attempt.reached("discovered", f"{facts['files']} files")
+        refuse_unlike_files(spark, fmt, path)
         outcome = stage(validate_contract(read_by_contract(spark, fmt, path, contract, **read_options), contract), contract)
         attempt.reached("validated", f"{outcome.accepted_rows} accepted, {outcome.rejected_rows} rejected")
         stamp = {"ingested_at": F.lit(datetime.now(timezone.utc))}

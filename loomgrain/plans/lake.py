@@ -14,7 +14,7 @@ from loomgrain.session import delete_path, materialise, path_exists, session_set
 from loomgrain.sinks.tables import create_namespace, replace_table
 from loomgrain.sinks.writers import TARGET_FILE_BYTES, write_table
 from loomgrain.sources.files import list_files
-from loomgrain.sources.gate import alike
+from loomgrain.sources.gate import alike, refuse_unlike_files
 from loomgrain.sources.readers import read_batch, read_table
 
 ROWS_PER_FILE = 5_000_000
@@ -100,6 +100,7 @@ def build_bronze_silver(
         create_namespace(spark, namespace, (locations or {}).get(namespace))
     frames: dict[str, dict[str, DataFrame]] = {}
     for scenario, table, path in sources:
+        refuse_unlike_files(spark, fmt, path)
         df = read_table(spark, fmt, path, schema=(schemas or {}).get(table))
         frames.setdefault(table, {})[f"{scenario}: {path}"] = with_lineage(df, scenario, table, fmt)
     checked = {table: alike(parts, unlike) for table, parts in frames.items()}
@@ -141,6 +142,7 @@ def load_batches(
         raise ValueError(f"{load_type} loads need a batch_date")
     written = []
     for table in tables:
+        refuse_unlike_files(spark, source_format, f"{source_root}/{table}")
         rows = read_batch(
             packing_session(spark) if load_type == "compact" else spark,
             source_format,

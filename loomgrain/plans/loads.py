@@ -16,6 +16,7 @@ from loomgrain.operators.quality import REASON, REJECT_COLUMNS, validate_contrac
 from loomgrain.session import fresh_path
 from loomgrain.sinks.jdbc import write_database_table
 from loomgrain.sinks.writers import write_audit, write_rejects, write_table
+from loomgrain.sources.gate import refuse_unlike_files
 from loomgrain.sources.jdbc import Database
 from loomgrain.sources.readers import read_by_contract
 
@@ -83,7 +84,11 @@ def load(
     audit_path: str,
     **read_options,
 ) -> Outcome:
-    """One table: accepted rows to ``target``, rejects to quarantine, one audit row."""
+    """One table: accepted rows to ``target``, rejects to quarantine, one audit row.
+
+    Parquet files whose columns differ are refused before anything is read.
+    """
+    refuse_unlike_files(spark, fmt, path)
     started_at = datetime.now(timezone.utc).replace(tzinfo=None)
     clock = perf_counter()
     outcome = stage(validate_contract(read_by_contract(spark, fmt, path, contract, **read_options), contract), contract)

@@ -45,7 +45,8 @@ from loomgrain.queries.sinks import LOADED, REASONS, nightly_load
 from loomgrain.session import fresh_path, materialise
 from loomgrain.sinks.writers import write_table
 from loomgrain.sources.files import build_manifest, list_files
-from loomgrain.sources.gate import SchemaDrift, drift_of_parts, read_checked_parts
+from loomgrain.sources.footers import footers
+from loomgrain.sources.gate import SchemaDrift, drift_of_parts, read_checked_parts, refuse_unlike_files
 from loomgrain.sources.readers import read_by_contract, read_table
 from loomgrain.sources.routing import pick_tables
 from loomgrain.streaming.ingest import ingest_new_files, ingested
@@ -615,6 +616,42 @@ def schema_gate(t):
     return lines.withColumns({"row_count": F.lit(whole.count()).cast("long"), "refused": F.lit(refused).cast("long")})
 
 
+@query(
+    "footer_check",
+    f"""SELECT (SELECT {spread_sql(3)} FROM orders WHERE o_orderkey % 2 = 0)
+        + (SELECT {spread_sql(3)} FROM orders WHERE o_orderkey % 2 = 1) + 2 AS files, CAST(1 AS BIGINT) AS corrupt,
+        CAST(1 AS BIGINT) AS empty_files, CAST(2 AS BIGINT) AS schemas, CAST(COUNT(*) AS BIGINT) AS named_rows,
+        CAST(1 AS BIGINT) AS refused, 'o_custkey' AS drifted FROM orders""",
+)
+def footer_check(t):
+    """Many parts with two schemas, an empty file and a corrupt one, told apart by their footers alone."""
+
+    def write(root):
+        spread(t["orders"].where("o_orderkey % 2 = 0"), 3).write.parquet(f"{root}/01")
+        spread(t["orders"].where("o_orderkey % 2 = 1").withColumn("o_custkey", c("o_custkey").cast("string")), 3).write.parquet(f"{root}/02")
+        t["orders"].limit(0).coalesce(1).write.parquet(f"{root}/03")
+        t["orders"].limit(1).coalesce(1).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/04")
+
+    root = t.staged("footers", write)
+    parts = [f"{root}/0{n}" for n in (1, 2, 3, 4)]
+    found = materialise(footers(t.spark, parts, "part-*"), "footers")
+    try:
+        refuse_unlike_files(t.spark, "parquet", parts[:2])
+        refused = 0
+    except SchemaDrift:
+        refused = 1
+    drift = drift_of_parts(t.spark, "parquet", parts[:3], contract("orders", dict(t["orders"].dtypes), "o_orderkey"))
+    return found.agg(
+        F.count("*").alias("files"),
+        F.count_if(~c("readable")).alias("corrupt"),
+        F.count_if(c("rows") == 0).alias("empty_files"),
+        F.count_distinct("columns").alias("schemas"),
+        F.sum("rows").alias("named_rows"),
+        F.lit(refused).cast("long").alias("refused"),
+        F.lit(",".join(sorted({line[1] for line in drift}))).alias("drifted"),
+    )
+
+
 @query(
     "duplicate_key_check",
     """SELECT l_orderkey, l_linenumber, COUNT(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",

@@ -15,8 +15,8 @@ CHECKSUM_BYTES = 2047 * MB
 ZIP_LINES_PER_BATCH = 20_000
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """path, modificationTime and length of every file below ``root``; contents are not read."""
+def list_files(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
+    """path, modificationTime and length of every file below ``root``, one folder or several; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomgrain.contracts import CORRUPT, Contract
-from loomgrain.session import MB, materialise
+from loomgrain.session import materialise
+from loomgrain.sources.footers import footers
 
 FORMATS = ("csv", "json", "parquet")
-EMPTY_FILE_BYTES = 16 * MB  # a footer alone is far smaller
 
 
 def check_format(fmt: str) -> str:
@@ -108,44 +108,19 @@ def read_tolerant_parquet(
     """Rows of the readable Parquet files, and a line per file with ``was_read``.
 
     Skipping corrupt files silently loses data, so the second result compares
-    the files found with the files rows came from. A whole file without rows
-    is told from a corrupt one by its bytes: it is nothing but its footer.
+    the rows that came from each file with those its footer names: an empty
+    file counts as read, one that breaks off before its end does not.
     """
     paths = [path] if isinstance(path, str) else list(path)
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
-    found = spark.read.format("binaryFile").load(paths).select(decoded_path("path").alias("path"), "length")
-    read = rows.groupBy(decoded_path("_metadata.file_path").alias("path")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    met = materialise(found.join(read, "path", "left"), "parquet-files")
-    # the scan's listing holds these paths on the driver anyway
-    silent = [r["path"] for r in met.where("rows IS NULL").select("path").collect()]
-    empty = F.lit(False)
-    if silent:
-        small = spark.read.format("binaryFile").load(silent).where(F.col("length") <= EMPTY_FILE_BYTES)
-        whole = small.where(only_footer()).select(decoded_path("path").alias("path"), F.lit(True).alias("empty"))
-        met = met.join(whole, "path", "left")
-        empty = F.coalesce("empty", F.lit(False))
-    files = met.select(
-        "path", "length", (F.col("rows").isNotNull() | empty).alias("was_read"), F.coalesce("rows", F.lit(0)).alias("rows")
-    )
-    return rows, files
-
-
-def only_footer():
-    """A Parquet file without row groups: the mark, the footer, its length in four bytes, the mark again."""
-    content, size = F.col("content"), F.octet_length("content")
-    mark = F.lit("PAR1").cast("binary")
-    tail = F.hex(F.substring(content, -8, 4))
-    length = F.conv(F.concat(*[F.substring(tail, at, 2) for at in (7, 5, 3, 1)]), 16, 10).cast("long")
-    return (
-        (size >= 12)
-        & (F.substring(content, 1, 4) == mark)
-        & (F.substring(content, -4, 4) == mark)
-        & (length + 12 == size)
-    )
+    found = footers(spark, paths).select(decoded_path("path").alias("path"), "length", "readable", F.col("rows").alias("named"))
+    read = rows.groupBy(decoded_path("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    met = found.join(read, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    files = met.select("path", "length", (F.col("readable") & (F.col("rows") == F.coalesce("named", F.lit(-1)))).alias("was_read"), "rows")
+    return rows, materialise(files, "parquet-files")
 
 
-def decoded_path(column: str):
+def decoded_path(column: str | Column) -> Column:
     """Path without scheme variants and URL escapes, for comparing two listings."""
-    return F.regexp_replace(F.url_decode(F.regexp_replace(F.col(column), r"\+", "%2B")), r"^file:/+", "/")
+    path = F.col(column) if isinstance(column, str) else column
+    return F.regexp_replace(F.url_decode(F.regexp_replace(path, r"\+", "%2B")), r"^file:/+", "/")
