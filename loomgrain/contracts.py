@@ -180,6 +180,7 @@ COURSE = by_name(
     contract("salgrade", {"grade": "bigint", "losal": "bigint", "hisal": "bigint"}, "grade"),
 )
 
+# Columns, types and key of the change records.
 CHANGES = contract(
     "sales_transaction_changes",
     {
@@ -193,12 +194,14 @@ CHANGES = contract(
     nullable=("amount", "transaction_ts"),
 )
 
+# Columns, types and key of the input/output fixtures.
 IO_ROWS = contract(
     "io_rows",
     {"record_id": "bigint", "product_id": "bigint", "amount": "double", "event_date": "string"},
     "record_id",
 )
 
+# Columns and types of the load audit.
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("scenario", T.StringType()),

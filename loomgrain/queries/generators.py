@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from loomgrain.contracts import IO_ROWS
+from loomgrain.operators.quality import REASON, validate_contract
 from loomgrain.plans.lake import union_by_name
 from loomgrain.queries.registry import query
 from loomgrain.queries.shapes import side_by_side
@@ -9,6 +11,7 @@ from loomgrain.session import fresh_path
 from loomgrain.sinks.writers import write_layout
 from loomgrain.sources import banking, generators as gen
 from loomgrain.sources.files import list_files
+from loomgrain.sources.readers import read_by_contract
 
 c = F.col
 
@@ -103,6 +106,118 @@ def gen_retail_tables(t):
     )
 
 
+@query(
+    "gen_course_projects",
+    f"""SELECT p AS projectno, ({words(gen.PROJECTS)})[(p - 1) % 10 + 1] || '_' || lpad(CAST(p AS VARCHAR), 3, '0') AS project_name,
+        p * 10000 AS budget, p * 100 AS monthly_commission, COUNT(*) AS assigned,
+        COUNT(CASE WHEN p % 10 <> 0 THEN 1 END) AS ended, MIN(first) AS first_start, MAX(first) AS last_start,
+        MAX(CASE WHEN p % 10 <> 0 THEN last END) AS last_end, CAST(SUM(sal) AS DOUBLE) AS sal
+        FROM (SELECT p, strftime(DATE '1989-01-01' + CAST((n + p) % 9000 AS INT), '%Y-%m-%d') AS first,
+              strftime(DATE '1989-01-01' + CAST((n + p) % 9000 + 365 + p % 90 AS INT), '%Y-%m-%d') AS last,
+              700 + (n * 37) % 49300 AS sal FROM {ON}, (SELECT unnest(range(1, 101)) AS p) y) e GROUP BY p""",
+)
+def gen_course_projects(t):
+    """Every employee on each of a hundred projects, numbered without a join."""
+    rows = order_numbers(t)
+    assigned = gen.course_emp_projects(rows.select(F.explode(F.sequence((c("n") - 1) * 100 + 1, c("n") * 100)).alias("n")))
+    emp = gen.course_emp(rows).select("empno", "sal")
+    per_project = assigned.join(emp, "empno").groupBy("projectno").agg(
+        F.count("*").alias("assigned"),
+        F.count("end_date").alias("ended"),
+        F.min("start_date").alias("first_start"),
+        F.max("start_date").alias("last_start"),
+        F.max("end_date").alias("last_end"),
+        F.sum("sal").alias("sal"),
+    )
+    hundred = gen.row_numbers(t.spark, 100)
+    return gen.course_projects(hundred).join(per_project, "projectno")
+
+
+PERSON = f"""({words(gen.FIRST_NAMES)})[(n - 1) % 20 + 1] || ' ' || ({words(gen.LAST_NAMES)})[((n - 1) // 20) % 20 + 1]
+    || CASE WHEN n > 400 THEN ' ' || CAST((n - 1) // 400 + 1 AS VARCHAR) ELSE '' END"""
+
+
+@query(
+    "gen_retail_customers",
+    f"""SELECT ({words(gen.REGIONS)})[((n - 1) % 100 + 1) % 4 + 1] AS region, COUNT(*) AS transactions,
+        CAST(COUNT(DISTINCT n) AS BIGINT) AS customers, CAST(SUM(CAST(cents AS DECIMAL(18,0))) / 100 AS DOUBLE) AS amount,
+        MAX(name) AS last_name, MIN(lower(replace(name, ' ', '.')) || '@example.com') AS first_email,
+        strftime(MAX(TIMESTAMP '2026-01-01 08:00:00' + to_days(CAST(n % 365 AS INT))), '%Y-%m-%d') AS last_created,
+        strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS last_sale
+        FROM (SELECT n, {PERSON} AS name FROM {ON}) customer
+        JOIN (SELECT 1 + (n - 1) % 100000 AS buyer, 500 + (n * 31) % 250000 AS cents,
+              TIMESTAMP '2026-01-01 08:00:00' + to_days(CAST(n % 365 AS INT)) + to_seconds(n % 86400) AS ts FROM {ON}) s
+        ON buyer = n GROUP BY 1""",
+)
+def gen_retail_customers(t):
+    rows = order_numbers(t)
+    paid = gen.retail_sales_transaction(rows).groupBy("customer_id").agg(
+        F.count("*").alias("transactions"), F.sum("amount").alias("amount"), F.max("transaction_ts").alias("last_sale")
+    )
+    # a hundred locations
+    location = F.broadcast(gen.retail_location(gen.row_numbers(t.spark, 100)).select("location_id", "region"))
+    return (
+        gen.retail_customer(rows)
+        .join(paid, "customer_id")
+        .join(location, "location_id")
+        .groupBy("region")
+        .agg(
+            F.sum("transactions").alias("transactions"),
+            F.count("*").alias("customers"),
+            F.sum("amount").cast("double").alias("amount"),
+            F.max("customer_name").alias("last_name"),
+            F.min("email").alias("first_email"),
+            F.date_format(F.max("created_at"), "yyyy-MM-dd").alias("last_created"),
+            F.date_format(F.max("last_sale"), "yyyy-MM-dd HH:mm:ss").alias("last_sale"),
+        )
+    )
+
+
+@query(
+    "gen_retail_staff",
+    f"""SELECT 'department_' || lpad(CAST(d AS VARCHAR), 4, '0') AS dname, 'location_' || lpad(CAST(d AS VARCHAR), 3, '0') AS loc,
+        ({words(gen.RETAIL_JOBS)})[e % 4 + 1] AS job, COUNT(*) AS assigned, COUNT(CASE WHEN a % 5 = 0 THEN 1 END) AS ended,
+        CAST(SUM(1000 + (e * 43) % 65000) AS DOUBLE) AS sal, CAST(SUM(50000 + (p * 997) % 5000000) AS DOUBLE) AS budget,
+        MAX('project_' || lpad(CAST(p AS VARCHAR), 7, '0')) AS last_project,
+        strftime(MIN(DATE '2020-01-01' + CAST(a % 2000 AS INT)), '%Y-%m-%d') AS first_start
+        FROM (SELECT n AS a, 1 + (n - 1) % 100000 AS of_emp, 1 + (n - 1) % 1000 AS p FROM {ON}) x
+        JOIN (SELECT n AS e, 1 + (n - 1) % 10 AS d FROM {ON}) y ON of_emp = e GROUP BY d, e % 4""",
+)
+def gen_retail_staff(t):
+    rows = order_numbers(t)
+    dept = F.broadcast(gen.retail_dept(gen.row_numbers(t.spark, 10)))
+    projects = F.broadcast(gen.retail_projects(gen.row_numbers(t.spark, 1000)).select("project_id", "project_name", "budget"))
+    emp = gen.retail_emp(rows).select("empno", "job", "sal", "deptno")
+    return (
+        gen.retail_emp_projects(rows)
+        .join(emp, "empno")
+        .join(dept, "deptno")
+        .join(projects, "project_id")
+        .groupBy("dname", "loc", "job")
+        .agg(
+            F.count("*").alias("assigned"),
+            F.count("end_date").alias("ended"),
+            F.sum("sal").cast("double").alias("sal"),
+            F.sum("budget").cast("double").alias("budget"),
+            F.max("project_name").alias("last_project"),
+            F.date_format(F.min("start_date"), "yyyy-MM-dd").alias("first_start"),
+        )
+    )
+
+
+@query(
+    "gen_io_damaged",
+    """SELECT CASE event_id % 5 WHEN 4 THEN NULL WHEN 0 THEN 'invalid_or_missing_amount' ELSE 'malformed_record' END AS reason,
+       COUNT(*) AS lines FROM events GROUP BY 1""",
+)
+def gen_io_damaged(t):
+    """Fixtures with damaged lines, as a load by contract takes them apart."""
+    lines = gen.damaged_io_lines(numbers(t, "events", "event_id"))
+    path = t.staged("damaged-io", lambda folder: lines.write.text(folder))
+    checked = validate_contract(read_by_contract(t.spark, "csv", path, IO_ROWS, header=False), IO_ROWS)
+    return checked.groupBy(c(REASON).alias("reason")).agg(F.count("*").alias("lines"))
+
+
 @query(
     "gen_cdc",
     f"""SELECT n AS transaction_id, CASE WHEN n % 2 = 1 THEN 'U' ELSE 'D' END AS operation,

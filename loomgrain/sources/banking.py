@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Word lists, plans and loan types of the feed.
-FIRST_NAMES = "Aarav Isha Rohan Meera Vikram Anika Jay Divya Kiran Neha".split()
-LAST_NAMES = "Sharma Patel Rao Iyer Khan Mehta Nair Reddy Gupta Das".split()
-CITIES = "Mumbai Delhi Bengaluru Hyderabad Chennai Pune Kolkata Ahmedabad".split()
+FIRST_NAMES = ("Aarav", "Isha", "Rohan", "Meera", "Vikram", "Anika", "Jay", "Divya", "Kiran", "Neha")
+LAST_NAMES = ("Sharma", "Patel", "Rao", "Iyer", "Khan", "Mehta", "Nair", "Reddy", "Gupta", "Das")
+CITIES = ("Mumbai", "Delhi", "Bengaluru", "Hyderabad", "Chennai", "Pune", "Kolkata", "Ahmedabad")
 EMPLOYERS = ["Northstar Retail", "Metro Health", "Bright Finance", "Urban Logistics"]
-CHANNELS = "upi debit_card net_banking atm branch".split()
-MERCHANTS = "salary grocery fuel emi shopping transfer".split()
+CHANNELS = ("upi", "debit_card", "net_banking", "atm", "branch")
+MERCHANTS = ("salary", "grocery", "fuel", "emi", "shopping", "transfer")
 PRINCIPALS = [75_000, 250_000, 850_000, 3_500_000, 6_500_000]
 MONTHS = [24, 36, 60, 120]
 PLANS = [

@@ -12,25 +12,26 @@ from pyspark.sql import functions as F
 
 # Word lists of the course tables.
 DEPARTMENTS = (
-    "accounting research sales operations finance marketing engineering support hr logistics".split()
+    "accounting", "research", "sales", "operations", "finance", "marketing", "engineering", "support", "hr",
+    "logistics",
 )
-CITIES = "new_york dallas chicago boston atlanta denver seattle austin phoenix miami".split()
-PEOPLE = "adam bella carl divya eli fatima gita hugo irene jay".split()
-JOBS = "clerk salesman analyst manager developer tester architect consultant".split()
-PROJECTS = "Pulse Streamline SwiftSync Flux Atlas Beacon Cobalt Delta Echo Fusion".split()
-UPDATE_JOBS = "clerk salesman analyst manager developer".split()
+CITIES = ("new_york", "dallas", "chicago", "boston", "atlanta", "denver", "seattle", "austin", "phoenix", "miami")
+PEOPLE = ("adam", "bella", "carl", "divya", "eli", "fatima", "gita", "hugo", "irene", "jay")
+JOBS = ("clerk", "salesman", "analyst", "manager", "developer", "tester", "architect", "consultant")
+PROJECTS = ("Pulse", "Streamline", "SwiftSync", "Flux", "Atlas", "Beacon", "Cobalt", "Delta", "Echo", "Fusion")
+UPDATE_JOBS = ("clerk", "salesman", "analyst", "manager", "developer")
 
 # Word lists of the retail tables.
 FIRST_NAMES = (
-    "Aarav Aisha Carlos Chloe Daniel Elena Fatima Gabriel Hannah Ishaan "
-    "Jasmine Kenji Liam Maya Noah Olivia Priya Rohan Sofia Zoe"
-).split()
+    "Aarav", "Aisha", "Carlos", "Chloe", "Daniel", "Elena", "Fatima", "Gabriel", "Hannah", "Ishaan", "Jasmine",
+    "Kenji", "Liam", "Maya", "Noah", "Olivia", "Priya", "Rohan", "Sofia", "Zoe",
+)
 LAST_NAMES = (
-    "Anderson Bennett Chen Diaz Evans Garcia Hassan Iyer Johnson Kim "
-    "Lopez Miller Nair Patel Rivera Sharma Singh Thomas Walker Young"
-).split()
-REGIONS = "north south east west".split()
-RETAIL_JOBS = "clerk analyst manager developer".split()
+    "Anderson", "Bennett", "Chen", "Diaz", "Evans", "Garcia", "Hassan", "Iyer", "Johnson", "Kim", "Lopez", "Miller",
+    "Nair", "Patel", "Rivera", "Sharma", "Singh", "Thomas", "Walker", "Young",
+)
+REGIONS = ("north", "south", "east", "west")
+RETAIL_JOBS = ("clerk", "analyst", "manager", "developer")
 
 
 def row_numbers(spark: SparkSession, rows: int, partitions: int | None = None) -> DataFrame:
@@ -39,7 +40,7 @@ def row_numbers(spark: SparkSession, rows: int, partitions: int | None = None) -
     return spark.range(1, rows + 1, numPartitions=partitions).withColumnRenamed("id", "n")
 
 
-def _pick(words: list[str], index: Column) -> Column:
+def _pick(words: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), (index + 1).cast("int"))
 
 
@@ -139,6 +140,27 @@ def io_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def damaged_io_lines(rows: DataFrame) -> DataFrame:
+    """CSV lines of ``io_rows``, four of five damaged by the row's number.
+
+    1: an amount that is no number, 2: a field short, 3: a field too many, 4: a line that is no record.
+    """
+    kind = F.col("n") % 5
+    row = io_rows(rows.select("n")).select(
+        F.col("record_id").alias("n"),
+        F.concat_ws(",", "record_id", "product_id").alias("ids"),
+        F.when(F.col("record_id") % 5 == 1, "not_a_number").otherwise(F.col("amount").cast("string")).alias("amount"),
+        "event_date",
+    )
+    line = (
+        F.when(kind == 2, F.concat_ws(",", "ids", "amount"))
+        .when(kind == 3, F.concat_ws(",", "ids", "amount", "event_date", F.lit("unexpected_column")))
+        .when(kind == 4, F.lit("broken,row"))
+        .otherwise(F.concat_ws(",", "ids", "amount", "event_date"))
+    )
+    return row.select(line.alias("value"))
+
+
 def retail_location(rows: DataFrame) -> DataFrame:
     n = F.col("n")
     return rows.select(
