@@ -10,6 +10,17 @@ from pyspark.sql import types as T
 
 from loomgrain.functions.values import normal_email
 from loomgrain.operators.skew import broadcast_if_small
+from loomgrain.plans.publish import (
+    FILE,
+    current_version,
+    list_written,
+    make_current,
+    names_of,
+    new_folder,
+    read_files,
+    version_files,
+    version_schema,
+)
 from loomgrain.session import delete_path, materialise, path_exists, session_settings
 from loomgrain.sinks.tables import create_namespace, replace_table
 from loomgrain.sinks.writers import TARGET_FILE_BYTES, write_table
@@ -226,6 +237,38 @@ def compact_folder(
     return list_files(spark, target, f"*.{fmt}").count()
 
 
+def compact_version(
+    spark: SparkSession, root: str, target_bytes: int = TARGET_FILE_BYTES, large_share: float = 0.75
+) -> dict[str, int]:
+    """Publish a version whose small files are merged to about ``target_bytes``; files large enough stay as they are.
+
+    The small files are packed into bins by the scan, largest first, and a task
+    writes each bin as one file: no shuffle, and no byte of a large file is
+    read. The version is published if all rows of the small files have arrived.
+    Nothing is published where merging would not lower the number of files.
+    """
+    version = current_version(spark, root)
+    schema = version_schema(spark, root, version)
+    files = version_files(spark, root, version)
+    folders = sorted({name.split("/")[0] for name in names_of(files)})
+    sizes = list_files(spark, [f"{root}/{folder}" for folder in folders], "*.parquet").select(
+        F.regexp_extract("path", "(version_[^/]+/[^/]+)$", 1).alias("file"), "length"
+    ) if folders else spark.createDataFrame([], "file string, length long")
+    small = materialise(files.join(sizes, "file").where(F.col("length") < large_share * target_bytes), "small-files")
+    facts = small.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("length").alias("bytes")).first()
+    if facts["files"] < 2 or -(-facts["bytes"] // target_bytes) >= facts["files"]:
+        return {"kept": files.count(), "merged": 0, "written": 0}
+    folder = new_folder(spark, root, version + 1)
+    read_files(packing_session(spark, target_bytes), root, names_of(small), schema).drop(FILE).write.parquet(f"{root}/{folder}")
+    written = materialise(list_written(spark, root, folder, schema), "merged-files")
+    after = written.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
+    if after["rows"] != facts["rows"]:
+        raise ValueError(f"version {version + 1} of {root} has {after['rows']} rows in place of {facts['rows']} and was not published")
+    carried = materialise(files.join(small, "file", "left_anti"), "kept-files")
+    make_current(spark, root, version + 1, carried.unionByName(written))
+    return {"kept": carried.count(), "merged": facts["files"], "written": after["files"]}
+
+
 def packing_session(spark: SparkSession, target_bytes: int = TARGET_FILE_BYTES) -> SparkSession:
     """A session of the same application whose scans read ``target_bytes`` per task, small files together."""
     session = spark.newSession()

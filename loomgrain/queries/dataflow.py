@@ -18,10 +18,10 @@ from loomgrain.operators.quality import (
 from loomgrain.operators.updates import latest_changes
 from loomgrain.plans.batches import RepeatedBatch, committed, ingest_batch, log, states
 from loomgrain.plans.changes import apply_latest
-from loomgrain.plans.lake import build_bronze_silver, compact_folder, load_batches, to_silver, union_by_name, with_lineage
+from loomgrain.plans.lake import build_bronze_silver, compact_folder, compact_version, load_batches, to_silver, union_by_name, with_lineage
 from loomgrain.plans.layout import compare_layouts, timed_update
 from loomgrain.plans.loads import load_many, stage
-from loomgrain.plans.publish import current_version, publish, read_version
+from loomgrain.plans.publish import current_version, names_of, publish, read_version, version_files
 from loomgrain.queries.changes import order_changes, order_transactions
 from loomgrain.queries.registry import own_name, query
 from loomgrain.queries.shapes import (
@@ -354,6 +354,29 @@ def compact_files(t):
     )
 
 
+@query(
+    "compact_by_bins",
+    """SELECT CAST(2 AS BIGINT) AS kept, CAST(10 AS BIGINT) AS merged, CAST(1 AS BIGINT) AS fewer_files,
+       CAST(2 AS BIGINT) AS untouched, COUNT(*) AS row_count, CAST(SUM(o_orderkey) AS BIGINT) AS keys FROM orders""",
+)
+def compact_by_bins(t):
+    """Two large files and ten small ones: the small are merged, the large are carried over."""
+    root = fresh_path(t.spark, "bins")
+    digit = c("o_orderkey") % 100
+    part = F.when(digit < 45, 0).when(digit < 90, 1).otherwise(digit - 88).cast("int")
+    publish(t["orders"].repartitionById(12, part), root, 1)
+    before = {r["path"]: r["length"] for r in list_files(t.spark, f"{root}/version_1", "*.parquet").collect()}
+    found = compact_version(t.spark, root, max(before.values()))
+    after = set(names_of(version_files(t.spark, root)))
+    untouched = sum(name in after for name in names_of(version_files(t.spark, root, 1)))
+    facts = {"kept": found["kept"], "merged": found["merged"], "fewer_files": int(found["written"] < 10), "untouched": untouched}
+    return read_version(t.spark, root).agg(
+        *[F.lit(value).cast("long").alias(name) for name, value in facts.items()],
+        F.count("*").alias("row_count"),
+        F.sum("o_orderkey").alias("keys"),
+    )
+
+
 @query(
     "selected_tables",
     """SELECT 'customer' AS table_name, COUNT(*) AS row_count FROM customer UNION ALL SELECT 'supplier', COUNT(*) FROM supplier""",

@@ -8,6 +8,7 @@ from loomgrain.contracts import contract
 from loomgrain.operators.updates import change_counts, merge_changes
 from loomgrain.plans import loads
 from loomgrain.plans.changes import apply_latest, matched_rows
+from loomgrain.plans.lake import compact_version
 from loomgrain.plans.publish import NothingPublished, current_version, names_of, publish, read_version, version_files
 
 KEY, CHANGED = ["id"], ["amount"]
@@ -115,3 +116,19 @@ def test_the_observation_gives_way_to_what_was_written(spark, tmp_path, monkeypa
     monkeypatch.setattr(loads, "Observation", Doubled)
     again = loads.stage(loads.validate_contract(raw, item), item)
     assert (again.accepted_rows, again.rejected_rows, again.source_files) == (found.accepted_rows, found.rejected_rows, 2)
+
+
+def test_compaction_merges_small_files_only(spark, tmp_path):
+    root = str(tmp_path / "bins")
+    part = F.when(F.col("id") < 8000, 0).otherwise((F.col("id") - 8000) / 100 + 1).cast("int")
+    publish(spark.range(9000).select("id", F.rand(3).alias("amount")).repartitionById(12, part), root, 1)
+    before = {r["file"]: r["rows"] for r in version_files(spark, root).collect()}
+    found = compact_version(spark, root, 60_000)
+    assert found["kept"] == 1 and found["merged"] == 10 and found["written"] < 3
+    after = {r["file"]: r["rows"] for r in version_files(spark, root).collect()}
+    assert max(before, key=before.get) in after and len(after) == 1 + found["written"]
+    assert rows(read_version(spark, root)) == rows(read_version(spark, root, 1))
+    # nothing is left to merge, and changes go on from the compacted version
+    assert compact_version(spark, root, 60_000)["merged"] == 0 and current_version(spark, root) == 2
+    counts = apply_latest(spark.createDataFrame([("D", 8500, 0.0)], "operation string, id long, amount double"), root, KEY, CHANGED)
+    assert counts["deleted"] == 1 and read_version(spark, root).count() == 8999
