@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--batch-rows", type=positive, default=10_000)
     job.add_argument("--rejects", required=True)
     job.add_argument("--audit", required=True)
+    job.add_argument("--run-id", help="name of the run; a run that died is repeated under its name")
 
     job = jobs.add_parser("changes", help="apply change files to a versioned dataset")
     job.add_argument("--source", required=True)
@@ -96,12 +97,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         if bool(args.target) == bool(args.jdbc_url):
             raise ValueError("give either --target or --jdbc-url")
         if args.target:
-            target = folder_target(args.target, mode=args.mode)
+            target = folder_target(args.target, mode=args.mode, run_id=args.run_id)
         else:
             database = Database(args.jdbc_url, os.environ.get("JDBC_USER"), os.environ.get("JDBC_PASSWORD"))
             target = database_target(database, args.jdbc_schema, args.mode, args.batch_rows)
         contract = RETAIL[args.table]
-        done = load(spark, args.format, args.source, contract, target, args.scenario, args.rejects, args.audit)
+        done = load(spark, args.format, args.source, contract, target, args.scenario, args.rejects, args.audit, args.run_id)
         return {"table": args.table, "accepted_rows": done.accepted_rows, "rejected_rows": done.rejected_rows}
     if args.job == "changes":
         return apply_changes(spark, args.format, args.source, args.dataset, args.rejects)

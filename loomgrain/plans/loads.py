@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomgrain.contracts import LOAD_ORDER, RETAIL, Contract
 from loomgrain.operators.quality import REASON, REJECT_COLUMNS, validate_contract
-from loomgrain.session import fresh_path
+from loomgrain.session import delete_path, fresh_path
 from loomgrain.sinks.jdbc import write_database_table
 from loomgrain.sinks.writers import write_audit, write_rejects, write_table
 from loomgrain.sources.gate import refuse_unlike_files
@@ -82,24 +82,32 @@ def load(
     scenario: str,
     reject_root: str,
     audit_path: str,
+    run_id: str | None = None,
     **read_options,
 ) -> Outcome:
     """One table: accepted rows to ``target``, rejects to quarantine, one audit row.
 
-    Parquet files whose columns differ are refused before anything is read.
+    Parquet files whose columns differ are refused before anything is read. A
+    load with a ``run_id`` may be run again after it died at any step: rejects
+    and audit have folders of the run's name, which are written whole, and so
+    should the target (``folder_target`` with the same ``run_id``). Runs with
+    and without a name do not share an audit path.
     """
     refuse_unlike_files(spark, fmt, path)
     started_at = datetime.now(timezone.utc).replace(tzinfo=None)
     clock = perf_counter()
     outcome = stage(validate_contract(read_by_contract(spark, fmt, path, contract, **read_options), contract), contract)
     read_seconds = seconds(clock)
+    rejects = f"{reject_root}/{scenario}/{contract.name}"
+    if run_id is not None:
+        delete_path(spark, in_run(rejects, run_id))
     if outcome.rejected_rows:
-        write_rejects(outcome.rejected, f"{reject_root}/{scenario}/{contract.name}")
+        write_rejects(outcome.rejected, in_run(rejects, run_id))
     clock = perf_counter()
     target(outcome.accepted, contract, FACT_WRITERS if contract.is_fact else DIMENSION_WRITERS)
     write_audit(
         spark,
-        audit_path,
+        in_run(audit_path, None if run_id is None else f"{run_id}/load={scenario}.{contract.name}"),
         {
             "scenario": scenario,
             "target_table": contract.name,
@@ -113,10 +121,15 @@ def load(
             "started_at": started_at,
             "completed_at": datetime.now(timezone.utc).replace(tzinfo=None),
         },
+        "append" if run_id is None else "overwrite",
     )
     return outcome
 
 
+def in_run(path: str, run_id: str | None) -> str:
+    return path if run_id is None else f"{path}/run_id={run_id}"
+
+
 def database_target(database: Database, schema: str, mode: str = "append", batch_rows: int = 10_000) -> Target:
     """Target that writes to the database table of the contract's name."""
 
@@ -128,8 +141,10 @@ def database_target(database: Database, schema: str, mode: str = "append", batch
     return write
 
 
-def folder_target(root: str, fmt: str = "parquet", mode: str = "append") -> Target:
-    """Target that writes to ``<root>/<table>``; files need no bound on their writers."""
+def folder_target(root: str, fmt: str = "parquet", mode: str = "append", run_id: str | None = None) -> Target:
+    """Target that writes to ``<root>/<table>``, or to the run's own folder there, whole; files need no bound on their writers."""
+    if run_id is not None:
+        return lambda accepted, contract, writers: write_table(accepted, fmt, in_run(f"{root}/{contract.name}", run_id), "overwrite")
     return lambda accepted, contract, writers: write_table(accepted, fmt, f"{root}/{contract.name}", mode)
 
 
@@ -152,9 +167,10 @@ def load_many(
     audit_path: str,
     contracts: dict[str, Contract] = RETAIL,
     order: Sequence[str] = LOAD_ORDER,
+    run_id: str | None = None,
 ) -> dict[str, Outcome]:
     """Several tables in dependency order."""
     return {
-        table: load(spark, fmt, paths[table], contracts[table], target, scenario, reject_root, audit_path)
+        table: load(spark, fmt, paths[table], contracts[table], target, scenario, reject_root, audit_path, run_id)
         for table in in_load_order(paths, order)
     }

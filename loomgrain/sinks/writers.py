@@ -107,10 +107,10 @@ def write_rejects(rejected: DataFrame, path: str) -> bool:
     return True
 
 
-def write_audit(spark: SparkSession, path: str, record: dict[str, object]) -> None:
-    """Append one audit row."""
+def write_audit(spark: SparkSession, path: str, record: dict[str, object], mode: str = "append") -> None:
+    """Append one audit row, or make it the only one."""
     missing = set(AUDIT_SCHEMA.names) - set(record)
     if missing:
         raise ValueError(f"audit record lacks {', '.join(sorted(missing))}")
     row = tuple(record[name] for name in AUDIT_SCHEMA.names)
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode(mode).parquet(path)
