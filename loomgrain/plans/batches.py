@@ -15,6 +15,7 @@ equal numbers the one with the greater id, for every reader alike.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -86,6 +87,10 @@ def start_attempt(spark: SparkSession, root: str, batch_id: str) -> Attempt:
     return Attempt(spark, root, batch_id, (earlier or 0) + 1, uuid.uuid4().hex)
 
 
+def is_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
+    return not current_attempts(spark, root).where(F.col("batch_id") == batch_id).isEmpty()
+
+
 def ingest_batch(
     spark: SparkSession, fmt: str, path: str, contract: Contract, root: str, batch_id: str, replay: bool = False, **read_options
 ) -> Outcome:
@@ -94,26 +99,47 @@ def ingest_batch(
     A batch that is committed is refused unless it is to be replayed. Until the
     replay commits, readers see what the earlier attempt committed.
     """
-    done = current_attempts(spark, root).where(F.col("batch_id") == batch_id)
-    if not replay and not done.isEmpty():
+    if not replay and is_committed(spark, root, batch_id):
         raise RepeatedBatch(f"batch {batch_id} is committed")
-    attempt = start_attempt(spark, root, batch_id)
-    try:
+
+    def validated(attempt: Attempt) -> tuple[DataFrame, dict]:
         # bytes and files are facts of the listing; a file without valid rows counts as well
-        facts = list_files(spark, path).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
-        attempt.reached("discovered", f"{facts['files']} files")
+        facts = list_files(spark, path).agg(
+            F.count(F.lit(1)).alias("source_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("source_bytes")
+        )
+        found = facts.first().asDict()
+        attempt.reached("discovered", f"{found['source_files']} files")
         refuse_unlike_files(spark, fmt, path)
-        outcome = stage(validate_contract(read_by_contract(spark, fmt, path, contract, **read_options), contract), contract)
+        return validate_contract(read_by_contract(spark, fmt, path, contract, **read_options), contract), found
+
+    return run_attempt(start_attempt(spark, root, batch_id), contract, validated)
+
+
+def ingest_rows(validated: DataFrame, contract: Contract, root: str, batch_id: str) -> Outcome | None:
+    """Commit rows that are validated already as batch ``batch_id``, once: a batch that is committed adds nothing."""
+    spark = validated.sparkSession
+    if is_committed(spark, root, batch_id):
+        return None
+    return run_attempt(start_attempt(spark, root, batch_id), contract, lambda attempt: (validated, {}))
+
+
+def run_attempt(attempt: Attempt, contract: Contract, validated: Callable[[Attempt], tuple[DataFrame, dict]]) -> Outcome:
+    """Write rows, rejects and metrics of an attempt, then commit it; a failure is logged and raised."""
+    spark = attempt.spark
+    try:
+        rows, facts = validated(attempt)
+        outcome = stage(rows, contract)
         attempt.reached("validated", f"{outcome.accepted_rows} accepted, {outcome.rejected_rows} rejected")
         stamp = {"ingested_at": F.lit(datetime.now(timezone.utc))}
-        for kind, rows in (("rows", outcome.accepted), ("rejects", outcome.rejected)):
-            rows.withColumns(stamp).write.parquet(attempt.folder(kind))
+        for kind, part in (("rows", outcome.accepted), ("rejects", outcome.rejected)):
+            part.withColumns(stamp).write.parquet(attempt.folder(kind))
+        files = facts.get("source_files", outcome.source_files)
         metrics = {
-            "source_files": facts["files"],
-            "source_bytes": facts["bytes"],
+            "source_files": files,
+            "source_bytes": facts.get("source_bytes"),
             "read_files": outcome.source_files,
             # files of the listing no row came from
-            "skipped_files": facts["files"] - outcome.source_files,
+            "skipped_files": files - outcome.source_files,
             "accepted_rows": outcome.accepted_rows,
             "rejected_rows": outcome.rejected_rows,
             "written_files": list_files(spark, attempt.folder("rows"), "*.parquet").count(),

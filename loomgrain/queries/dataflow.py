@@ -5,6 +5,7 @@ from zlib import crc32
 from pyspark.sql import functions as F
 
 from loomgrain.contracts import AUDIT_SCHEMA, CHANGES, contract
+from loomgrain.functions.values import money
 from loomgrain.operators.quality import (
     duplicate_keys,
     reconcile,
@@ -49,7 +50,7 @@ from loomgrain.sources.footers import footers
 from loomgrain.sources.gate import SchemaDrift, drift_of_parts, read_checked_parts, refuse_unlike_files
 from loomgrain.sources.readers import read_by_contract, read_table
 from loomgrain.sources.routing import pick_tables
-from loomgrain.streaming.ingest import ingest_new_files, ingested
+from loomgrain.streaming.ingest import batch_sink, ingest_new_files, ingest_stream, ingested
 
 c = F.col
 
@@ -566,6 +567,33 @@ def incremental_prefix(t):
     return order_summary(ingested(t.spark, ORDERS, target))
 
 
+@query(
+    "stream_batches",
+    """SELECT CAST(2 AS BIGINT) AS batches, CAST(0 AS BIGINT) AS repeated_rows, o.* FROM (SELECT COUNT(*) AS row_count,
+       CAST(SUM(o_orderkey) AS BIGINT) AS keys, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM orders) o""",
+)
+def stream_batches(t):
+    """Files arrive twice; each arrival is a batch, and a batch number that comes again adds nothing."""
+    root = fresh_path(t.spark, "stream-batches")
+    source, lake = f"{root}/source", f"{root}/lake"
+    for rest in (0, 1):
+        t["orders"].where(c("o_orderkey") % 2 == rest).write.mode("append").parquet(source)
+        ingest_stream(t.spark, "parquet", source, ORDERS, lake, f"{root}/checkpoint")
+    # nothing new has arrived, and the first batch is handed over once more
+    ingest_stream(t.spark, "parquet", source, ORDERS, lake, f"{root}/checkpoint")
+    before = committed(t.spark, lake).count()
+    again = read_by_contract(t.spark, "parquet", source, ORDERS)
+    batch_sink(lake, ORDERS, "stream")(validate_contract(again, ORDERS), 0)
+    rows = committed(t.spark, lake)
+    return rows.agg(
+        F.count_distinct("batch_id").alias("batches"),
+        F.lit(rows.count() - before).cast("long").alias("repeated_rows"),
+        F.count("*").alias("row_count"),
+        F.sum("o_orderkey").alias("keys"),
+        F.sum(money("o_totalprice")).cast("double").alias("amount"),
+    )
+
+
 @query(
     "format_equivalence",
     """SELECT f.fmt AS "format", COUNT(*) AS parts, CAST(1 AS BIGINT) AS same_as_parquet FROM part,

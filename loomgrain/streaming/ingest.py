@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from loomgrain.contracts import CORRUPT, Contract
 from loomgrain.operators.quality import REASON, REJECT_COLUMNS, validate_contract
+from loomgrain.plans.batches import ingest_rows
 from loomgrain.sources.readers import check_format
 
 
@@ -24,6 +25,60 @@ def file_stream(
     return reader.options(**options).load(path)
 
 
+def arriving(spark: SparkSession, fmt: str, source: str, contract: Contract, files_per_batch: int = 1000, **options) -> DataFrame:
+    """Validated rows of the files that arrive; text formats are read as text, so a bad value gets its reason."""
+    if fmt == "parquet":
+        rows = file_stream(spark, fmt, source, contract.schema, files_per_batch, **options)
+    else:
+        rows = file_stream(
+            spark,
+            fmt,
+            source,
+            contract.text_schema,
+            files_per_batch,
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord=CORRUPT,
+            **options,
+        )
+    return validate_contract(rows, contract)
+
+
+def batch_sink(root: str, contract: Contract, name: str):
+    """A sink for ``foreachBatch``: the stream's batch number names the batch, and a batch that is committed adds nothing."""
+
+    def sink(rows: DataFrame, number: int) -> None:
+        ingest_rows(rows, contract, root, f"{name}-{number:09d}")
+
+    return sink
+
+
+def ingest_stream(
+    spark: SparkSession,
+    fmt: str,
+    source: str,
+    contract: Contract,
+    root: str,
+    checkpoint: str,
+    name: str = "stream",
+    files_per_batch: int = 1000,
+    **options,
+) -> None:
+    """Commit the files that arrived since the last run as batches of ``root``, with rejects and metrics of each.
+
+    The checkpoint may hand a batch over again after a failure; the log of
+    attempts tells what is committed, so no row is added twice. ``name`` must
+    stay with the checkpoint: a new checkpoint counts from zero again.
+    """
+    query = (
+        arriving(spark, fmt, source, contract, files_per_batch, **options)
+        .writeStream.foreachBatch(batch_sink(root, contract, name))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def ingest_new_files(
     spark: SparkSession,
     fmt: str,
@@ -39,20 +94,7 @@ def ingest_new_files(
     Accepted and rejected rows land in ``outcome=`` folders of the target. The
     file sink commits each batch once, so a repeated batch adds no rows.
     """
-    if fmt == "parquet":
-        rows = file_stream(spark, fmt, source, contract.schema, files_per_batch, **options)
-    else:
-        rows = file_stream(
-            spark,
-            fmt,
-            source,
-            contract.text_schema,
-            files_per_batch,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=CORRUPT,
-            **options,
-        )
-    checked = validate_contract(rows, contract)
+    checked = arriving(spark, fmt, source, contract, files_per_batch, **options)
     outcome = F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected")
     query = (
         checked.select(*contract.names, *REJECT_COLUMNS, outcome.alias("outcome"))

@@ -107,3 +107,27 @@ def test_only_folders_of_current_attempts_are_read(spark, tmp_path):
         ingest_batch(spark, "csv", path, ITEM, root, "b1", replay=n > 0)
     plan = committed(spark, root)._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_a_stream_commits_each_batch_once(spark, tmp_path, monkeypatch):
+    from loomgrain.streaming.ingest import batch_sink, ingest_stream
+
+    root, path = str(tmp_path / "lake"), str(tmp_path / "arriving")
+
+    def arrive(*rows):
+        write_table(spark.createDataFrame(list(rows), "id string, amount string"), "csv", path, mode="append")
+        ingest_stream(spark, "csv", path, ITEM, root, str(tmp_path / "checkpoint"))
+
+    arrive(("1", "2"), ("2", "x"))
+    reached = batches.Attempt.reached
+    with monkeypatch.context() as patched:
+        # the batch's rows are written, but the driver dies before the commit
+        patched.setattr(batches.Attempt, "reached", lambda self, state, detail=None: 1 / 0 if state == "committed" else reached(self, state, detail))
+        with pytest.raises(Exception):
+            arrive(("3", "4"))
+    assert ids(committed(spark, root)) == [1]
+    arrive(("5", "6"))
+    assert ids(committed(spark, root)) == [1, 3, 5] and committed(spark, root, "rejects").count() == 1
+    batch_sink(root, ITEM, "stream")(spark.range(1), 0)
+    assert ids(committed(spark, root)) == [1, 3, 5]
+    assert {r["batch_id"][:7] for r in committed(spark, root, "metrics").collect()} == {"stream-"}
