@@ -140,3 +140,40 @@ def skew_join(
         .drop("_shares")
     )
     return shared_left.join(shared_right, [*on, "_share"], how).drop("_share")
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Equi join whose keys may be hot on both sides: inner, left, right or full.
+
+    The rows of a hot key lie in a grid of left by right shares: a left row
+    goes to one share and is repeated along the right ones, a right row the
+    other way round, so each pair meets in one cell and no task holds more than
+    about ``hot_rows`` of a side. A cell may be empty of one side although the
+    key is not, so rows without a partner are not told by cell: those of either
+    side come from an anti join with the other side's distinct keys, once.
+    Rows without a key have no partner. Without hot keys it is a plain join.
+    """
+    if how not in {"inner", "left", "right", "full"}:
+        raise ValueError(f"grid_join does not support {how}")
+    counted = [hot_keys(side, on, hot_limit(side, hot_rows)).withColumnRenamed("_shares", name) for side, name in ((left, "_l"), (right, "_r"))]
+    hot = counted[0].join(counted[1], on, "full").select(*on, F.coalesce("_l", F.lit(1)).alias("_l"), F.coalesce("_r", F.lit(1)).alias("_r"))
+    hot = materialise(hot.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in on))), "grid-keys")
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    shares = _hottest(hot.withColumn("_shares", F.greatest("_l", "_r"))).drop("_shares")
+
+    def placed(side: DataFrame, own: str, other: str, place: str, along: str) -> DataFrame:
+        return (
+            side.withColumn(place, _share(side, F.lit(1 << 30)))
+            .join(shares, on, "left")
+            .withColumn(place, F.pmod(F.col(place), F.coalesce(own, F.lit(1))))
+            .withColumn(along, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)))
+            .drop(own, other)
+        )
+
+    met = placed(left, "_l", "_r", "_i", "_j").join(placed(right, "_r", "_l", "_j", "_i"), [*on, "_i", "_j"]).drop("_i", "_j")
+    for side, other, kinds in ((left, right, {"left", "full"}), (right, left, {"right", "full"})):
+        if how in kinds:
+            keys = materialise(other.select(*on).distinct(), "grid-partners")
+            met = met.unionByName(skew_join(side, keys, on, "left_anti", hot_rows), allowMissingColumns=True)
+    return met

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from loomgrain.contracts import CHANGES
 from loomgrain.operators.bands import band_join
 from loomgrain.operators.quality import split, validate_changes
-from loomgrain.operators.skew import skew_join
+from loomgrain.operators.skew import grid_join, skew_join
 from loomgrain.operators.updates import latest_changes, merge_changes, overlay
 from loomgrain.queries.changes import order_changes, order_transactions
 from loomgrain.queries.registry import query
@@ -226,6 +226,31 @@ def skew_join_query(t):
     )
 
 
+@query(
+    "full_join_hot",
+    """SELECT coalesce(o.k, c.k) AS k, COUNT(*) AS row_count, COUNT(o_orderkey) AS orders, COUNT(c_custkey) AS customers,
+       CAST(SUM(o_orderkey) AS BIGINT) AS order_keys, CAST(SUM(c_custkey) AS BIGINT) AS customer_keys
+       FROM (SELECT CASE WHEN o_orderkey % 100 = 0 THEN -1 ELSE o_custkey + 10 END AS k, o_orderkey FROM orders) o
+       FULL JOIN (SELECT CASE WHEN c_custkey % 50 = 0 THEN -1 ELSE c_custkey END AS k, c_custkey FROM customer) c ON o.k = c.k
+       GROUP BY 1""",
+)
+def full_join_hot(t):
+    """One key is hot on both sides; orders and customers without a partner come out once."""
+    orders = t["orders"].select(
+        F.when(c("o_orderkey") % 100 == 0, -1).otherwise(c("o_custkey") + 10).alias("k"), "o_orderkey"
+    )
+    customers = t["customer"].select(F.when(c("c_custkey") % 50 == 0, -1).otherwise(c("c_custkey")).alias("k"), "c_custkey")
+    # a quarter of the customers of the hot key, so that both sides are cut
+    share = max(2, t["customer"].count() // 200)
+    return grid_join(orders, customers, ["k"], "full", share).groupBy("k").agg(
+        F.count("*").alias("row_count"),
+        F.count("o_orderkey").alias("orders"),
+        F.count("c_custkey").alias("customers"),
+        F.sum("o_orderkey").alias("order_keys"),
+        F.sum("c_custkey").alias("customer_keys"),
+    )
+
+
 @query(
     "cdc_apply",
     """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(16,2)) + 5 AS DOUBLE)

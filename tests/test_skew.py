@@ -160,3 +160,38 @@ def test_top_n_above_the_limit_of_the_plan_rule(spark):
     found = top_per_group(numbers, ["g"], [("id", "desc")], n=5000)
     assert found.agg(F.min("id"), F.count("id")).first() == (35_000, 5000)
     assert "_share" in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("hot", [(60, 50), (60, 1), (1, 50), (0, 40), (40, 0)])
+def test_grid_join_equals_a_plain_join(spark, how, hot):
+    def side(name, rows, offset):
+        keys = [7] * rows + [i + offset for i in range(30)] + [i % 5 for i in range(20)] + [None] * 9
+        return spark.createDataFrame([(k, i % 11) for i, k in enumerate(keys)], f"k long, {name} long").repartition(4)
+
+    left, right = side("a", hot[0], 100), side("b", hot[1], 115)
+    found = skew.grid_join(left, right, ["k"], how, hot_rows=8)
+    assert found.columns == ["k", "a", "b"]
+    assert rows(found) == rows(left.join(right, ["k"], how))
+
+
+def test_no_task_of_a_grid_holds_a_hot_key_whole(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+        right = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+        found = skew.grid_join(left, right, ["k"], "full", hot_rows=250)
+        per_task = found.groupBy(F.spark_partition_id()).agg(F.count_distinct("a").alias("a"), F.count_distinct("b").alias("b")).collect()
+        assert found.count() == 4_000_000
+        # cells fall on eight tasks by hash: none has a side whole
+        assert len(per_task) > 4 and all(r["a"] < 4000 for r in per_task)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_grid_join_on_two_columns_and_wrong_kinds(spark):
+    left = spark.createDataFrame([(1, "x", i) for i in range(30)] + [(1, None, 99)], "k long, n string, a long")
+    right = spark.createDataFrame([(1, "x", i) for i in range(30)] + [(2, "x", 5)], "k long, n string, b long")
+    assert rows(skew.grid_join(left, right, ["k", "n"], "full", 5)) == rows(left.join(right, ["k", "n"], "full"))
+    with pytest.raises(ValueError):
+        skew.grid_join(left, right, ["k"], "left_semi")
