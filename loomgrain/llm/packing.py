@@ -207,12 +207,12 @@ def pack_documents(
     window: int = WINDOW,
     smallest: int = SMALLEST_TIER,
     shard_tokens: int = SHARD_TOKENS,
-    plain_specials: bool = True,
+    plain_specials: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id and PIECES; ``with_ids`` adds the token ids themselves.
 
-    ``plain_specials`` takes the strings of special tokens in a text as ordinary
-    text; without it the tokenizer is used as its file has it.
+    The tokenizer is used as its file has it; ``plain_specials`` takes the strings
+    of special tokens in a text as ordinary text.
     """
     from pyspark.sql import types as T
 

@@ -110,7 +110,6 @@ def pieces_are_whole(found, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     by_document, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in found:
         by_document[r["doc_id"]].append(r)
