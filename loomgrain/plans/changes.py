@@ -66,15 +66,21 @@ def matched_rows(base: DataFrame, latest: DataFrame, key: list[str], operation:
     return base.select(*key, FILE).join(side, key)
 
 
-def apply_latest(latest: DataFrame, root: str, key: list[str], columns: list[str], operation: str = "operation") -> dict[str, int]:
+def apply_latest(
+    latest: DataFrame, root: str, key: list[str], columns: list[str], operation: str = "operation", onto: int | None = None
+) -> dict[str, int]:
     """Publish the next version with ``latest``, a stored table of one change per key, applied to the current one.
 
+    ``onto`` names an earlier version to start from, as when changes are applied
+    anew. The result counts the changes and names the version they led to.
+
     Only the files that hold a changed row are rewritten; the others belong to
     the new version as they are. It is published if each rewritten file's rows,
     less the deleted ones, have arrived.
     """
     spark = latest.sparkSession
-    version = current_version(spark, root)
+    current = current_version(spark, root)
+    version, following = current if onto is None else onto, current + 1
     schema = version_schema(spark, root, version)
     files = version_files(spark, root, version)
     base = read_files(spark, root, names_of(files), schema)
@@ -91,15 +97,15 @@ def apply_latest(latest: DataFrame, root: str, key: list[str], columns: list[str
     staged, met = latest.count(), hits.select(*key).distinct().count()
     found = {"staged": staged, "updated": counts["updated"], "deleted": counts["deleted"], "unmatched": staged - met}
     if not counts["files"]:
-        return {**found, "rewritten_files": 0, "carried_files": files.count()}
+        return {**found, "rewritten_files": 0, "carried_files": files.count(), "version": version}
     touched = read_files(spark, root, names_of(per_file), schema).drop(FILE)
-    folder = new_folder(spark, root, version + 1)
+    folder = new_folder(spark, root, following)
     merge_changes(touched, latest, key, columns, operation).write.parquet(f"{root}/{folder}")
     written = materialise(list_written(spark, root, folder, schema), "written-files")
     before = files.join(per_file, "file").agg(F.sum(F.col("rows") - F.col("deleted")).alias("rows")).first()["rows"]
     after = written.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]
     if before != after:
-        raise ValueError(f"version {version + 1} of {root} has {after} rows in place of {before} and was not published")
+        raise ValueError(f"version {following} of {root} has {after} rows in place of {before} and was not published")
     carried = materialise(files.join(per_file, "file", "left_anti"), "carried-files")
-    make_current(spark, root, version + 1, carried.unionByName(written))
-    return {**found, "rewritten_files": counts["files"], "carried_files": carried.count()}
+    make_current(spark, root, following, carried.unionByName(written))
+    return {**found, "rewritten_files": counts["files"], "carried_files": carried.count(), "version": following}

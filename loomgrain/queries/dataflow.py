@@ -179,6 +179,11 @@ def cdc_stage(t):
     return staged_changes(checked_changes(t)).select("transaction_id", "operation", c("amount").cast("double").alias("amount"))
 
 
+def published_orders(t):
+    """The orders as the first version of a dataset, published once per session and data folder."""
+    return t.staged("transactions", lambda root: publish(order_transactions(t), root, 1))
+
+
 @query(
     "cdc_merge",
     """SELECT o_orderkey AS transaction_id, o_custkey AS customer_id,
@@ -186,10 +191,9 @@ def cdc_stage(t):
        strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 10 <> 1""",
 )
 def cdc_merge(t):
-    root = fresh_path(t.spark, "transactions")
-    publish(order_transactions(t), root, 1)
-    apply_latest(staged_changes(checked_changes(t)), root, ["transaction_id"], ["amount", "transaction_ts"])
-    return read_version(t.spark, root).select(
+    root = published_orders(t)
+    found = apply_latest(staged_changes(checked_changes(t)), root, ["transaction_id"], ["amount", "transaction_ts"], onto=1)
+    return read_version(t.spark, root, found["version"]).select(
         "transaction_id",
         "customer_id",
         c("amount").cast("double").alias("amount"),
@@ -232,10 +236,8 @@ def cdc_metrics(t):
         F.count_if(c("_error_reason").isNull()).alias("accepted"),
         F.count_if(c("_error_reason").isNotNull()).alias("rejected"),
     )
-    root = fresh_path(t.spark, "metrics-base")
-    publish(order_transactions(t), root, 1)
     # the run that applies the changes counts them: no pass of its own over the base
-    counts = apply_latest(staged_changes(checked), root, ["transaction_id"], ["amount", "transaction_ts"])
+    counts = apply_latest(staged_changes(checked), published_orders(t), ["transaction_id"], ["amount", "transaction_ts"], onto=1)
     names = ("staged", "updated", "deleted", "unmatched")
     return totals.select("*", *[F.lit(counts[name]).cast("long").alias(name) for name in names])
 

@@ -28,7 +28,7 @@ def root(spark, tmp_path):
 def test_only_files_with_changed_rows_are_rewritten(spark, root):
     before = names_of(version_files(spark, root))
     counts = apply_latest(changes(spark, ("U", 5, 7), ("D", 6, None), ("D", 99, None), ("U", 500, 1)), root, KEY, CHANGED)
-    assert counts == {"staged": 4, "updated": 1, "deleted": 2, "unmatched": 1, "rewritten_files": 2, "carried_files": 8}
+    assert counts == {"staged": 4, "updated": 1, "deleted": 2, "unmatched": 1, "rewritten_files": 2, "carried_files": 8, "version": 2}
     after = names_of(version_files(spark, root))
     assert len(set(before) & set(after)) == 8
     assert version_files(spark, root).agg(F.sum("rows")).first()[0] == 98
@@ -50,6 +50,13 @@ def test_several_rounds_equal_the_plain_merge(spark, root):
     assert rows(read_version(spark, root)) == rows(plain)
 
 
+def test_changes_applied_anew_start_from_a_named_version(spark, root):
+    apply_latest(changes(spark, ("D", 5, None)), root, KEY, CHANGED)
+    again = apply_latest(changes(spark, ("U", 5, 1)), root, KEY, CHANGED, onto=1)
+    assert again["version"] == 3 and read_version(spark, root).count() == 100
+    assert read_version(spark, root, 2).count() == 99
+
+
 def test_changes_that_meet_nothing_publish_nothing(spark, root):
     assert apply_latest(changes(spark, ("U", 1000, 1)), root, KEY, CHANGED)["rewritten_files"] == 0
     assert apply_latest(changes(spark).limit(0), root, KEY, CHANGED)["staged"] == 0
