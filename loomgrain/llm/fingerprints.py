@@ -34,6 +34,7 @@ from loomgrain.llm.common import shuffle_partitions, text_or_empty, written
 SAMPLES = 64
 AT_ONCE = 4  # samples computed per row of a term: a generated method is compiled only while it is short
 LANES = 4  # 16-bit samples per stored long
+PARTS = 4  # parts of the sampling per shuffle partition
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 
 BITS_21, BITS_22, BITS_32 = (1 << 21) - 1, (1 << 22) - 1, (1 << 32) - 1
@@ -94,7 +95,9 @@ def with_edited(docs: DataFrame, order: DataFrame) -> DataFrame:
     heads = placed.select(
         F.col("to_a").alias("a"), F.col("to_b").alias("b"), F.substring("text", F.lit(1), F.col("room")).alias("head"), "room"
     )
-    own = placed.select(*KEY, "text")
+    # what follows counts the words of both texts where they meet: parts small enough that no count spills
+    parts = PARTS * shuffle_partitions(docs.sparkSession)
+    own, heads = placed.select(*KEY, "text").repartition(parts, *KEY), heads.repartition(parts, *KEY)
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("room"))
     return own.join(heads, KEY).select(*KEY, "text", F.concat(kept, F.col("head")).alias("edited"))
 
