@@ -99,8 +99,11 @@ def course_projects(rows: DataFrame) -> DataFrame:
     )
 
 
-def course_emp_projects(rows: DataFrame, projects: int = 100) -> DataFrame:
-    """Every employee on every project: row numbers 1..emps*projects, no join needed."""
+def course_emp_projects(rows: DataFrame, projects: int = 100, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every employee on every project: row numbers 1..emps*projects, no join needed.
+
+    ``keep`` names columns of ``rows`` that each assignment takes along.
+    """
     n = F.col("n")
     e, p = _div(n - 1, projects) + 1, (n - 1) % projects + 1
     start = (e + p) % 9000
@@ -110,6 +113,7 @@ def course_emp_projects(rows: DataFrame, projects: int = 100) -> DataFrame:
         p.alias("projectno"),
         _day("1989-01-01", start).cast("string").alias("start_date"),
         F.when(p % 10 != 0, _day("1989-01-01", start + 365 + p % 90)).cast("string").alias("end_date"),
+        *keep,
     )
 
 

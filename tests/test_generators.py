@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from loomgrain.contracts import COURSE, RETAIL
 from loomgrain.operators.bands import band_join
 from loomgrain.operators.updates import change_counts, latest_changes, merge_changes
+from loomgrain.queries import QUERIES
+from loomgrain.queries.registry import Tables
 from loomgrain.sources import banking, generators as gen
 
 
@@ -139,3 +141,34 @@ def test_banking_feed(spark):
 def test_negative_row_count(spark):
     with pytest.raises(ValueError):
         gen.row_numbers(spark, -1)
+
+
+def projects_of(spark, folder, keys):
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    return QUERIES["gen_course_projects"].build(Tables(spark, str(folder)))
+
+
+def test_project_sums_of_repeated_and_missing_keys(spark, tmp_path):
+    keys = [0, 4, 4, 8995, None]
+    expected = []
+    for p in range(1, 101):
+        # an employee that comes twice meets both of its salaries on both of its assignments
+        met = [(k + 1, 700 + (k + 1) * 37 % 49300) for k in keys if k is not None for other in keys if other == k]
+        starts = [dt.date(1989, 1, 1) + dt.timedelta(days=(n + p) % 9000) for n, _ in met]
+        ends = [dt.date(1989, 1, 1) + dt.timedelta(days=(n + p) % 9000 + 365 + p % 90) for n, _ in met if p % 10]
+        last = str(max(ends)) if ends else None
+        expected.append((p, len(met), len(ends), str(min(starts)), str(max(starts)), last, float(sum(s for _, s in met))))
+    columns = ["projectno", "assigned", "ended", "first_start", "last_start", "last_end", "sal"]
+    found = projects_of(spark, tmp_path, keys).select(*columns)
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def test_assignments_are_summed_up_where_they_are_made(spark, tmp_path):
+    plan = projects_of(spark, tmp_path, range(50))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    lines = plan.splitlines()
+    made = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+    # plans print from the end: only the sums per project move after the assignments are made
+    moved = [line for line in lines[:made] if "Exchange hashpartitioning" in line]
+    assert moved and all("hashpartitioning(projectno" in line for line in moved)
+    assert any("Join" in line and "[n#" in line for line in lines[made:])
