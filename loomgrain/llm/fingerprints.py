@@ -84,22 +84,23 @@ def in_order(rows: DataFrame) -> DataFrame:
 
 def with_edited(docs: DataFrame, order: DataFrame) -> DataFrame:
     """a, b, text, edited: one row per document of ``order``."""
-    texts = identified(docs).select(*KEY, "text")
+    # what follows counts the words of both texts where they meet: parts small enough that no count spills.
+    # Texts are dealt to these parts at once, so that they need not move again to meet the heads
+    parts = PARTS * shuffle_partitions(docs.sparkSession)
+    texts = identified(docs).select(*KEY, "text").repartition(parts, *KEY)
     if not order.where("copies > 1").isEmpty():
         texts = texts.dropDuplicates(KEY)
     before = order.select(
         F.col("next_a").alias("a"), F.col("next_b").alias("b"),
         F.col("a").alias("to_a"), F.col("b").alias("to_b"), F.floor(F.col("n_chars") / 2).cast("int").alias("room"),
     )
-    placed = texts.join(before, KEY)
+    placed = texts.join(before.repartition(parts, *KEY), KEY)
     heads = placed.select(
         F.col("to_a").alias("a"), F.col("to_b").alias("b"), F.substring("text", F.lit(1), F.col("room")).alias("head"), "room"
-    )
-    # what follows counts the words of both texts where they meet: parts small enough that no count spills
-    parts = PARTS * shuffle_partitions(docs.sparkSession)
-    own, heads = placed.select(*KEY, "text").repartition(parts, *KEY), heads.repartition(parts, *KEY)
+    ).repartition(parts, *KEY)
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("room"))
-    return own.join(heads, KEY).select(*KEY, "text", F.concat(kept, F.col("head")).alias("edited"))
+    # each document is the next one of just one
+    return texts.join(heads, KEY).select(*KEY, "text", F.concat(kept, F.col("head")).alias("edited"))
 
 
 def bits(value: Column, shift: int, mask: int) -> Column:

@@ -162,3 +162,19 @@ def test_fingerprints_of_odd_rows(spark):
     assert fingerprints.fingerprint(empty(spark)).count() == 0
     alone = fingerprints.fingerprint(odd(spark).where("doc_id = 7")).first()
     assert alone["near_next"] == 1.0 and alone["edited_sha256"] == hashlib.sha256(b"ono").hexdigest()
+
+
+@pytest.mark.parametrize("ids", [range(20), [*range(20), 3, 3, None]])
+def test_texts_are_dealt_once_to_meet_their_heads(spark, ids):
+    docs = spark.createDataFrame([(i, f"one {i} two") for i in ids], "doc_id long, text string")
+    narrow = fingerprints.identified(docs).selectExpr("doc_id", "a", "b", "cast(length(text) as long) as n_chars")
+    order = fingerprints.written(fingerprints.in_order(narrow), "fp-test")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        plan = fingerprints.with_edited(docs, order)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    # the texts, for either of two joins the same, the neighbours and the heads
+    assert plan.count("Exchange hashpartitioning") == 4
