@@ -331,11 +331,14 @@ def scored(counts: DataFrame, scale: int = SCALE) -> DataFrame:
             F.array_join(F.expr("slice(parts, k + 1, words - k)"), " ").alias("rest"),
         )
     )
-    # each part occurs at least as often as the whole, so it is among the counts
+    # each part occurs at least as often as the whole, so it is among the counts: a row per cut before and after;
+    # keys are counted on the cuts as they are, as counting them on the first join would compute it again
+    joined = cuts
     for part, name in (("first", "l"), ("rest", "r")):
-        cuts = skew_join(cuts, single.select("lang", F.col("phrase").alias(part), F.col("f").alias(name)), ["lang", part], broadcast_bytes=BROADCAST)
+        counted = single.select("lang", F.col("phrase").alias(part), F.col("f").alias(name))
+        joined = skew_join(joined, counted, ["lang", part], broadcast_bytes=BROADCAST, count_on=cuts)
     weakest = F.min(F.struct(strength(F.col("a"), F.col("l"), F.col("r"), scale).alias("score"), "k", "l", "r"))
-    return cuts.groupBy("lang", "phrase", "words", "a").agg(weakest.alias("cut")).select(
+    return joined.groupBy("lang", "phrase", "words", "a").agg(weakest.alias("cut")).select(
         "lang", "phrase", "words", "a", "cut.l", "cut.r", "cut.score"
     )
 

@@ -114,15 +114,16 @@ def skew_join(
     share. Left rows without a key are spread as well. ``how`` must keep the
     left side whole or drop it by match: inner, left, left_semi or left_anti.
 
-    Keys are counted on ``count_on`` where ``left`` itself is expensive; which
-    keys count as hot decides the cost and never the result.
+    Keys are counted, and the width of rows is told, on ``count_on`` where
+    ``left`` itself is expensive: ``left`` is then computed by the join alone.
+    Which keys count as hot decides the cost and never the result.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"skew_join does not support {how}")
     if fits_broadcast(right, broadcast_bytes):
         return left.join(F.broadcast(right), on, how)
     counted = left if count_on is None else count_on
-    hot = materialise(hot_keys(counted, on, hot_limit(left, hot_rows)), "hot-keys")
+    hot = materialise(hot_keys(counted, on, hot_limit(counted, hot_rows)), "hot-keys")
     if hot.isEmpty():
         return left.join(right, on, how)
     hot = _hottest(hot)

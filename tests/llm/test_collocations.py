@@ -88,6 +88,22 @@ def test_locally_frequent_phrases_hold_all_frequent_ones(spark):
     assert len(keys) < 9
 
 
+def test_joins_of_cuts_are_not_computed_to_count_keys(spark, monkeypatch):
+    rows = [("en", 1, "a", 40), ("en", 1, "b", 30), ("en", 1, "c", 20), ("en", 2, "a b", 12), ("en", 2, "b c", 11), ("en", 3, "a b c", 10)]
+    counts = spark.createDataFrame(rows, "lang string, words int, phrase string, f long")
+    expected = as_tuples(mined.scored(counts))
+    plans, join = [], mined.skew_join
+
+    def spied(*sides, **options):
+        plans.append(options["count_on"]._jdf.queryExecution().optimizedPlan().toString())
+        return join(*sides, **options)
+
+    monkeypatch.setattr(mined, "skew_join", spied)
+    monkeypatch.setattr(mined, "BROADCAST", 0)
+    assert as_tuples(mined.scored(counts)) == expected
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
+
+
 def test_scores_pass_64_bits(spark):
     rows = [(10**12 + 7, 10**12 + 9, 10**12 + 11), (10, 3_000_000_001, 10), (10**9, 10**9, 10**9), (12345678901, 98765432109876, 12345678901)]
     found = spark.createDataFrame(rows, "a long, l long, r long").select("a", "l", "r", mined.strength(F.col("a"), F.col("l"), F.col("r")).alias("s"))

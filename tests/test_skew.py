@@ -69,6 +69,14 @@ def test_counting_keys_elsewhere_changes_no_row(sides):
     assert rows(skew_join(left, right, ["k"], "inner", 5, 0, count_on=other)) == rows(left.join(right, "k"))
 
 
+def test_left_is_not_computed_to_plan_the_join(sides):
+    left, right = sides
+    # every row of it fails as soon as it is computed
+    costly = left.withColumn("x", F.raise_error(F.lit("computed")).cast("string"))
+    joined = skew_join(costly, right, ["k"], "inner", 10**9, 0, count_on=left)
+    assert rows(joined.drop("x")) == rows(left.join(right, "k"))
+
+
 def test_large_limits_count_on_a_sample(spark):
     many = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     counted = key_counts(many, ["k"], 20_000)
