@@ -9,8 +9,9 @@ minhash work is about the square root of what independent tables need.
    Buckets with the same members are one bucket.
 2. A few rounds of stars: each bucket draws a centre and compares its members
    with it, unless both are in one component by now. Pairs whose signatures
-   agree too little are left out, the rest is settled on full shingle sets. So
-   a large group of near copies costs a pair per member, bucket and round.
+   agree too little are left out before any shingle set is moved, the rest is
+   settled on full shingle sets. So a large group of near copies costs a pair
+   per member, bucket and round.
 3. Only buckets with members of several components can still hide links. Their
    members are joined on the rarest shingles of their sets: two sets that are
    similar enough share one of the first (1 - percent) of their shingles in
@@ -19,6 +20,11 @@ minhash work is about the square root of what independent tables need.
    not. Sizes and places of the shared shingle rule out most of the rest; what
    is left is settled on full sets. That is exact, however large the bucket.
 
+Texts and sets are wide, and most are not asked for. Which ones are is marked in
+a bitmap of fixed size, so the others stay where they are at every size of the
+corpus; a few unasked ones that share a bit come along and meet nobody in the
+joins that follow.
+
 Recall: a pair with similarity J meets in a table with probability
 (1 - (1 - J^rows)^tables)^2. With rows = 2 and tables = 9 that is above 0.9997
 at J = 0.8 and above 0.99999 at 0.9. ``rows`` should grow with the corpus, so
@@ -37,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.llm.arrow import map_texts
+from loomgrain.llm.arrow import ROWS_AT_ONCE, map_texts
 from loomgrain.llm.common import written
 from loomgrain.llm.components import components
 
@@ -50,6 +56,8 @@ LEAST_SHARE = 0.5
 STARS = 3
 # how often shingles occur is counted in so many cells by their hash: a fixed size that all tasks are sent
 CELLS = 1 << 20
+# which nodes are asked for is marked in 2 ** MARKS bits by their hash: again a fixed size that all tasks are sent
+MARKS = 25
 SEED = 20260101
 GONE = "_near_duplicate_id"
 
@@ -122,8 +130,58 @@ def signatures(docs: DataFrame, size: int, tables: int, rows: int) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), schema, start)
 
 
+def places(nodes):
+    """The word of the bitmap and the bit in it that stand for each node."""
+    import numpy as np
+
+    cell = (nodes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MARKS)
+    return (cell >> np.uint64(6)).astype(np.int64), np.uint64(1) << (cell & np.uint64(63))
+
+
+def marks(nodes: DataFrame):
+    """The bitmap of ``nodes``; at most a row per word of it comes to the driver."""
+    import numpy as np
+
+    words = 1 << MARKS - 6
+
+    def work(batches):
+        import pyarrow as pa
+
+        bits = np.zeros(words, np.uint64)
+        for batch in batches:
+            word, bit = places(batch.column(0).to_numpy())
+            np.bitwise_or.at(bits, word, bit)
+        word = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(bits[word].view(np.int64))], names=["word", "bits"])
+
+    found = nodes.select("node").mapInArrow(work, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(words, np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def asked_for(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``rows`` whose node is one of ``nodes``, and the few whose node shares a bit with one; nothing is shuffled."""
+    shared = rows.sparkSession.sparkContext.broadcast(marks(nodes))
+    rows = rows.where("node IS NOT NULL")
+    place = rows.columns.index("node")
+
+    def work(batches):
+        import pyarrow as pa
+
+        bits = shared.value
+        for batch in batches:
+            # rows are wide: a few at a time are copied
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                word, bit = places(part.column(place).to_numpy())
+                yield part.filter(pa.array((bits[word] & bit) != 0))
+
+    return rows.mapInArrow(work, rows.schema)
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int, tables: int, rows: int) -> DataFrame:
-    """node, n, shingles and signature of the classes in ``nodes``, read from their representatives' texts."""
+    """node, n, shingles and signature of the classes in ``nodes`` and of a few others, read from their representatives' texts."""
 
     count = 2 * tables * rows
 
@@ -136,9 +194,9 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int, tables: int, rows
 
         return each
 
-    # where the ids are few, Spark sends them to the texts; an id with several texts has several classes
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
-    found = map_texts(texts.select("node", "text"), "node long, n long, signature array<int>, shingles array<long>", start)
+    # an id with several texts has several classes
+    texts = asked_for(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), nodes)
+    found = map_texts(texts, "node long, n long, signature array<int>, shingles array<long>", start)
     return found.where("n > 0")
 
 
@@ -156,20 +214,27 @@ def agreement(a, b):
     return same / F.size(a)
 
 
+def sides(sets: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """``columns`` of ``sets`` for the first and for the second node of a pair."""
+    return tuple(sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
-    Sizes and signatures are looked at before the sets are: the smaller set
-    cannot hold more than all of itself.
+    Sizes and signatures are looked at before the sets are moved: the smaller
+    set cannot hold more than all of itself.
     """
-    x, y = (sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "signature", "shingles")]) for side in "ab")
+    x, y = sides(sets, "n", "signature")
     likely = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (
         agreement(F.col("signature_a"), F.col("signature_b")) >= LEAST_SHARE
     )
-    met = (
-        pairs.select("a", "b").join(x, "a").join(y, "b").where(likely)
-        .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), F.size(F.array_intersect("shingles_a", "shingles_b")).alias("both"))
-    )
+    pairs = written(pairs.select("a", "b").join(x, "a").join(y, "b").where(likely).select("a", "b").distinct(), "near-likely")
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+    x, y = sides(asked_for(sets.select("node", "n", "shingles"), nodes), "n", "shingles")
+    met = pairs.join(x, "a").join(y, "b").select(
+        "a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), F.size(F.array_intersect("shingles_a", "shingles_b")).alias("both")
+    )
     return written(met.where(F.col("both") * 100 >= percent * (F.col("sizes") - F.col("both"))).select("a", "b").distinct(), "near-links")
 
 
@@ -259,7 +324,7 @@ def hidden_pairs(members: DataFrame, belongs: DataFrame, sets: DataFrame, percen
     nodes = written(placed.join(mixed, "key", "left_semi").select("node", "component").distinct(), "near-mixed")
     if nodes.isEmpty():
         return None
-    own = written(sets.join(nodes.select("node"), "node", "left_semi"), "near-mixed-sets")
+    own = written(asked_for(sets.select("node", "shingles"), nodes), "near-mixed-sets")
     spread = written(rarest(own, percent, cells).join(nodes, "node"), "near-rarest")
     several = spread.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
     spread = written(spread.join(several, "shingle", "left_semi"), "near-shared")
@@ -280,7 +345,7 @@ def hidden_pairs(members: DataFrame, belongs: DataFrame, sets: DataFrame, percen
 def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int, percent: int, stars: int = STARS, cells: int = CELLS) -> DataFrame:
     """a, b: enough links between classes to give every component."""
     members = bucket_members(classes, tables, rows)
-    sets = written(shingle_sets(docs, members.select("node").distinct(), size, tables, rows), "near-sets")
+    sets = written(shingle_sets(docs, members, size, tables, rows), "near-sets")
     linked, belongs, seen = None, None, None
     for draw in range(stars):
         pairs = star_pairs(members, belongs, draw)
