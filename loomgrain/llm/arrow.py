@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
 ROWS_AT_ONCE = 256
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """What runs inside sends wide rows to Python a few at a time, so neither side holds thousands of texts or sets."""
+    before = spark.conf.get(BATCH_ROWS)
+    if not 0 < int(before) <= ROWS_AT_ONCE:
+        spark.conf.set(BATCH_ROWS, str(ROWS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
 
 
 def map_texts(rows: DataFrame, schema: str, start: Callable[[], Callable[..., tuple]]) -> DataFrame:

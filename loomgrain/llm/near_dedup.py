@@ -43,8 +43,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.llm.arrow import ROWS_AT_ONCE, map_texts
-from loomgrain.llm.common import written
+from loomgrain.llm import common
+from loomgrain.llm.arrow import ROWS_AT_ONCE, map_texts, small_batches
 from loomgrain.llm.components import components
 
 SHINGLE = 5
@@ -54,6 +54,8 @@ PERCENT = 80
 # share of agreeing minhash values below which a pair cannot be at 0.8 but with negligible probability
 LEAST_SHARE = 0.5
 STARS = 3
+# keys of so many classes are counted in one task: a class has tables * tables of them, and most are its own
+CLASSES_AT_ONCE = 4000
 # how often shingles occur is counted in so many cells by their hash: a fixed size that all tasks are sent
 CELLS = 1 << 20
 # which nodes are asked for is marked in 2 ** MARKS bits by their hash: again a fixed size that all tasks are sent
@@ -62,6 +64,11 @@ SEED = 20260101
 GONE = "_near_duplicate_id"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    with small_batches(df.sparkSession):
+        return common.written(df, label)
+
+
 def shingle_hashes(text: str | None, size: int):
     """The set of shingles as sorted 64-bit hashes."""
     import numpy as np
@@ -243,7 +250,8 @@ def bucket_members(classes: DataFrame, tables: int, rows: int) -> DataFrame:
     keys = table_keys(classes, tables, rows)
     # copies of a key meet in the partial aggregate, so a key of a third of all classes is no hot key here
     members = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"members_{i}") for i in (0, 1)]
-    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
+    dealt = classes.repartition(max(1, -(-classes.count() // CLASSES_AT_ONCE)), "node")
+    counted = table_keys(dealt, tables, rows).groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
     once = written(counted.groupBy("n", "members_0", "members_1").agg(F.min("key").alias("key")).select("key"), "near-buckets")
     # one row per key on the right: a hot key's rows can be split
     return written(keys.join(once, "key"), "near-members")
@@ -282,7 +290,8 @@ def cell_counts(sets: DataFrame, cells: int):
         cell = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(counts[cell], pa.int64())], names=["cell", "n"])
 
-    found = sets.select("shingles").mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    with small_batches(sets.sparkSession):
+        found = sets.select("shingles").mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(cells, np.int64)
     counts[found["cell"].to_numpy()] = found["n"].to_numpy()
     return counts
