@@ -7,18 +7,21 @@ minhash work is about the square root of what independent tables need.
 
 1. Documents with equal shingle sets become one class, by a digest of the set.
    Buckets with the same members are one bucket.
-2. A few rounds of stars: each bucket draws a centre and compares its members
-   with it, unless both are in one component by now. Pairs whose signatures
-   agree too little are left out before any shingle set is moved, the rest is
-   settled on full shingle sets. So a large group of near copies costs a pair
-   per member, bucket and round.
+2. A few rounds of stars: each bucket compares its members with a centre, unless
+   both are in one component by now. The centre is the member whose keys are the
+   most common, and one that was none in the rounds before: of edited copies,
+   those with few edits. Pairs whose signatures agree too little are left out
+   before any shingle set is moved, the rest is settled on full shingle sets. So
+   a large group of near copies costs at most a pair per member, bucket and round.
 3. Only buckets with members of several components can still hide links. Their
    members are joined on the rarest shingles of their sets: two sets that are
    similar enough share one of the first (1 - percent) of their shingles in
    whatever order all sets follow, and with the rare ones first a text that
    resembles a group without being linked has shingles there that the group has
    not. Sizes and places of the shared shingle rule out most of the rest; what
-   is left is settled on full sets. That is exact, however large the bucket.
+   is left is settled on full sets. A shingle's first node in each component
+   goes first, and only nodes of different components after that meet the rest.
+   That is exact, however large the bucket.
 
 Texts and sets are wide, and most are not asked for. Which ones are is marked in
 a bitmap of fixed size, so the others stay where they are at every size of the
@@ -246,29 +249,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def bucket_members(classes: DataFrame, tables: int, rows: int) -> DataFrame:
-    """key, node of the buckets with several classes; buckets with the same members are kept once."""
+    """key, n, node of the buckets with several classes, n of them; buckets with the same members are kept once."""
     keys = table_keys(classes, tables, rows)
     # copies of a key meet in the partial aggregate, so a key of a third of all classes is no hot key here
     members = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"members_{i}") for i in (0, 1)]
     dealt = classes.repartition(max(1, -(-classes.count() // CLASSES_AT_ONCE)), "node")
     counted = table_keys(dealt, tables, rows).groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
-    once = written(counted.groupBy("n", "members_0", "members_1").agg(F.min("key").alias("key")).select("key"), "near-buckets")
+    once = written(counted.groupBy("n", "members_0", "members_1").agg(F.min("key").alias("key")).select("key", "n"), "near-buckets")
     # one row per key on the right: a hot key's rows can be split
     return written(keys.join(once, "key"), "near-members")
 
 
-def star_pairs(members: DataFrame, belongs: DataFrame | None, draw: int) -> DataFrame:
-    """a, b: each bucket's centre in this draw with the members of other components."""
-    placed = members.withColumn("component", F.col("node")) if belongs is None else in_components(members, belongs)
-    centre = F.min(F.struct(F.xxhash64("node", F.lit(draw)), F.col("node").alias("centre"), F.col("component").alias("own"))).alias("c")
+def star_pairs(members: DataFrame, common: DataFrame, belongs: DataFrame | None, used: DataFrame | None, draw: int) -> DataFrame:
+    """a, b, a_leads, b_leads: each bucket's centre in this draw with the members of other components, and which of both is a centre.
+
+    The centre is the member with the most ``common`` keys of those that were
+    none yet: among edited copies that is one with few edits, which is linked
+    with most of the others.
+    """
+    nodes = common.withColumn("component", F.col("node")) if belongs is None else in_components(common, belongs)
+    if used is None:
+        nodes = nodes.withColumn("used", F.lit(False))
+    else:
+        nodes = nodes.join(used.withColumn("used", F.lit(True)), "node", "left").withColumn("used", F.coalesce("used", F.lit(False)))
+    placed = members.select("key", "node").join(nodes, "node")
+    order = ["used", (-F.col("common")).alias("rare"), F.xxhash64("node", F.lit(draw)), F.col("node").alias("centre"), F.col("component").alias("own")]
     centres = (
         placed.groupBy("key")
-        .agg(centre, F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min(F.struct(*order)).alias("c"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high")
         .select("key", "c.centre", "c.own")
     )
-    met = placed.join(centres, "key").where("component != own")
-    return met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+    met = placed.join(centres, "key").where("component != own").select("centre", F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
+    leads = [F.bool_or(F.col("centre") == F.col(side)).alias(f"{side}_leads") for side in "ab"]
+    return met.groupBy("a", "b").agg(*leads)
 
 
 def in_components(rows: DataFrame, belongs: DataFrame) -> DataFrame:
@@ -326,17 +340,25 @@ def rarest(sets: DataFrame, percent: int, cells: int) -> DataFrame:
     return sets.select("node", "shingles").mapInArrow(work, "node long, n long, shingle long, place long")
 
 
-def hidden_pairs(members: DataFrame, belongs: DataFrame, sets: DataFrame, percent: int, cells: int) -> DataFrame:
-    """a, b: pairs of different components that may be linked, of the members of buckets with several components."""
-    placed = in_components(members, belongs)
+def mixed_shingles(members: DataFrame, belongs: DataFrame, sets: DataFrame, percent: int, cells: int) -> DataFrame | None:
+    """node, n, shingle, place, component: the rarest shingles of the members of buckets with several components."""
+    placed = in_components(members.select("key", "node"), belongs)
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     nodes = written(placed.join(mixed, "key", "left_semi").select("node", "component").distinct(), "near-mixed")
     if nodes.isEmpty():
         return None
     own = written(asked_for(sets.select("node", "shingles"), nodes), "near-mixed-sets")
-    spread = written(rarest(own, percent, cells).join(nodes, "node"), "near-rarest")
+    return in_several(written(rarest(own, percent, cells).join(nodes, "node"), "near-rarest"))
+
+
+def in_several(spread: DataFrame) -> DataFrame:
+    """The rows of ``spread`` whose shingle occurs in several components."""
     several = spread.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
-    spread = written(spread.join(several, "shingle", "left_semi"), "near-shared")
+    return written(spread.join(several, "shingle", "left_semi"), "near-shared")
+
+
+def meetings(spread: DataFrame, percent: int) -> DataFrame:
+    """a, b: the nodes of ``spread`` of different components that share a shingle and may be linked."""
     x, y = spread.alias("x"), spread.alias("y")
     # as many shingles as both must share, and as many as are left from the shared one on
     needed = F.ceil((F.col("x.n") + F.col("y.n")) * percent / F.lit(100 + percent) - F.lit(1e-6))
@@ -348,27 +370,44 @@ def hidden_pairs(members: DataFrame, belongs: DataFrame, sets: DataFrame, percen
         & (F.col("x.component") != F.col("y.component"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
         & (left >= needed),
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def component_heads(spread: DataFrame) -> DataFrame:
+    """``spread`` with one node for each shingle and component: where it comes first, as in copies with few edits."""
+    head = F.min(F.struct("place", "node", "n")).alias("h")
+    return spread.groupBy("shingle", "component").agg(head).select("h.node", "h.n", "shingle", "h.place", "component")
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, tables: int, rows: int, percent: int, stars: int = STARS, cells: int = CELLS) -> DataFrame:
     """a, b: enough links between classes to give every component."""
     members = bucket_members(classes, tables, rows)
+    common = written(members.groupBy("node").agg(F.sum("n").alias("common")), "near-common")
     sets = written(shingle_sets(docs, members, size, tables, rows), "near-sets")
-    linked, belongs, seen = None, None, None
+    linked, belongs, seen, used = None, None, None, None
     for draw in range(stars):
-        pairs = star_pairs(members, belongs, draw)
+        pairs = star_pairs(members, common, belongs, used, draw)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = written(pairs, "near-star")
+        led = pairs.where("a_leads").select(F.col("a").alias("node")).unionAll(pairs.where("b_leads").select(F.col("b").alias("node")))
+        used = led.distinct() if used is None else used.unionAll(led).distinct()
+        pairs = pairs.select("a", "b")
         seen = pairs if seen is None else seen.unionAll(pairs)
         found = verified(pairs, sets, percent)
         linked = found if linked is None else linked.unionAll(found)
         belongs = components(linked)
-    again = hidden_pairs(members, belongs, sets, percent, cells)
-    if again is None:
+    spread = mixed_shingles(members, belongs, sets, percent, cells)
+    if spread is None:
         return linked
-    again = written(again.distinct().join(seen, ["a", "b"], "left_anti"), "near-again")
+    # a node that is linked with a head of a large component need not meet the others
+    heads = written(component_heads(spread), "near-heads")
+    first = written(meetings(heads, percent).join(seen, ["a", "b"], "left_anti"), "near-first")
+    found = verified(first, sets, percent)
+    if not found.isEmpty():
+        linked, seen = linked.unionAll(found), seen.unionAll(first)
+        spread = in_several(in_components(spread.drop("component"), components(linked)))
+    again = written(meetings(spread, percent).join(seen, ["a", "b"], "left_anti"), "near-again")
     return linked.unionAll(verified(again, sets, percent))
 
 
